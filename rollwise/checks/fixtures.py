@@ -69,3 +69,78 @@ def src_lineitem(target: str, enabled=True, priority: int = 1) -> SourceSpec:
     return SourceSpec(target_table=target, source_table="lineitem", enabled=enabled,
                       transformation=u_lineitem, control_column="data_ts",
                       control_slack_minutes=3, priority=priority)
+
+
+# ---- registry fixtures: one target per customer, one source per order ---------
+
+from pyspark.sql import DataFrame, functions as F  # noqa: E402
+
+from ..functions.pattern import kept_names  # noqa: E402
+from ..functions.timegrid import add_minutes, ts_lit  # noqa: E402
+
+TARGET_NAME = {s: t for t, s in (d.split(":") for d in TARGET_DIMS)}
+PROCESSING_AT = dt.datetime(2024, 1, 2, 12, 0, 0)
+GEN_BASE = dt.datetime(2024, 1, 1)
+
+
+def _target_of(name):
+    expr = F.lit(None).cast("string")
+    chain = None
+    for s, t in TARGET_NAME.items():
+        chain = (F.when(name == s, F.lit(t)) if chain is None
+                 else chain.when(name == s, F.lit(t)))
+    return chain.otherwise(name) if chain is not None else expr
+
+
+def registry_targets(df: DataFrame, key: str, label: str, now: dt.datetime = NOW,
+                     prefix: str = "customer ") -> DataFrame:
+    """Registry rows generated from a table with an integer key column."""
+    c = F.col(key)
+    names = F.array(*[F.lit(n) for n in PATTERN_COLUMNS])
+    mask = (c % 2048).cast("bigint")
+    kind = c % 3
+    return df.select(
+        c.cast("bigint").alias("id"),
+        F.concat(F.lit(prefix), F.col(label)).alias("target_label"),
+        c.cast("string").alias("target_table"),
+        F.lit("data_ts").alias("batch_control_column"),
+        F.when(kind == 0, 5).when(kind == 1, 60).otherwise(1440).cast("bigint")
+        .alias("batch_control_size"),
+        F.lit("DATEADD(MINUTE, :2, :1)").alias("batch_control_next"),
+        add_minutes(ts_lit(GEN_BASE), c.cast("int")).alias("batch_processed"),
+        F.when(c % 5 == 0, ts_lit(PROCESSING_AT)).alias("batch_processing"),
+        F.lit(None).cast("timestamp_ntz").alias("batch_microchunk_current"),
+        F.when(kind == 0, "MINUTES").when(kind == 1, "HOURLY").otherwise("DAILY")
+        .alias("batch_schedule_type"),
+        F.when(c % 10 != 0, add_minutes(ts_lit(now), (-(c % 200)).cast("int")))
+        .alias("batch_schedule_last"),
+        names.alias("pattern_columns"),
+        F.transform(kept_names(names, mask),
+                    lambda n: F.concat(_target_of(n), F.lit(":"), n)).alias("groupby_columns"),
+        mask.alias("groupby_pattern"),
+        (c % 2 == 0).alias("groupby_flexible"),
+        F.array(*[F.lit(x) for x in TARGET_MEASURES]).alias("aggregate_columns"),
+        F.array(*[F.lit(x) for x in FUNCS_1]).alias("aggregate_functions"),
+        F.lit(None).cast("string").alias("default_procedure"),
+    )
+
+
+def targets_gen(customer: DataFrame) -> DataFrame:
+    return registry_targets(customer, "c_custkey", "c_name")
+
+
+def sources_gen(orders: DataFrame) -> DataFrame:
+    st = F.col("o_orderstatus")
+    return orders.select(
+        F.col("o_orderkey").cast("bigint").alias("id"),
+        F.lit(None).cast("string").alias("source_label"),
+        F.col("o_custkey").cast("string").alias("target_table"),
+        F.col("o_orderkey").cast("string").alias("source_table"),
+        F.when(st == "P", F.lit(True)).when(st == "F", F.lit(False))
+        .cast("boolean").alias("source_enabled"),
+        (F.col("o_orderkey") % 16).cast("bigint").alias("pattern_default"),
+        F.lit(None).cast("boolean").alias("pattern_flexible"),
+        F.col("o_orderdate").alias("data_availabletime"),
+        F.lit(None).cast("timestamp_ntz").alias("data_checkschedule"),
+        F.lit(None).cast("string").alias("transformation"),
+    )

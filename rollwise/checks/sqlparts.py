@@ -76,3 +76,43 @@ def measures_1(distinct: bool = False) -> str:
     cnt = "count(DISTINCT value_i2)" if distinct else "count(*)"
     return (f"CAST(sum(value_i1) AS BIGINT) AS vsum_i1, CAST({cnt} AS BIGINT) AS vcnt_i2, "
             f"{money_sum('value_d1')} AS vsum_d1, {rounded_avg('value_d2')} AS vavg_d2")
+
+
+PATTERN_NAMES = ("['data_pattern', 'data_name', 'data_date', 'data_hour', 'data_time', "
+                 "'data_i1', 'data_i2', 'data_i3', 'data_a1', 'data_a2', 'data_a3']")
+TARGET_OF = ("CASE x WHEN 'data_pattern' THEN 'data_pt' WHEN 'data_name' THEN 'data_dn' "
+             "WHEN 'data_date' THEN 'data_dt' WHEN 'data_hour' THEN 'data_hr' "
+             "WHEN 'data_time' THEN 'data_ts' ELSE x END")
+NOW_SQL = "TIMESTAMP '2024-01-02 12:34:56'"
+
+
+def registry_targets_sql(table: str, key: str, label: str, prefix: str = "customer ") -> str:
+    return f"""(
+  SELECT CAST({key} AS BIGINT) AS id, '{prefix}' || {label} AS target_label,
+    CAST({key} AS VARCHAR) AS target_table, 'data_ts' AS batch_control_column,
+    CAST(CASE {key} % 3 WHEN 0 THEN 5 WHEN 1 THEN 60 ELSE 1440 END AS BIGINT) AS batch_control_size,
+    'DATEADD(MINUTE, :2, :1)' AS batch_control_next,
+    TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST({key} AS BIGINT)) AS batch_processed,
+    CASE WHEN {key} % 5 = 0 THEN TIMESTAMP '2024-01-02 12:00:00' END AS batch_processing,
+    CAST(NULL AS TIMESTAMP) AS batch_microchunk_current,
+    CASE {key} % 3 WHEN 0 THEN 'MINUTES' WHEN 1 THEN 'HOURLY' ELSE 'DAILY' END AS batch_schedule_type,
+    CASE WHEN {key} % 10 <> 0 THEN {NOW_SQL} - to_minutes(CAST({key} % 200 AS BIGINT)) END
+      AS batch_schedule_last,
+    {PATTERN_NAMES} AS pattern_columns,
+    list_transform(list_filter({PATTERN_NAMES}, lambda x, i: ((({key} % 2048) >> (11 - i)) & 1) = 0),
+                   lambda x: ({TARGET_OF}) || ':' || x) AS groupby_columns,
+    CAST({key} % 2048 AS BIGINT) AS groupby_pattern,
+    {key} % 2 = 0 AS groupby_flexible
+  FROM {table}
+)"""
+
+
+TARGETS_GEN = registry_targets_sql("customer", "c_custkey", "c_name")
+
+SOURCES_GEN = """(
+  SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey AS VARCHAR) AS target_table,
+    CAST(o_orderkey AS VARCHAR) AS source_table,
+    CASE o_orderstatus WHEN 'P' THEN true WHEN 'F' THEN false END AS source_enabled,
+    CAST(o_orderkey % 16 AS BIGINT) AS pattern_default, o_orderdate AS data_availabletime
+  FROM orders
+)"""

@@ -92,7 +92,8 @@ def names_pattern(pattern_columns: Column, groupby_sources: Column) -> Column:
 def kept_names(names: Column, mask: Column) -> Column:
     """The names whose bit in ``mask`` is 0 (MSB first), as an array."""
     n = F.size(names)
-    return F.filter(names, lambda c, i: F.shiftright(mask, n - 1 - i).bitwiseAND(1) == 0)
+    return F.filter(names, lambda c, i: mask.cast("bigint").bitwiseAND(
+        F.pow(F.lit(2), n - 1 - i).cast("bigint")) == 0)
 
 
 def mapping_targets(mapping: Column) -> Column:

@@ -116,3 +116,15 @@ SOURCES_GEN = """(
     CAST(o_orderkey % 16 AS BIGINT) AS pattern_default, o_orderdate AS data_availabletime
   FROM orders
 )"""
+
+
+def sum_cents(col: str) -> str:
+    return f"CAST(sum({cents(col)}) AS BIGINT)"
+
+
+def avg_cents(col: str) -> str:
+    """``round(avg(x), 2)`` in integer cents (see ``rounded_avg``)."""
+    s = f"CAST(sum({cents(col)}) AS HUGEINT)"
+    c = f"count({col})"
+    avg6 = f"(({s} * 20000 + {c}) // (2 * {c}))"
+    return f"CASE WHEN {c} = 0 THEN NULL ELSE CAST((2 * {avg6} + 10000) // 20000 AS BIGINT) END"

@@ -109,6 +109,22 @@ def q_inline_values(spark, sf_dir):
     return finish(ev.join(F.broadcast(codes), "event_type", "left"))
 
 
+def q_incremental_run(spark, sf_dir):
+    """Two scheduled runs of the daily target, each writing its due chunks
+    into the table (dynamic partition overwrite); returns the table."""
+    from ..plans.incremental import run_target
+    from ..session import fresh_path
+    cat = catalog(spark, sf_dir)
+    t = fx.target_2(name="incremental_daily")
+    t.batch_processed = dt.datetime(2024, 1, 4)
+    src = [fx.src_events(t.target_table)]
+    path = fresh_path(spark, "incremental_daily")
+    first = run_target(cat, t, src, dt.datetime(2024, 1, 20, 9, 0), path)
+    t.batch_processed = first.end
+    run_target(cat, t, src, dt.datetime(2024, 1, 31, 9, 0), path)
+    return finish(spark.read.parquet(path).drop("control_day"))
+
+
 # ---- upsert family: target = days 1-10 (+1 on every measure), batch = days 8-12
 
 DAY_TYPE_MASK = 2047 - 256 - 4   # keeps data_date and data_a1
@@ -167,6 +183,7 @@ def q_pattern_profile(spark, sf_dir):
 QUERIES = {
     "batch_all_chunks": q_batch_all_chunks,
     "sliding_reaggregate": q_sliding_reaggregate,
+    "incremental_run": q_incremental_run,
     "mixed_granularity": q_mixed_granularity,
     "multi_target_rollup": q_multi_target_rollup,
     "mask_projection": q_mask_projection,

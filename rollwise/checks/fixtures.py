@@ -28,6 +28,8 @@ MASK_4 = 4
 NOW = dt.datetime(2024, 1, 2, 12, 34, 56)
 DAY_EVENTS = dt.datetime(2024, 1, 3)
 DAY_TPCH = dt.datetime(1998, 6, 1)
+TPCH_FIRST = dt.datetime(1992, 1, 1)      # before any order or ship date
+TPCH_LAST = dt.datetime(2001, 12, 31)     # after all of them
 
 
 def target_1(mask: int = MASK_1, flexible: bool = True, name: str = "target_1") -> TargetSpec:

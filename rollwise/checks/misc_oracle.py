@@ -46,6 +46,10 @@ SQL = {
         "WHEN o.r IS NOT NULL THEN o.r ELSE x.r END AS DOUBLE) AS rate FROM f "
         "LEFT JOIN first x ON x.device = f.d "
         "LEFT JOIN (SELECT r FROM first WHERE device = 'other') o ON true"),
+    "device_rate_rows": (
+        "SELECT event_id, CAST(CASE event_type WHEN 'click' THEN 0.05 WHEN 'purchase' THEN 0.33 "
+        "WHEN 'view' THEN 0.1 WHEN 'signup' THEN 0.6 WHEN 'error' THEN 0.1 END AS DOUBLE) AS rate "
+        "FROM events"),
     "time_floor": (
         "SELECT event_id, TIMESTAMP '1970-01-01 00:00:00' + to_minutes(CAST(floor(date_diff("
         "'minute', TIMESTAMP '1970-01-01 00:00:00', ts) / 5) * 5 AS BIGINT)) AS floor_5, "

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F, types as T
 
 from ..functions.pattern import row_pattern
-from ..functions.rates import revenue_share
+from ..functions.rates import device_share, revenue_share
 from ..functions.timegrid import (BASE_2000, EPOCH, add_minutes, floor_minutes, minute_diff,
                                   round_minutes, trunc, ts_lit)
 from ..operators.rates import category_rate_join, device_rate_join, tier_rate_join
@@ -75,6 +75,23 @@ def q_device_rate_join(spark, sf_dir):
     return device_rate_join(ev, F.col("device"), card)
 
 
+NESTED_A = ('{"a":{"mobile":[0.4],"view":[0]},"b":{"view":[0.3],"click":[0.25],'
+            '"signup":["x"]},"c":{"other":[0.1],"signup":[0.6]}}')
+NESTED_B = '{"z":{"click":[0.05]},"a":{"click":[0.5],"other":[0.02]}}'
+
+
+def q_device_rate_rows(spark, sf_dir):
+    """Per-row nested device terms (U6): items are read in text order; a
+    non-numeric rate is skipped; a 0 falls back to ``other``."""
+    et = F.col("event_type")
+    terms = (F.when(et == "click", F.lit(NESTED_B)).when(et == "purchase", F.lit("0.33"))
+             .otherwise(F.lit(NESTED_A)))
+    device = (F.when(et == "purchase", "Smart Phones").when(et == "error", "TABLET")
+              .otherwise(et))
+    ev = catalog(spark, sf_dir).table("events")
+    return ev.select("event_id", device_share(terms, device).alias("rate"))
+
+
 # ---- scalar functions ---------------------------------------------------------
 
 def q_time_floor(spark, sf_dir):
@@ -177,6 +194,7 @@ QUERIES = {
     "tier_rate_rows": q_tier_rate_rows,
     "category_rate_join": q_category_rate_join,
     "device_rate_join": q_device_rate_join,
+    "device_rate_rows": q_device_rate_rows,
     "time_floor": q_time_floor,
     "time_round": q_time_round,
     "minute_diff": q_minute_diff,

@@ -9,6 +9,7 @@ KEYS_1 = ("data_pattern | 7 AS data_pt, data_name AS data_dn, data_date AS data_
 KEYS_2 = ("data_date AS data_dt, data_i1, data_i2, data_i3, nullif(data_a1, '') AS data_a1, "
           "nullif(data_a2, '') AS data_a2, nullif(data_a3, '') AS data_a3")
 EVENTS_DAY = "data_ts >= TIMESTAMP '2024-01-03 00:00:00' AND data_ts < TIMESTAMP '2024-01-04 00:00:00'"
+TPCH_ALL = "data_date >= DATE '1992-01-01' AND data_date < DATE '2002-01-01'"
 TPCH_DAY = "data_ts >= TIMESTAMP '1998-06-01 00:00:00' AND data_ts < TIMESTAMP '1998-06-02 00:00:00'"
 
 
@@ -33,9 +34,11 @@ SQL = {
     "chunk_agg_daily": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {u_lineitem_sql()} "
                         f"WHERE {TPCH_DAY} GROUP BY ALL"),
     "two_source_daily": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {u_orders_sql()} "
-                         f"WHERE {TPCH_DAY} GROUP BY ALL UNION ALL "
+                         f"WHERE {TPCH_ALL} GROUP BY ALL UNION ALL "
                          f"SELECT {KEYS_2}, {measures_1(True)} FROM {u_lineitem_sql()} "
-                         f"WHERE {TPCH_DAY} GROUP BY ALL"),
+                         f"WHERE {TPCH_ALL} GROUP BY ALL"),
+    "test_chunk_agg": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {u_events_sql()} "
+                       f"WHERE {EVENTS_DAY} GROUP BY ALL"),
     "preview_chunk": (
         "SELECT 'events' AS source_table, CAST(7 AS BIGINT) AS effective_mask, true AS accepted, "
         "'data_pt,data_dn,data_dt,data_hr,data_ts,data_i1,data_i2,data_i3' AS kept_dims, "

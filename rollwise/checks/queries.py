@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.aggregate import in_chunk, key_exprs, plan_source
-from ..plans.incremental import chunk_batch, preview
+from ..plans.incremental import chunk_batch, preview, range_batch
 from ..session import apply_defaults
 from ..sources.catalog import Catalog, resolve_source
 from ..sources.unified import u_events, u_orders
@@ -85,13 +85,23 @@ def q_chunk_agg_daily(spark, sf_dir):
 
 
 def q_two_source_daily(spark, sf_dir):
+    """Two sources into one daily target over their whole date range."""
     t = fx.target_2()
-    b = chunk_batch(catalog(spark, sf_dir), t,
+    b = range_batch(catalog(spark, sf_dir), t,
                     [fx.src_orders(t.target_table), fx.src_lineitem(t.target_table)],
-                    fx.DAY_TPCH)
+                    fx.TPCH_FIRST, fx.TPCH_LAST)
     return finish(b.frame)
 
 
+def q_test_chunk_agg(spark, sf_dir):
+    """Run one chunk for the sources under test only (I2): events is under
+    test (False), lineitem live (True), orders parked (NULL)."""
+    t = fx.target_2()
+    srcs = [fx.src_events(t.target_table, enabled=False), fx.src_lineitem(t.target_table),
+            fx.src_orders(t.target_table, enabled=None)]
+    return finish(chunk_batch(catalog(spark, sf_dir), t, srcs, fx.DAY_EVENTS, mode="test").frame)
+
+
 def q_preview_chunk(spark, sf_dir):
     """Dry run: nothing is written; one report row per source."""
     t = fx.target_1(flexible=False)
@@ -112,5 +122,6 @@ QUERIES = {
     "chunk_agg_5min": q_chunk_agg_5min,
     "chunk_agg_daily": q_chunk_agg_daily,
     "two_source_daily": q_two_source_daily,
+    "test_chunk_agg": q_test_chunk_agg,
     "preview_chunk": q_preview_chunk,
 }

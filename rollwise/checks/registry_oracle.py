@@ -110,6 +110,22 @@ SQL = {
         "AS BIGINT), i.target_table, i.target_label, i.batch_control_size, i.batch_schedule_type, "
         "i.groupby_pattern, i.groupby_flexible FROM inc i "
         "WHERE i.target_table NOT IN (SELECT target_table FROM cur)"),
+    "registry_sources_upsert": (
+        f"WITH cur AS (SELECT * FROM {SOURCES_GEN}), inc AS ("
+        "SELECT CAST(o_custkey AS VARCHAR) AS target_table, CAST(o_orderkey AS VARCHAR) AS "
+        "source_table, false AS source_enabled, CAST(0 AS BIGINT) AS pattern_default FROM orders "
+        "WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT CAST(c_custkey AS VARCHAR), "
+        "'nation_' || CAST(c_nationkey AS VARCHAR), CAST(NULL AS BOOLEAN), CAST(16 AS BIGINT) "
+        "FROM customer) "
+        "SELECT c.id, c.target_table, c.source_table, CASE WHEN i.target_table IS NOT NULL THEN "
+        "i.source_enabled ELSE c.source_enabled END AS source_enabled, CASE WHEN i.target_table "
+        "IS NOT NULL THEN i.pattern_default ELSE c.pattern_default END AS pattern_default "
+        "FROM cur c LEFT JOIN inc i ON i.target_table = c.target_table AND i.source_table = "
+        "c.source_table UNION ALL "
+        "SELECT CAST((SELECT max(id) FROM cur) + row_number() OVER (ORDER BY i.target_table, "
+        "i.source_table) AS BIGINT), i.target_table, i.source_table, i.source_enabled, "
+        "i.pattern_default FROM inc i WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE "
+        "c.target_table = i.target_table AND c.source_table = i.source_table)"),
     "mapping_split": (
         "SELECT target_table, array_to_string(list_transform(groupby_columns, lambda x: "
         "split_part(x, ':', 1)), ',') AS target_dims, array_to_string(list_transform("

@@ -104,6 +104,24 @@ def q_registry_upsert(spark, sf_dir):
                       "batch_schedule_type", "groupby_pattern", "groupby_flexible")
 
 
+def q_registry_sources_upsert(spark, sf_dir):
+    """Upsert sources by (target, source) (M3): urgent orders' sources are
+    reconfigured; one new source per customer (its nation feed) is added with
+    the next ids in key order."""
+    cat, _, s = _reg(spark, sf_dir)
+    urgent = cat.table("orders").where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_custkey").cast("string").alias("target_table"),
+        F.col("o_orderkey").cast("string").alias("source_table"),
+        F.lit(False).alias("source_enabled"), F.lit(0).cast("bigint").alias("pattern_default"))
+    feeds = cat.table("customer").select(
+        F.col("c_custkey").cast("string").alias("target_table"),
+        F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("source_table"),
+        F.lit(None).cast("boolean").alias("source_enabled"),
+        F.lit(16).cast("bigint").alias("pattern_default"))
+    out = upsert_registry(s, urgent.unionByName(feeds), ["target_table", "source_table"])
+    return out.select("id", "target_table", "source_table", "source_enabled", "pattern_default")
+
+
 def q_mapping_split(spark, sf_dir):
     _, t, _ = _reg(spark, sf_dir)
     return R.mapping_columns(t).select(
@@ -161,6 +179,7 @@ QUERIES = {
     "source_availability": q_source_availability,
     "set_enabled": q_set_enabled,
     "registry_upsert": q_registry_upsert,
+    "registry_sources_upsert": q_registry_sources_upsert,
     "mapping_split": q_mapping_split,
     "pattern_from_flags": q_pattern_from_flags,
     "pattern_from_names": q_pattern_from_names,

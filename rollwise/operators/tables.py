@@ -64,10 +64,10 @@ def write_target(df: DataFrame, path: str, control_column: str) -> None:
     """Replace the partitions (days) present in ``df``; keep all others.
 
     Rows are clustered by day before the write so each day is written by few
-    tasks (few files), without funnelling a day into one task when it is
-    large (AQE splits big partitions)."""
+    tasks (few files).  The ``rebalance`` hint lets AQE split a day that holds
+    a large share of the rows over several tasks instead of one."""
     out = with_partition(df, control_column)
-    (out.repartition(F.col(PARTITION_COLUMN))
+    (out.hint("rebalance", PARTITION_COLUMN)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COLUMN).parquet(path))
 

@@ -119,8 +119,9 @@ def q_incremental_run(spark, sf_dir):
     t.batch_processed = dt.datetime(2024, 1, 4)
     src = [fx.src_events(t.target_table)]
     path = fresh_path(spark, "incremental_daily")
-    first = run_target(cat, t, src, dt.datetime(2024, 1, 20, 9, 0), path)
-    t.batch_processed = first.end
+    src[0].data_availabletime = dt.datetime(2024, 1, 20)   # source complete up to here
+    run_target(cat, t, src, dt.datetime(2024, 1, 20, 9, 0), path)
+    assert t.batch_processed == dt.datetime(2024, 1, 20) and t.batch_processing is None
     run_target(cat, t, src, dt.datetime(2024, 1, 31, 9, 0), path)
     return finish(spark.read.parquet(path).drop("control_day"))
 

@@ -230,4 +230,17 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     new = replace_batch(conform(existing, schema), target, batch, begin, end_excl)
     if not script_only:
         write_target(new, path, target.control_column)
+        finish_run(target, live, now)  # only after the write succeeded (Q9)
     return RunResult(True, begin, end, n, new)
+
+
+def finish_run(target: TargetSpec, live: list[SourceSpec], now: dt.datetime) -> None:
+    """State after a successful run of one target (I7, I8): processed moves to
+    the earliest availability of its live sources (a source without one holds
+    it at the old value); the lock and the current chunk are cleared."""
+    if live:
+        target.batch_processed = min(s.data_availabletime or target.batch_processed
+                                     for s in live)
+    target.batch_processing = None
+    target.batch_microchunk_current = None
+    target.batch_schedule_last = now

@@ -126,6 +126,10 @@ SQL = {
         "i.source_table) AS BIGINT), i.target_table, i.source_table, i.source_enabled, "
         "i.pattern_default FROM inc i WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE "
         "c.target_table = i.target_table AND c.source_table = i.source_table)"),
+    "registry_from_json": ("SELECT CAST(c_custkey AS VARCHAR) AS target_table, "
+                           "CAST(c_custkey % 2048 AS BIGINT) AS groupby_pattern, "
+                           "CAST(11 - bit_count(CAST(c_custkey % 2048 AS BIGINT)) AS BIGINT) "
+                           "AS n_groupby FROM customer"),
     "mapping_split": (
         "SELECT target_table, array_to_string(list_transform(groupby_columns, lambda x: "
         "split_part(x, ':', 1)), ',') AS target_dims, array_to_string(list_transform("

@@ -122,6 +122,22 @@ def q_registry_sources_upsert(spark, sf_dir):
     return out.select("id", "target_table", "source_table", "source_enabled", "pattern_default")
 
 
+def q_registry_from_json(spark, sf_dir):
+    """Targets registered from JSON text, with the mask given as a flag list
+    (1 = grouped): parsed back, the mask must equal the generating one."""
+    _, t, _ = _reg(spark, sf_dir)
+    src = mapping_sources(F.col("groupby_columns"))
+    flags = F.transform(F.col("pattern_columns"),
+                        lambda c: F.when(F.array_contains(src, c), 1).otherwise(0))
+    with_flags = t.withColumn("groupby_flags", F.to_json(flags))
+    text = with_flags.select("target_table", "groupby_flags", *[
+        F.to_json(with_flags[c]).alias(c) for c in (
+            "pattern_columns", "groupby_columns", "aggregate_columns", "aggregate_functions")])
+    parsed = R.parse_registry_text(text)
+    return parsed.select("target_table", "groupby_pattern",
+                         F.size("groupby_columns").cast("bigint").alias("n_groupby"))
+
+
 def q_mapping_split(spark, sf_dir):
     _, t, _ = _reg(spark, sf_dir)
     return R.mapping_columns(t).select(
@@ -180,6 +196,7 @@ QUERIES = {
     "set_enabled": q_set_enabled,
     "registry_upsert": q_registry_upsert,
     "registry_sources_upsert": q_registry_sources_upsert,
+    "registry_from_json": q_registry_from_json,
     "mapping_split": q_mapping_split,
     "pattern_from_flags": q_pattern_from_flags,
     "pattern_from_names": q_pattern_from_names,

@@ -204,6 +204,7 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     partition overwrite, so a rerun gives the same table.  ``lookback_days``
     redoes the last N days each run (sliding range).  With ``script_only``
     nothing is written and the new content is returned lazily (dry run)."""
+    from pyspark.errors import AnalysisException
     from ..operators.tables import conform, read_target, target_schema, write_target
     target.validate()
     if lookback_days is not None:
@@ -225,7 +226,9 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
         existing = read_target(catalog.spark, path,
                                (begin.date(), (end_excl - dt.timedelta(microseconds=1)).date()))
         existing = existing.drop("control_day")
-    except Exception:  # first run: no table yet
+    except AnalysisException as e:  # first run: no table yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
         existing = catalog.spark.createDataFrame([], schema)
     new = replace_batch(conform(existing, schema), target, batch, begin, end_excl)
     if not script_only:

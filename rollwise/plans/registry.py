@@ -187,6 +187,26 @@ def mapping_columns(targets: DataFrame) -> DataFrame:
                           mapping_sources(F.col("groupby_columns")).alias("source_dims"))
 
 
+def parse_registry_text(df: DataFrame) -> DataFrame:
+    """Registry rows as registered from text (F17, U2): JSON arrays become
+    ``array<string>``; the group-by pattern comes from a JSON flag list
+    (``groupby_flags``) when given, else from the names."""
+    from ..functions.pattern import flags_pattern, names_pattern
+    arr = "array<string>"
+    out = (df.withColumn("pattern_columns", F.from_json("pattern_columns", arr))
+           .withColumn("groupby_columns", F.from_json("groupby_columns", arr))
+           .withColumn("aggregate_columns", F.from_json("aggregate_columns", arr))
+           .withColumn("aggregate_functions", F.from_json("aggregate_functions", arr)))
+    by_names = names_pattern(F.col("pattern_columns"), mapping_sources(F.col("groupby_columns")))
+    if "groupby_flags" in df.columns:
+        flags = F.from_json("groupby_flags", "array<int>")
+        out = out.withColumn("groupby_pattern", F.coalesce(flags_pattern(flags), by_names)) \
+            .drop("groupby_flags")
+    else:
+        out = out.withColumn("groupby_pattern", by_names)
+    return out
+
+
 def backfill(targets: DataFrame, target_table: str, processed: dt.datetime) -> DataFrame:
     """Backfill reset (I11): processed set back, processing cleared."""
     return update_where(targets, F.col("target_table") == F.lit(target_table), {

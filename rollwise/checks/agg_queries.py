@@ -34,13 +34,15 @@ def q_batch_all_chunks(spark, sf_dir):
 
 
 def q_sliding_reaggregate(spark, sf_dir):
-    """Sliding range (I10): redo the last 10 days before 2024-01-30 (daily target)."""
-    t = fx.target_2()
-    now = dt.datetime(2024, 1, 30, 12, 0)
-    t.batch_processed = now.replace(hour=0, minute=0) - dt.timedelta(days=10, minutes=1440)
-    begin, end = plan_bounds(t, now)
-    b = range_batch(catalog(spark, sf_dir), t, [fx.src_events(t.target_table)], begin, end)
-    return finish(b.frame)
+    """Sliding range (I10): each run redoes the last 10 days before today
+    (2024-01-30) of the daily target; dry run, so the new content is returned."""
+    from ..plans.incremental import run_target
+    from ..session import fresh_path
+    t = fx.target_2(name="sliding_daily")
+    r = run_target(catalog(spark, sf_dir), t, [fx.src_events(t.target_table)],
+                   dt.datetime(2024, 1, 30, 12, 0), fresh_path(spark, "sliding_daily"),
+                   script_only=True, lookback_days=10)
+    return finish(r.written)
 
 
 def q_mixed_granularity(spark, sf_dir):

@@ -222,6 +222,7 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     batch = range_batch(catalog, target, sources, begin, end)
     live = [s for s in select_sources(sources, target)]
     schema = target_schema(target, resolve_source(catalog, live[0])) if live else None
+    stored = True
     try:
         existing = read_target(catalog.spark, path,
                                (begin.date(), (end_excl - dt.timedelta(microseconds=1)).date()))
@@ -229,9 +230,13 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     except AnalysisException as e:  # first run: no table yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        existing = catalog.spark.createDataFrame([], schema)
+        existing, stored = catalog.spark.createDataFrame([], schema), False
     new = replace_batch(conform(existing, schema), target, batch, begin, end_excl)
     if not script_only:
+        if stored:
+            # The new days are built from the files about to be replaced: cut
+            # the lineage first, so a retried task never reads a half-replaced day.
+            new = new.checkpoint(eager=True)
         write_target(new, path, target.control_column)
         finish_run(target, live, now)  # only after the write succeeded (Q9)
     return RunResult(True, begin, end, n, new)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, functions as F
 
 from ..operators.rates import MOBILE_ALIASES, OTHER_DEVICE, OTHERS_BLOCKER, OTHERS_KEY
 
+# The field names of a tier entry in the terms JSON.
 TIER_TYPE = "array<struct<RANGE_LOWER:double,RANGE_UPPER:double,REVENUE_SHARE:double>>"
 
 

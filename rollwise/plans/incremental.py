@@ -81,6 +81,8 @@ def chunk_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
             continue  # granularity gate: a finer target cannot take a coarser source
         df = resolve_source(catalog, s)
         ctl = s.control_column or target.control_column
+        if ctl not in df.columns:  # the source names it only through the mapping
+            ctl = target.source_of(target.control_column)
         df = df.where(in_chunk(time_col(df, ctl), start, minutes, target.step, catalog.spark))
         parts.append((plan, aggregate_frame(df, target, plan)))
     return _combine(target, parts, plans)

@@ -54,6 +54,11 @@ SQL = {
                             "DATE '2024-01-20' AND data_date < DATE '2024-01-31' GROUP BY ALL"),
     "incremental_run": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "
                         "DATE '2024-01-05' AND data_date < DATE '2024-02-01' GROUP BY ALL"),
+    "demo_workflow": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_ts >= "
+                      "TIMESTAMP '2024-01-03 00:00:00' AND data_ts < TIMESTAMP '2024-01-04 00:00:00' "
+                      "GROUP BY ALL UNION ALL "
+                      f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "
+                      "DATE '2024-01-05' AND data_date < DATE '2024-01-11' GROUP BY ALL"),
     "mixed_granularity": f"SELECT {KEYS_4}, {measures_1()} FROM {U} GROUP BY ALL",
     "multi_target_rollup": ROLLUP,
     "mask_projection": (f"SELECT {KEYS_2}, value_i1, value_i2, CAST(value_d1 AS DOUBLE) AS value_d1, "

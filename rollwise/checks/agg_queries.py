@@ -128,6 +128,41 @@ def q_incremental_run(spark, sf_dir):
     return finish(spark.read.parquet(path).drop("control_day"))
 
 
+def q_demo_workflow(spark, sf_dir):
+    """The demo flow on a persisted registry: register a daily target from JSON
+    text, test a new source on 2024-01-03, park it, enable it, run every due
+    chunk up to 2024-01-10; returns the target table."""
+    import json
+    from ..plans.workflow import Registry
+    from ..session import fresh_path
+    from ..sources.unified import PATTERN_COLUMNS, U_EVENTS_SQL
+    t2 = fx.target_2()
+    reg = Registry(spark, fresh_path(spark, "registry"))
+    spec = spark.createDataFrame([(
+        "demo: daily target", "daily", "data_dt", 1440, "DATEADD(MINUTE, :2, :1)", "DAILY",
+        json.dumps(PATTERN_COLUMNS), json.dumps(t2.groupby_columns), json.dumps(fx.FLAGS_2),
+        True, json.dumps(t2.aggregate_columns), json.dumps(t2.aggregate_functions))],
+        "target_label string, target_table string, batch_control_column string, "
+        "batch_control_size bigint, batch_control_next string, batch_schedule_type string, "
+        "pattern_columns string, groupby_columns string, groupby_flags string, "
+        "groupby_flexible boolean, aggregate_columns string, aggregate_functions string")
+    reg.register_targets(spec.withColumn("batch_processed", F.lit(dt.datetime(2024, 1, 4))
+                                         .cast("timestamp_ntz")))
+    src = spark.createDataFrame([("daily", "events", False, 0, U_EVENTS_SQL)],
+                                "target_table string, source_table string, "
+                                "source_enabled boolean, pattern_default bigint, "
+                                "transformation string")
+    reg.register_sources(src.withColumn("data_availabletime",
+                                        F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz")))
+    cat = catalog(spark, sf_dir)
+    path = fresh_path(spark, "demo_daily")
+    reg.aggregate_chunk(cat, "daily", dt.datetime(2024, 1, 3), path, mode="test")
+    reg.set_enabled("daily", ["events"], None)
+    reg.set_enabled("daily", ["events"], True)
+    reg.aggregate_due(cat, "daily", dt.datetime(2024, 1, 10, 8, 0), path)
+    return finish(spark.read.parquet(path).drop("control_day"))
+
+
 # ---- upsert family: target = days 1-10 (+1 on every measure), batch = days 8-12
 
 DAY_TYPE_MASK = 2047 - 256 - 4   # keeps data_date and data_a1
@@ -187,6 +222,7 @@ QUERIES = {
     "batch_all_chunks": q_batch_all_chunks,
     "sliding_reaggregate": q_sliding_reaggregate,
     "incremental_run": q_incremental_run,
+    "demo_workflow": q_demo_workflow,
     "mixed_granularity": q_mixed_granularity,
     "multi_target_rollup": q_multi_target_rollup,
     "mask_projection": q_mask_projection,

@@ -7,8 +7,6 @@ to double at the very end so both engines print the same values.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.aggregate import in_chunk, key_exprs, plan_source

@@ -10,7 +10,7 @@ registry-wide work: due targets, watermarks, gates).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable, Union
 
 from pyspark.sql import DataFrame, types as T
@@ -181,4 +181,4 @@ def target_from_row(r) -> TargetSpec:
 
 
 __all__ = ["TargetSpec", "SourceSpec", "TARGETS_SCHEMA", "SOURCES_SCHEMA", "split_mapping",
-           "target_row", "source_row", "target_from_row", "DEFAULT_STEP", "field"]
+           "target_row", "source_row", "target_from_row", "DEFAULT_STEP"]

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from rollwise.functions.timegrid import floor_minutes, minute_diff, round_minutes, ts_lit
 from rollwise.plans.incremental import chunk_starts, is_due, plan_bounds
 from rollwise.checks import fixtures as fx

@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Above this many card rows the card is not broadcast; keyed cards then use
 # a shuffled equi-join on the card key.
 MAX_BROADCAST_ROWS = 200_000
+# A range join without a card key is a broadcast nested loop (each row is
+# compared with every interval), so its interval count is held much lower.
+MAX_RANGE_INTERVALS = 10_000
 
 # Fixed values of the device rule: these spellings fold to "mobile".
 MOBILE_ALIASES = ["phone", "smart phones"]
@@ -22,10 +25,10 @@ OTHERS_BLOCKER = "(Others)"
 OTHER_DEVICE = "other"
 
 
-def _small(card: DataFrame, by: list[str]) -> DataFrame:
+def _small(card: DataFrame, by: list[str], limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast the card only when its row count is under the bound."""
     n = card.count()
-    if n <= MAX_BROADCAST_ROWS:
+    if n <= limit:
         return F.broadcast(card)
     if not by:
         raise ValueError(f"rate card of {n} rows needs a card key to join on")
@@ -68,7 +71,7 @@ def tier_rate_join(df: DataFrame, value: str, tiers: DataFrame, by: list[str] |
     iv = tier_intervals(tiers, by, **names)
     iv = iv.select(*[F.col(k).alias(f"_c_{k}") for k in by], F.col("lo").alias("_lo"),
                    F.col("hi").alias("_hi"), F.col("rate").alias(out))
-    iv = _small(iv, by)
+    iv = _small(iv, by, MAX_BROADCAST_ROWS if by else MAX_RANGE_INTERVALS)
     v = F.col(value)
     cond = [F.col(k) == F.col(f"_c_{k}") for k in by] + [
         v >= F.col("_lo"), F.col("_hi").isNull() | (v < F.col("_hi"))]
@@ -81,27 +84,32 @@ def category_rate_join(df: DataFrame, dim: Column, card: DataFrame, by: list[str
     """Rate at the upper-cased ``dim`` (J5).  When the card has no entry for it,
     the ``(OTHERS)`` rate applies, unless the card also has an ``(Others)``
     entry, which blocks the fallback.  A present entry with a NULL (not
-    numeric) rate gives NULL."""
+    numeric) rate gives NULL.
+
+    Without card keys the fallback is one value of the (bounded) card; with
+    card keys it is one row per card, joined on the card key."""
     by = list(by or [])
-    key = by or ["_rw_card"]
-    c = card if by else card.withColumn("_rw_card", F.lit(0))
-    hit = c.select(*[F.col(k).alias(f"_h_{k}") for k in key], F.col(category).alias("_cat"),
-                   F.col(rate).cast("double").alias("_hit_rate"), F.lit(True).alias("_hit"))
-    fb = (c.groupBy(*key).agg(
-        F.max(F.when(F.col(category) == OTHERS_KEY, F.col(rate).cast("double"))).alias("_oth"),
-        F.max((F.col(category) == OTHERS_BLOCKER).cast("int")).alias("_blocked"))
-        .select(*[F.col(k).alias(f"_f_{k}") for k in key], "_oth", "_blocked"))
-    base = df if by else df.withColumn("_rw_card", F.lit(0))
-    base = base.withColumn("_rw_dim", F.upper(dim))
-    j = base.join(_small(hit, by), on=[F.col(k) == F.col(f"_h_{k}") for k in key]
+    hit = card.select(*[F.col(k).alias(f"_h_{k}") for k in by], F.col(category).alias("_cat"),
+                      F.col(rate).cast("double").alias("_hit_rate"), F.lit(True).alias("_hit"))
+    fallback = [F.max(F.when(F.col(category) == OTHERS_KEY, F.col(rate).cast("double")))
+                .alias("_oth"),
+                F.max((F.col(category) == OTHERS_BLOCKER).cast("int")).alias("_blocked")]
+    base = df.withColumn("_rw_dim", F.upper(dim))
+    j = base.join(_small(hit, by), on=[F.col(k) == F.col(f"_h_{k}") for k in by]
                   + [F.col("_rw_dim") == F.col("_cat")], how="left")
-    j = j.join(_small(fb, by), on=[F.col(k) == F.col(f"_f_{k}") for k in key], how="left")
-    val = (F.when(F.col("_hit").isNotNull(), F.col("_hit_rate"))
-           .when(F.coalesce(F.col("_blocked"), F.lit(0)) == 0, F.col("_oth")))
-    drop = ([f"_h_{k}" for k in key] + [f"_f_{k}" for k in key]
-            + ["_cat", "_hit_rate", "_hit", "_oth", "_blocked", "_rw_dim"]
-            + ([] if by else ["_rw_card"]))
-    return j.withColumn(out, val).drop(*drop)
+    if by:
+        fb = card.groupBy(*by).agg(*fallback).select(
+            *[F.col(k).alias(f"_f_{k}") for k in by], "_oth", "_blocked")
+        j = j.join(_small(fb, by), on=[F.col(k) == F.col(f"_f_{k}") for k in by], how="left")
+        oth, blocked = F.col("_oth"), F.coalesce(F.col("_blocked"), F.lit(0))
+    else:
+        row = card.agg(*fallback).first()
+        oth = F.lit(row["_oth"]).cast("double")
+        blocked = F.lit(int(row["_blocked"] or 0))
+    val = F.when(F.col("_hit").isNotNull(), F.col("_hit_rate")).when(blocked == 0, oth)
+    drop = ([f"_h_{k}" for k in by] + [f"_f_{k}" for k in by]
+            + ["_cat", "_hit_rate", "_hit", "_oth", "_blocked", "_rw_dim"])
+    return j.withColumn(out, val).drop(*[c for c in drop if c in j.columns])
 
 
 def fold_device(dim: Column) -> Column:
@@ -117,22 +125,25 @@ def device_rate_join(df: DataFrame, dim: Column, card: DataFrame, by: list[str]
     the folded device; if none, or that rate is 0, the first numeric
     ``other`` rate (a 0 with no ``other`` stays 0)."""
     by = list(by or [])
-    key = by or ["_rw_card"]
-    c = card if by else card.withColumn("_rw_card", F.lit(0))
-    first = (c.where(F.col(rate).isNotNull())
-             .groupBy(*key, F.col(device).alias("_dev"))
+    first = (card.where(F.col(rate).isNotNull())
+             .groupBy(*by, F.col(device).alias("_dev"))
              .agg(F.min_by(F.col(rate).cast("double"), F.col(pos)).alias("_dev_rate")))
-    dev = first.select(*[F.col(k).alias(f"_d_{k}") for k in key], "_dev", "_dev_rate")
-    oth = first.where(F.col("_dev") == OTHER_DEVICE).select(
-        *[F.col(k).alias(f"_o_{k}") for k in key], F.col("_dev_rate").alias("_oth"))
-    base = df if by else df.withColumn("_rw_card", F.lit(0))
-    base = base.withColumn("_rw_dim", fold_device(dim))
-    j = base.join(_small(dev, by), on=[F.col(k) == F.col(f"_d_{k}") for k in key]
+    dev = first.select(*[F.col(k).alias(f"_d_{k}") for k in by], "_dev", "_dev_rate")
+    base = df.withColumn("_rw_dim", fold_device(dim))
+    j = base.join(_small(dev, by), on=[F.col(k) == F.col(f"_d_{k}") for k in by]
                   + [F.col("_rw_dim") == F.col("_dev")], how="left")
-    j = j.join(_small(oth, by), on=[F.col(k) == F.col(f"_o_{k}") for k in key], how="left")
+    others = first.where(F.col("_dev") == OTHER_DEVICE)
+    if by:
+        oth_df = others.select(*[F.col(k).alias(f"_o_{k}") for k in by],
+                               F.col("_dev_rate").alias("_oth"))
+        j = j.join(_small(oth_df, by), on=[F.col(k) == F.col(f"_o_{k}") for k in by],
+                   how="left")
+        oth = F.col("_oth")
+    else:
+        row = others.select("_dev_rate").first()   # at most one row: the card's other
+        oth = F.lit(row["_dev_rate"] if row else None).cast("double")
     r = F.col("_dev_rate")
-    val = (F.when(r.isNotNull() & (r != 0), r).when(F.col("_oth").isNotNull(), F.col("_oth"))
-           .otherwise(r))
-    drop = ([f"_d_{k}" for k in key] + [f"_o_{k}" for k in key]
-            + ["_dev", "_dev_rate", "_oth", "_rw_dim"] + ([] if by else ["_rw_card"]))
-    return j.withColumn(out, val).drop(*drop)
+    val = F.when(r.isNotNull() & (r != 0), r).when(oth.isNotNull(), oth).otherwise(r)
+    drop = ([f"_d_{k}" for k in by] + [f"_o_{k}" for k in by]
+            + ["_dev", "_dev_rate", "_oth", "_rw_dim"])
+    return j.withColumn(out, val).drop(*[c for c in drop if c in j.columns])

@@ -137,26 +137,29 @@ def replace_batch(existing: DataFrame, target: TargetSpec, batch: Batch,
 def preview(batch: Batch, spark) -> DataFrame:
     """Dry run (S9): what each source would load, without writing.
 
-    One row per selected source: effective mask, gate result, kept dims, and
-    the number of target rows and source rows it would upsert.  The counts
-    are lazy aggregates over the batch parts."""
+    One row per selected source: effective mask, gate result, kept dims and
+    the number of target rows it would upsert (a lazy count over its part).
+    Rejected sources report 0 rows, as the warehouse loaded nothing for them."""
     from pyspark.sql import types as T
-    info = spark.createDataFrame(
-        [(p.source.source_table, int(p.effective_mask), bool(p.accepted), ",".join(p.keys))
-         for p in batch.plans],
-        T.StructType([T.StructField("source_table", T.StringType()),
-                      T.StructField("effective_mask", T.LongType()),
-                      T.StructField("accepted", T.BooleanType()),
-                      T.StructField("kept_dims", T.StringType())]))
-    counts = None
-    for p, df in batch.parts:
-        c = df.agg(F.count(F.lit(1)).alias("n_groups")).select(
-            F.lit(p.source.source_table).alias("source_table"), "n_groups")
-        counts = c if counts is None else counts.unionByName(c)
-    if counts is None:
-        return info.withColumn("n_groups", F.lit(0).cast("bigint"))
-    return (info.join(counts, "source_table", "left")
-            .withColumn("n_groups", F.coalesce(F.col("n_groups"), F.lit(0)).cast("bigint")))
+    schema = T.StructType([T.StructField("source_table", T.StringType()),
+                           T.StructField("effective_mask", T.LongType()),
+                           T.StructField("accepted", T.BooleanType()),
+                           T.StructField("kept_dims", T.StringType()),
+                           T.StructField("n_groups", T.LongType())])
+    parts = {id(p): df for p, df in batch.parts}
+    rows = None
+    for p in batch.plans:
+        meta = [F.lit(p.source.source_table).alias("source_table"),
+                F.lit(int(p.effective_mask)).cast("bigint").alias("effective_mask"),
+                F.lit(bool(p.accepted)).alias("accepted"),
+                F.lit(",".join(p.keys)).alias("kept_dims")]
+        if id(p) in parts:
+            r = parts[id(p)].agg(F.count(F.lit(1)).alias("n_groups")).select(*meta, "n_groups")
+        else:
+            r = spark.createDataFrame([(p.source.source_table, int(p.effective_mask),
+                                        bool(p.accepted), ",".join(p.keys), 0)], schema)
+        rows = r if rows is None else rows.unionByName(r)
+    return rows if rows is not None else spark.createDataFrame([], schema)
 
 
 def plan_bounds(target: TargetSpec, now: dt.datetime) -> tuple[dt.datetime, dt.datetime]:

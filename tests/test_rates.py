@@ -68,3 +68,35 @@ def test_device_join_zero_falls_to_other(spark):
     dims = spark.createDataFrame([("Phone",), ("TV",), ("radio",)], "d string")
     got = {r.d: r.rate for r in device_rate_join(dims, F.col("d"), card).collect()}
     assert got == {"Phone": 0.4, "TV": 0.1, "radio": 0.1}
+
+
+def test_keyed_cards(spark):
+    """Each row carries its card key; lookups join on it (no nested loop)."""
+    tiers = spark.createDataFrame([("a", 1, 0.0, 10.0, 0.2), ("a", 2, 10.0, None, 0.3),
+                                   ("b", 1, 0.0, None, 0.9)],
+                                  "card string, tier_no int, range_lower double, "
+                                  "range_upper double, revenue_share double")
+    vals = spark.createDataFrame([("a", 5.0), ("a", 50.0), ("b", 5.0), ("c", 5.0)],
+                                 "card string, v double")
+    out = tier_rate_join(vals, "v", tiers, by=["card"])
+    assert {(r.card, r.v): r.rate for r in out.collect()} == {
+        ("a", 5.0): 0.2, ("a", 50.0): 0.3, ("b", 5.0): 0.9, ("c", 5.0): None}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+
+    cats = spark.createDataFrame([("a", "US", 0.3), ("a", "(OTHERS)", 0.1), ("b", "US", 0.5),
+                                  ("b", "(Others)", 0.0), ("b", "(OTHERS)", 0.2)],
+                                 "card string, category string, rate double")
+    dims = spark.createDataFrame([("a", "us"), ("a", "fr"), ("b", "fr")], "card string, d string")
+    got = {(r.card, r.d): r.rate
+           for r in category_rate_join(dims, F.col("d"), cats, by=["card"]).collect()}
+    assert got == {("a", "us"): 0.3, ("a", "fr"): 0.1, ("b", "fr"): None}
+
+    devs = spark.createDataFrame([("a", 1, "tv", 0.0), ("a", 2, "other", 0.1),
+                                  ("b", 1, "tv", 0.7)],
+                                 "card string, pos int, device string, rate double")
+    rows = spark.createDataFrame([("a", "TV"), ("b", "TV"), ("b", "radio")],
+                                 "card string, d string")
+    got = {(r.card, r.d): r.rate
+           for r in device_rate_join(rows, F.col("d"), devs, by=["card"]).collect()}
+    assert got == {("a", "TV"): 0.1, ("b", "TV"): 0.7, ("b", "radio"): None}

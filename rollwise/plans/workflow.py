@@ -48,13 +48,22 @@ class Registry:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _latest(self, kind: str) -> int:
+    def _versions(self, kind: str) -> list[tuple[int, bool]]:
+        """(version, committed) for every snapshot folder; a folder counts as
+        committed once the job's ``_SUCCESS`` marker is there."""
         p, fs = self._fs(f"{self.root}/{kind}")
         if not fs.exists(p):
-            return 0
-        nums = [int(m.group(1)) for st in fs.listStatus(p)
-                if (m := _VERSION.search(st.getPath().getName()))]
-        return max(nums, default=0)
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            m = _VERSION.search(st.getPath().getName())
+            if m:
+                ok = fs.exists(self._fs(f"{st.getPath().toString()}/_SUCCESS")[0])
+                out.append((int(m.group(1)), ok))
+        return out
+
+    def _latest(self, kind: str) -> int:
+        return max((v for v, ok in self._versions(kind) if ok), default=0)
 
     def _read(self, kind: str, schema) -> DataFrame:
         v = self._latest(kind)
@@ -63,7 +72,9 @@ class Registry:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{kind}/v{v:06d}")
 
     def _commit(self, kind: str, df: DataFrame, schema) -> None:
-        v = self._latest(kind) + 1
+        # Number past every folder, committed or not: a job lost halfway leaves
+        # a folder without a marker, which readers skip and writers never reuse.
+        v = max((v for v, _ in self._versions(kind)), default=0) + 1
         conform(df, schema).write.mode("errorifexists").parquet(f"{self.root}/{kind}/v{v:06d}")
 
     def targets(self) -> DataFrame:

@@ -65,3 +65,18 @@ def test_registry_workflow(spark):
     got = table.where(F.col("data_dt") >= F.lit(dt.date(2024, 1, 5))).select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert table.where(F.col("data_dt") == F.lit(dt.date(2024, 1, 3))).count() == tested.count()
+
+
+def test_uncommitted_snapshot_is_skipped(spark):
+    reg = Registry(spark, fresh_path(spark, "registry2"))
+    src = spark.createDataFrame([("t", "a", True, 0, None)],
+                                "target_table string, source_table string, source_enabled boolean, "
+                                "pattern_default bigint, transformation string")
+    reg.register_sources(src)
+    # A lost job leaves a snapshot folder without its _SUCCESS marker.
+    spark.createDataFrame([(99,)], "x int").write.parquet(reg.root + "/sources/v000002")
+    import os
+    os.remove(reg.root.replace("file:", "") + "/sources/v000002/_SUCCESS")
+    assert reg.sources().count() == 1
+    reg.set_enabled("t", ["a"], False)
+    assert reg._latest("sources") == 3 and reg.source_specs("t")[0].enabled is False

@@ -51,7 +51,8 @@ def target_2(name: str = "target_2") -> TargetSpec:
                       schedule_type="DAILY", pattern_columns=list(PATTERN_COLUMNS),
                       groupby_columns=dims, groupby_pattern=MASK_2, groupby_flexible=True,
                       aggregate_columns=list(TARGET_MEASURES),
-                      aggregate_functions=list(FUNCS_2), not_null=("data_dt", "data_i1"))
+                      aggregate_functions=list(FUNCS_2), not_null=("data_dt", "data_i1"),
+                      source_dim="data_i1")   # 1 events, 2 orders, 3 lineitem
 
 
 def src_events(target: str, enabled=True, pattern_default: int = 0, priority: int = 0,

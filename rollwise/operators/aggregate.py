@@ -133,6 +133,26 @@ def aggregate_frame(df: DataFrame, target: TargetSpec, plan: SourcePlan) -> Data
     return df.groupBy(*keys).agg(*aggregate_exprs(target))
 
 
+def projected_frame(df: DataFrame, target: TargetSpec, plan: SourcePlan) -> DataFrame:
+    """The rows a source feeds into the grouping: keys (target names) and the
+    aggregated input columns, before any shuffle."""
+    return df.select(*key_exprs(df, target, plan),
+                     *[F.col(c) for c in dict.fromkeys(target.measures[1])])
+
+
+def aggregate_union(projected: list[DataFrame], target: TargetSpec,
+                    keys: list[str]) -> DataFrame:
+    """One aggregation over the union of several sources' projected rows.
+
+    Only valid when the keys tell the sources apart (a declared source dim):
+    then it equals aggregating each source and unioning, with one shuffle
+    for all sources instead of one per source."""
+    u = projected[0]
+    for df in projected[1:]:
+        u = u.unionByName(df, allowMissingColumns=True)
+    return u.groupBy(*keys).agg(*aggregate_exprs(target))
+
+
 def combine_sources(parts: list[tuple[int, DataFrame]], keys: list[str],
                     measures: list[str]) -> DataFrame:
     """Union per-source aggregates into one batch.

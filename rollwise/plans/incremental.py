@@ -15,8 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timegrid import ts_lit
-from ..operators.aggregate import (SourcePlan, aggregate_frame, combine_sources, in_chunk,
-                                   plan_source, time_col)
+from ..operators.aggregate import (SourcePlan, aggregate_frame, aggregate_union,
+                                   combine_sources, in_chunk, plan_source, projected_frame,
+                                   time_col)
 from ..operators.upsert import purge, upsert
 from ..sources.catalog import Catalog, resolve_source
 from ..specs import SourceSpec, TargetSpec
@@ -57,11 +58,18 @@ class Batch:
 
 
 def _combine(target: TargetSpec, parts: list[tuple[SourcePlan, DataFrame]],
-             plans: list[SourcePlan]) -> Batch:
+             plans: list[SourcePlan], projected: dict | None = None) -> Batch:
     if not parts:
         return Batch(None, plans, parts)
     b = Batch(None, plans, parts)
     measures = target.measures[0]
+    if len(parts) > 1 and target.source_dim and all(target.source_dim in p.keys
+                                                    for p, _ in parts):
+        # Each source has its own values of the source dim, so keys of two
+        # sources never collide: aggregate the union of their rows once (one
+        # shuffle for all sources, no tie-break).
+        b.frame = aggregate_union([projected[id(p)] for p, _ in parts], target, b.keys)
+        return b
     b.frame = combine_sources([(p.source.priority * 1000 + i, df)
                                for i, (p, df) in enumerate(parts)], b.keys, measures)
     return b
@@ -73,7 +81,7 @@ def chunk_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     source (I1, I2).  Like the warehouse procedure, each source is filtered
     on its own control column (raw time)."""
     minutes = minutes or target.chunk_minutes
-    plans, parts = [], []
+    plans, parts, projected = [], [], {}
     for s in select_sources(sources, target, mode):
         plan = plan_source(target, s)
         plans.append(plan)
@@ -85,7 +93,8 @@ def chunk_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
             ctl = target.source_of(target.control_column)
         df = df.where(in_chunk(time_col(df, ctl), start, minutes, target.step, catalog.spark))
         parts.append((plan, aggregate_frame(df, target, plan)))
-    return _combine(target, parts, plans)
+        projected[id(plan)] = projected_frame(df, target, plan)
+    return _combine(target, parts, plans, projected)
 
 
 def chunk_starts(begin: dt.datetime, end: dt.datetime, minutes: int) -> tuple[int, dt.datetime]:
@@ -105,7 +114,7 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     source also names its raw time column and a bound on the difference, a
     raw-time range is added so the parquet scan skips files outside it."""
     n, end_excl = chunk_starts(begin, end, target.chunk_minutes)
-    plans, parts = [], []
+    plans, parts, projected = [], [], {}
     ctl_src = target.source_of(target.control_column)
     for s in select_sources(sources, target, mode):
         plan = plan_source(target, s)
@@ -120,7 +129,8 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
             slack = dt.timedelta(minutes=s.control_slack_minutes)
             pred = pred & (raw >= ts_lit(begin - slack)) & (raw < ts_lit(end_excl + slack))
         parts.append((plan, aggregate_frame(df.where(pred), target, plan)))
-    return _combine(target, parts, plans)
+        projected[id(plan)] = projected_frame(df.where(pred), target, plan)
+    return _combine(target, parts, plans, projected)
 
 
 def replace_batch(existing: DataFrame, target: TargetSpec, batch: Batch,

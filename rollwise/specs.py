@@ -52,6 +52,7 @@ class TargetSpec:
     row_pattern_column: str | None = "data_pattern"  # source col OR-ed with mask
     not_null: tuple[str, ...] = ()
     blank_as_null: bool = True          # group '' and NULL as one key (Q7)
+    source_dim: str | None = None       # target dim that tells sources apart (Q5)
     label: str | None = None
     id: int | None = None
     batch_processed: dt.datetime | None = None

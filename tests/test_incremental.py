@@ -83,6 +83,7 @@ def test_gate_and_test_mode(spark):
 def test_source_collision_priority(spark):
     cat = Catalog(spark, SF)
     t = fx.target_2()
+    t.source_dim = None          # both sources are events: keys do collide
     low = fx.src_events(t.target_table, priority=0)
     high = fx.src_events(t.target_table, priority=5)
     high.transformation = lambda df: u_events(df).withColumn("value_i1", F.lit(1000).cast("bigint"))

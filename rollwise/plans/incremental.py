@@ -246,7 +246,10 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         existing, stored = catalog.spark.createDataFrame([], schema), False
-    new = replace_batch(conform(existing, schema), target, batch, begin, end_excl)
+    if stored:
+        new = replace_batch(conform(existing, schema), target, batch, begin, end_excl)
+    else:  # nothing stored yet: the batch is the new content, no join needed
+        new = conform(batch.frame, schema) if batch.frame is not None else existing
     if not script_only:
         if stored:
             # The new days are built from the files about to be replaced: cut

@@ -152,9 +152,10 @@ def q_demo_workflow(spark, sf_dir):
                                 "target_table string, source_table string, "
                                 "source_enabled boolean, pattern_default bigint, "
                                 "transformation string")
-    reg.register_sources(src.withColumn("data_availabletime",
-                                        F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz")))
+    reg.register_sources(src.withColumn("data_availabletime", F.lit(None)
+                                        .cast("timestamp_ntz")))
     cat = catalog(spark, sf_dir)
+    reg.refresh_availability(cat, "daily")   # newest data, floored to the day grid
     path = fresh_path(spark, "demo_daily")
     reg.aggregate_chunk(cat, "daily", dt.datetime(2024, 1, 3), path, mode="test")
     reg.set_enabled("daily", ["events"], None)

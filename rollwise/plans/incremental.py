@@ -220,7 +220,8 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     redoes the last N days each run (sliding range).  With ``script_only``
     nothing is written and the new content is returned lazily (dry run)."""
     from pyspark.errors import AnalysisException
-    from ..operators.tables import conform, read_target, target_schema, write_target
+    from ..operators.tables import (conform, enforce_not_null, read_target, target_schema,
+                                    write_target)
     target.validate()
     if lookback_days is not None:
         today = now.replace(hour=0, minute=0, second=0, microsecond=0)
@@ -250,6 +251,8 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
         new = replace_batch(conform(existing, schema), target, batch, begin, end_excl)
     else:  # nothing stored yet: the batch is the new content, no join needed
         new = conform(batch.frame, schema) if batch.frame is not None else existing
+    if target.not_null:  # the target's NOT NULL columns, checked in the write stage
+        new = enforce_not_null(new, [c for c in target.not_null if c in new.columns])
     if not script_only:
         if stored:
             # The new days are built from the files about to be replaced: cut

@@ -105,6 +105,26 @@ class Registry:
             pred = pred & F.col("source_table").isin(*source_tables)
         self._commit("sources", R.set_enabled(self.sources(), value, pred), SOURCES_SCHEMA)
 
+    def refresh_availability(self, catalog: Catalog, name: str) -> None:
+        """Availability refresh (I9): each source of ``name`` gets the newest
+        control time of its data, floored to the target's chunk grid.  One
+        job: the per-source maxima (partial aggregates) are unioned."""
+        from ..operators.aggregate import time_col
+        from ..sources.catalog import resolve_source
+        target = self.target_spec(name)
+        ctl = target.source_of(target.control_column)
+        latest = None
+        for s in self.source_specs(name):
+            df = resolve_source(catalog, s)
+            m = df.agg(F.max(time_col(df, ctl)).alias("latest_ts")).select(
+                F.lit(s.source_table).alias("source_table"), "latest_ts")
+            latest = m if latest is None else latest.unionByName(m)
+        if latest is None:
+            return
+        latest = latest.where(F.col("latest_ts").isNotNull())
+        self._commit("sources", R.source_availability(self.sources(), latest, self.targets()),
+                     SOURCES_SCHEMA)
+
     # ---- one target's specs (bounded metadata) -------------------------------------
 
     def target_spec(self, name: str):

@@ -80,3 +80,27 @@ def test_uncommitted_snapshot_is_skipped(spark):
     assert reg.sources().count() == 1
     reg.set_enabled("t", ["a"], False)
     assert reg._latest("sources") == 3 and reg.source_specs("t")[0].enabled is False
+
+
+def test_refresh_and_cli_run(spark, capsys):
+    from rollwise.__main__ import main
+    reg = Registry(spark, fresh_path(spark, "registry3"))
+    t2 = fx.target_2()
+    row = dict(target_table="d2", batch_control_column="data_dt", batch_control_size=1440,
+               batch_schedule_type="DAILY", pattern_columns=json.dumps(PATTERN_COLUMNS),
+               groupby_columns=json.dumps(t2.groupby_columns), groupby_flexible=True,
+               aggregate_columns=json.dumps(t2.aggregate_columns),
+               aggregate_functions=json.dumps(t2.aggregate_functions))
+    reg.register_targets(spark.createDataFrame([row]).withColumn(
+        "batch_processed", F.lit(dt.datetime(2024, 1, 27)).cast("timestamp_ntz")))
+    reg.register_sources(spark.createDataFrame(
+        [("d2", "events", True, 0, U_EVENTS_SQL)], "target_table string, source_table string, "
+        "source_enabled boolean, pattern_default bigint, transformation string"))
+    assert main(["refresh", "--registry", reg.root, "--tables", SF, "--target", "d2"]) == 0
+    assert reg.source_specs("d2")[0].data_availabletime == dt.datetime(2024, 1, 30)
+    path = fresh_path(spark, "d2_table")
+    assert main(["run-due", "--registry", reg.root, "--tables", SF, "--target", "d2",
+                 "--path", path, "--now", "2024-01-31T06:00:00"]) == 0
+    assert "chunks 4" in capsys.readouterr().out          # 01-28 ... 01-31
+    assert reg.target_spec("d2").batch_processed == dt.datetime(2024, 1, 30)
+    assert spark.read.parquet(path).select("data_dt").distinct().count() == 3

@@ -116,7 +116,12 @@ class Registry:
         latest = None
         for s in self.source_specs(name):
             df = resolve_source(catalog, s)
-            m = df.agg(F.max(time_col(df, ctl)).alias("latest_ts")).select(
+            t = time_col(df, ctl)
+            if s.data_availabletime is not None:
+                # Only data at or after the current availability can move it;
+                # on a stored time column this prunes everything older.
+                df = df.where(t >= F.lit(s.data_availabletime).cast("timestamp_ntz"))
+            m = df.agg(F.max(t).alias("latest_ts")).select(
                 F.lit(s.source_table).alias("source_table"), "latest_ts")
             latest = m if latest is None else latest.unionByName(m)
         if latest is None:

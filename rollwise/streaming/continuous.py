@@ -12,9 +12,11 @@ the sink is idempotent.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.timegrid import EPOCH, floor_minutes
+from ..functions.timegrid import EPOCH, floor_minutes, ts_lit
 from ..operators.aggregate import aggregate_frame, plan_source, time_col
 from ..operators.tables import PARTITION_COLUMN, conform, target_schema, write_target
 from ..specs import SourceSpec, TargetSpec
@@ -40,9 +42,14 @@ def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
     """Recompute the chunks a micro-batch touched and replace them in ``path``."""
     touched = _chunk(source.transformation(micro) if callable(source.transformation)
                      else micro, target).select("_rw_chunk").distinct()
-    touched = _maybe_broadcast(touched.checkpoint(eager=True))
+    touched = touched.checkpoint(eager=True)
+    span = touched.agg(F.min("_rw_chunk").alias("lo"), F.max("_rw_chunk").alias("hi")).first()
+    if span["lo"] is None:
+        return  # an empty micro-batch touches nothing
+    touched = _maybe_broadcast(touched)
     plan = plan_source(target, source)
-    rows = _chunk(full, target).join(touched, "_rw_chunk", "left_semi")
+    rows = _chunk(_within(full, target, source, span["lo"], span["hi"]), target) \
+        .join(touched, "_rw_chunk", "left_semi")
     batch = aggregate_frame(rows, target, plan)
     schema = target_schema(target, full)
     days = touched.select(F.to_date("_rw_chunk").alias(PARTITION_COLUMN)).distinct()
@@ -59,6 +66,23 @@ def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
     write_target(new.checkpoint(eager=True), path, target.control_column)
 
 
+def _within(full: DataFrame, target: TargetSpec, source: SourceSpec,
+            lo: dt.datetime, hi: dt.datetime) -> DataFrame:
+    """Restrict the full source to the touched chunks' time span, on a column
+    the scan can filter: the raw control column (widened by the source's
+    slack) when declared, else the aligned column itself.  The semi-join with
+    the touched chunks stays the exact test; this only lets parquet skip
+    files and row groups outside the span."""
+    end = hi + dt.timedelta(minutes=target.chunk_minutes)
+    aligned = time_col(full, target.source_of(target.control_column))
+    pred = (aligned >= ts_lit(lo)) & (aligned < ts_lit(end))
+    if source.control_column and source.control_slack_minutes is not None:
+        raw = time_col(full, source.control_column)
+        slack = dt.timedelta(minutes=source.control_slack_minutes)
+        pred = pred & (raw >= ts_lit(lo - slack)) & (raw < ts_lit(end + slack))
+    return full.where(pred)
+
+
 def _as_target_side(target: TargetSpec) -> TargetSpec:
     """The same spec, but reading the control column under its target name
     (rows already in the summary table)."""

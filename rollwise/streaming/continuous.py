@@ -101,7 +101,11 @@ def run_stream(spark: SparkSession, source_glob: str, schema, target: TargetSpec
                source: SourceSpec, full: DataFrame, path: str, checkpoint: str,
                available_now: bool = True, max_files: int | None = None):
     """Start the continuous load; with ``available_now`` it processes every
-    file present and stops (what a scheduler runs each hour)."""
+    file present and stops (what a scheduler runs each hour).  The source's
+    transformation must be a DataFrame function (it is applied to each
+    micro-batch as well as to ``full``)."""
+    if source.transformation is not None and not callable(source.transformation):
+        raise ValueError("a streamed source needs a DataFrame transformation, not SQL text")
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

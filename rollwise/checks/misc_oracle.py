@@ -50,6 +50,9 @@ SQL = {
         "SELECT event_id, CAST(CASE event_type WHEN 'click' THEN 0.05 WHEN 'purchase' THEN 0.33 "
         "WHEN 'view' THEN 0.1 WHEN 'signup' THEN 0.6 WHEN 'error' THEN 0.1 END AS DOUBLE) AS rate "
         "FROM events"),
+    "sql_patterns": ("SELECT CAST(c_custkey AS VARCHAR) AS target_table, "
+                     "CAST(c_custkey % 2048 AS BIGINT) AS by_names, "
+                     "CAST(c_custkey % 2048 AS BIGINT) AS by_json FROM customer"),
     "time_floor": (
         "SELECT event_id, TIMESTAMP '1970-01-01 00:00:00' + to_minutes(CAST(floor(date_diff("
         "'minute', TIMESTAMP '1970-01-01 00:00:00', ts) / 5) * 5 AS BIGINT)) AS floor_5, "
@@ -72,3 +75,4 @@ SQL = {
         "0), nullif(user_id % 5, 0), -1) AS BIGINT) AS first_non_zero FROM events"),
     "stream_summary": f"SELECT {KEYS_2}, {measures_1(True)} FROM {u_events_sql()} GROUP BY ALL",
 }
+SQL["sql_revenue_share"] = SQL["tier_rate_rows"]

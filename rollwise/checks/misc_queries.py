@@ -92,6 +92,33 @@ def q_device_rate_rows(spark, sf_dir):
     return ev.select("event_id", device_share(terms, device).alias("rate"))
 
 
+def q_sql_revenue_share(spark, sf_dir):
+    """The per-row tier terms of ``tier_rate_rows`` written as SQL text with
+    the registered ``revenue_share`` function."""
+    from ..functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    catalog(spark, sf_dir).table("lineitem").createOrReplaceTempView("rw_check_lineitem")
+    return spark.sql(
+        "SELECT l_orderkey, l_linenumber, revenue_share(CASE l_returnflag "
+        f"WHEN 'A' THEN '{TIER_JSON}' WHEN 'N' THEN '{CATEGORY_JSON}' ELSE '0.25' END, "
+        "lower(l_linestatus), l_extendedprice) AS rate FROM rw_check_lineitem")
+
+
+def q_sql_patterns(spark, sf_dir):
+    """Masks of the generated registry recomputed in SQL, from names and from
+    a JSON flag list (the two registration forms)."""
+    from ..functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    fx.targets_gen(catalog(spark, sf_dir).table("customer")) \
+        .createOrReplaceTempView("rw_check_targets")
+    return spark.sql(
+        "SELECT target_table, data_pattern_names(pattern_columns, "
+        "transform(groupby_columns, x -> split_part(x, ':', 2))) AS by_names, "
+        "data_pattern_json(to_json(transform(pattern_columns, c -> IF(array_contains("
+        "transform(groupby_columns, x -> split_part(x, ':', 2)), c), 1, 0)))) AS by_json "
+        "FROM rw_check_targets")
+
+
 # ---- scalar functions ---------------------------------------------------------
 
 def q_time_floor(spark, sf_dir):
@@ -195,6 +222,8 @@ QUERIES = {
     "category_rate_join": q_category_rate_join,
     "device_rate_join": q_device_rate_join,
     "device_rate_rows": q_device_rate_rows,
+    "sql_revenue_share": q_sql_revenue_share,
+    "sql_patterns": q_sql_patterns,
     "time_floor": q_time_floor,
     "time_round": q_time_round,
     "minute_diff": q_minute_diff,

@@ -43,7 +43,10 @@ def tier_intervals(tiers: DataFrame, by: list[str] | None = None, lower: str = "
 
     A tier covers ``lower <= v < upper``; a missing or zero upper bound is
     open-ended; a missing lower bound counts as 0.  Every tier endpoint is a
-    boundary, so each elementary interval is covered whole or not at all."""
+    boundary, so each elementary interval ("cell") is covered whole or not at
+    all.  Each tier finds its first and last cell by equi-joins on the sorted
+    boundaries and emits only the cells it covers (no tier-by-cell pairs
+    that are filtered away); the first tier per cell wins."""
     by = list(by or [])
     t = tiers.select(*by, F.coalesce(F.col(lower), F.lit(0.0)).cast("double").alias("_lo"),
                      F.when(F.col(upper).isNull() | (F.col(upper) == 0), F.lit(None))
@@ -52,15 +55,29 @@ def tier_intervals(tiers: DataFrame, by: list[str] | None = None, lower: str = "
     bounds = (t.select(*by, F.col("_lo").alias("b"))
               .unionByName(t.where(F.col("_hi").isNotNull()).select(*by, F.col("_hi").alias("b")))
               .distinct())
-    # One window per card: bounded by the card's size, not by the data.
+    # Cells of one card, numbered in boundary order: the window is bounded by
+    # the card's size, not by the data.
     w = Window.partitionBy(*by).orderBy("b") if by else Window.orderBy("b")
-    elems = bounds.select(*by, F.col("b").alias("lo"), F.lead("b").over(w).alias("hi"))
-    cover = [elems[k] == t[k] for k in by] + [t["_lo"] <= elems["lo"],
-                                              t["_hi"].isNull() | (t["_hi"] > elems["lo"])]
-    j = elems.join(t, on=cover, how="inner")
-    keys = [elems[k] for k in by] + [elems["lo"], elems["hi"]]
-    return (j.groupBy(*keys)
-            .agg(F.min_by(F.col("_rate"), F.col("_ord")).alias("rate")))
+    cells = bounds.select(*by, "b", F.row_number().over(w).alias("i"),
+                          F.lead("b").over(w).alias("b_next"))
+    if by:
+        last = cells.groupBy(*by).agg(F.max("i").alias("_n"))
+        t = t.join(last, by)
+        n = F.col("_n")
+    else:
+        n = F.lit(cells.agg(F.max("i")).first()[0] or 0)
+    starts = cells.select(*by, F.col("b").alias("_lo"), F.col("i").alias("_i_lo"))
+    ends = cells.select(*by, F.col("b").alias("_hi"), F.col("i").alias("_i_hi"))
+    t = t.join(starts, by + ["_lo"]).join(ends, by + ["_hi"], "left")
+    # An open tier covers through the last cell; a finite one stops before
+    # its upper bound's cell; an empty tier (upper <= lower) covers nothing.
+    stop = F.coalesce(F.col("_i_hi") - 1, n)
+    covered = F.when(stop >= F.col("_i_lo"), F.sequence(F.col("_i_lo"), stop)) \
+        .otherwise(F.array().cast("array<int>"))
+    per_cell = (t.select(*by, F.explode(covered).alias("i"), "_rate", "_ord")
+                .groupBy(*by, "i").agg(F.min_by(F.col("_rate"), F.col("_ord")).alias("rate")))
+    return (per_cell.join(cells, by + ["i"])
+            .select(*by, F.col("b").alias("lo"), F.col("b_next").alias("hi"), "rate"))
 
 
 def tier_rate_join(df: DataFrame, value: str, tiers: DataFrame, by: list[str] | None = None,

@@ -69,3 +69,28 @@ def test_upsert_is_idempotent_and_overwrites(spark, old, new):
     for k, m in old:
         if (k or "") not in {(x or "") for x, _ in new}:
             assert got[k or ""] == m
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 20)),
+                          st.one_of(st.none(), st.integers(0, 25)),
+                          st.integers(1, 99)), min_size=1, max_size=7))
+def test_tier_intervals_first_match(spark, tiers):
+    """Range join with overlapping, empty and open tiers equals the first
+    matching tier found by brute force."""
+    from rollwise.operators.rates import tier_rate_join
+    rows = [(i + 1, None if lo is None else float(lo), None if hi is None else float(hi),
+             r / 100) for i, (lo, hi, r) in enumerate(tiers)]
+    card = spark.createDataFrame(rows, "tier_no int, range_lower double, range_upper double, "
+                                 "revenue_share double")
+    values = [x / 2 for x in range(-2, 60)]
+    vals = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r.v: r.rate for r in tier_rate_join(vals, "v", card).collect()}
+
+    def first(v):
+        for _, lo, hi, r in rows:
+            lo = 0.0 if lo is None else lo
+            if lo <= v and (hi is None or hi == 0 or hi > v):
+                return r
+        return None
+    assert got == {v: first(v) for v in values}

@@ -75,3 +75,11 @@ def test_chunk_size_decides_a_day_call(spark):
                     dt.datetime(2024, 1, 3))
     ts = [r.data_ts for r in b.frame.select("data_ts").distinct().collect()]
     assert all(dt.datetime(2024, 1, 3) <= x <= dt.datetime(2024, 1, 3, 0, 5) for x in ts)
+
+
+def test_upsert_without_keys_replaces_the_global_row(spark):
+    from rollwise.operators.upsert import upsert
+    t = spark.createDataFrame([(5,)], "m bigint")
+    b = spark.createDataFrame([(7,)], "m bigint")
+    assert [r.m for r in upsert(t, b, [], ["m"]).collect()] == [7]
+    assert [r.m for r in upsert(t, b.limit(0), [], ["m"]).collect()] == [5]

@@ -1,6 +1,7 @@
 """Command line for an outside scheduler (cron, a workflow tool).
 
-    python -m rollwise run-due  --registry ROOT --tables DIR --target NAME --path TABLE [--now ISO] [--dry-run]
+    python -m rollwise run-due  --registry ROOT --tables DIR --target NAME --path TABLE
+                                [--now ISO] [--dry-run] [--max-chunks N]
     python -m rollwise refresh  --registry ROOT --tables DIR --target NAME
 
 ``refresh`` then ``run-due`` is the hourly pair of the reference's task DAG:
@@ -26,6 +27,7 @@ def main(argv=None) -> int:
     ap.add_argument("--path", help="target table folder (run-due)")
     ap.add_argument("--now", help="ISO time (default: current UTC time)")
     ap.add_argument("--dry-run", action="store_true")
+    ap.add_argument("--max-chunks", type=int, help="chunks per job (slices a long backfill)")
     a = ap.parse_args(argv)
     spark = get_spark()
     reg, cat = Registry(spark, a.registry), Catalog(spark, a.tables)
@@ -34,7 +36,8 @@ def main(argv=None) -> int:
         return 0
     now = (dt.datetime.fromisoformat(a.now) if a.now
            else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    res = reg.aggregate_due(cat, a.target, now, a.path, script_only=a.dry_run)
+    res = reg.aggregate_due(cat, a.target, now, a.path, script_only=a.dry_run,
+                            max_chunks=a.max_chunks)
     if res is None:
         print("not due: the previous run still holds the lock")
     else:

@@ -211,17 +211,20 @@ class RunResult:
 
 def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
                now: dt.datetime, path: str, script_only: bool = False,
-               lookback_days: int | None = None) -> RunResult:
-    """Run every due chunk of one target as one job.
+               lookback_days: int | None = None, max_chunks: int | None = None,
+               on_progress=None) -> RunResult:
+    """Run every due chunk of one target.
 
     The touched days of the target are read, purged on the chunk range,
     upserted with the recomputed batch and written back with dynamic
     partition overwrite, so a rerun gives the same table.  ``lookback_days``
-    redoes the last N days each run (sliding range).  With ``script_only``
-    nothing is written and the new content is returned lazily (dry run)."""
-    from pyspark.errors import AnalysisException
-    from ..operators.tables import (conform, enforce_not_null, read_target, target_schema,
-                                    write_target)
+    redoes the last N days each run (sliding range).  ``max_chunks`` caps
+    the chunks per job: a long backfill runs as consecutive slices, each
+    written before the next, and ``on_progress(target)`` is called after each
+    slice with ``batch_microchunk_current`` set to the slice's last chunk (the
+    warehouse's progress update), so a failure redoes one slice only.  With
+    ``script_only`` nothing is written and the new content is returned lazily
+    (dry run; one slice)."""
     target.validate()
     if lookback_days is not None:
         today = now.replace(hour=0, minute=0, second=0, microsecond=0)
@@ -232,11 +235,35 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     if not is_due(target, now):
         return RunResult(False)
     begin, end = plan_bounds(target, now)
-    n, end_excl = chunk_starts(begin, end, target.chunk_minutes)
+    n, _ = chunk_starts(begin, end, target.chunk_minutes)
     if n == 0:
         return RunResult(True, begin, end, 0)
+    live = select_sources(sources, target)
+    step = dt.timedelta(minutes=target.chunk_minutes)
+    per_job = n if (script_only or not max_chunks) else max(1, int(max_chunks))
+    new = None
+    for k in range(0, n, per_job):
+        s_begin = begin + step * k
+        s_end = begin + step * (min(n, k + per_job) - 1)
+        new = _replace_range(catalog, target, sources, live, s_begin, s_end, path, script_only)
+        if not script_only:
+            target.batch_microchunk_current = s_end
+            if on_progress is not None:
+                on_progress(target)
+    if not script_only:
+        finish_run(target, live, now)  # only after every write succeeded (Q9)
+    return RunResult(True, begin, end, n, new)
+
+
+def _replace_range(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
+                   live: list[SourceSpec], begin: dt.datetime, end: dt.datetime, path: str,
+                   script_only: bool) -> DataFrame:
+    """One job: recompute chunks ``begin .. end`` and replace them in ``path``."""
+    from pyspark.errors import AnalysisException
+    from ..operators.tables import (conform, enforce_not_null, read_target, target_schema,
+                                    write_target)
+    _, end_excl = chunk_starts(begin, end, target.chunk_minutes)
     batch = range_batch(catalog, target, sources, begin, end)
-    live = [s for s in select_sources(sources, target)]
     schema = target_schema(target, resolve_source(catalog, live[0])) if live else None
     stored = True
     try:
@@ -259,8 +286,7 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
             # the lineage first, so a retried task never reads a half-replaced day.
             new = new.checkpoint(eager=True)
         write_target(new, path, target.control_column)
-        finish_run(target, live, now)  # only after the write succeeded (Q9)
-    return RunResult(True, begin, end, n, new)
+    return new
 
 
 def finish_run(target: TargetSpec, live: list[SourceSpec], now: dt.datetime) -> None:

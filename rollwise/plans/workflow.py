@@ -171,7 +171,7 @@ class Registry:
         return batch.frame
 
     def aggregate_due(self, catalog: Catalog, name: str, now: dt.datetime, path: str,
-                      script_only: bool = False):
+                      script_only: bool = False, max_chunks: int | None = None):
         """Every due chunk of one target in one job.  Lock (processing = end,
         last schedule = now) is committed first; processed advances after the
         write (a failed job leaves the lock, and the target is retried once
@@ -185,7 +185,14 @@ class Registry:
         spec = self.target_spec(name)
         spec.batch_processing = None  # the lock is ours
         sources = self.source_specs(name)
-        result = run_target(catalog, spec, sources, now, path, script_only=script_only)
+        def progress(t):  # I7 progress: the last chunk written, committed per slice
+            self._commit("targets", update_where(
+                self.targets(), F.col("target_table") == F.lit(name),
+                {"batch_microchunk_current": F.lit(t.batch_microchunk_current)
+                 .cast("timestamp_ntz")}), TARGETS_SCHEMA)
+
+        result = run_target(catalog, spec, sources, now, path, script_only=script_only,
+                            max_chunks=max_chunks, on_progress=progress)
         if not script_only:
             if result.chunks == 0:
                 finish_run(spec, [s for s in sources if s.enabled is True], now)

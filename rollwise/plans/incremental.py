@@ -114,6 +114,7 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     source also names its raw time column and a bound on the difference, a
     raw-time range is added so the parquet scan skips files outside it."""
     n, end_excl = chunk_starts(begin, end, target.chunk_minutes)
+    _check_additive_step(catalog.spark, target, begin)
     plans, parts, projected = [], [], {}
     ctl_src = target.source_of(target.control_column)
     for s in select_sources(sources, target, mode):
@@ -133,6 +134,20 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     return _combine(target, parts, plans, projected)
 
 
+def _check_additive_step(spark, target: TargetSpec, begin: dt.datetime) -> None:
+    """A range job steps chunks by ``+size`` minutes (as the warehouse loop
+    did); a custom step expression must agree, or chunk edges would move."""
+    from ..operators.aggregate import _DEFAULT_STEPS, step_end
+    import re as _re
+    if callable(target.step) or _re.sub(r"\s+", "", target.step).lower() in _DEFAULT_STEPS:
+        return
+    got = spark.range(1).select(step_end(target.step, begin, target.chunk_minutes, spark)
+                                .alias("e")).first()["e"]
+    if got != begin + dt.timedelta(minutes=target.chunk_minutes):
+        raise ValueError(f"step {target.step!r} is not +{target.chunk_minutes} minutes; "
+                         "a range job needs an additive step")
+
+
 def replace_batch(existing: DataFrame, target: TargetSpec, batch: Batch,
                   begin: dt.datetime, end_excl: dt.datetime) -> DataFrame:
     """New content of the touched range: purge ``[begin, end_excl)`` on the

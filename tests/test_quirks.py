@@ -83,3 +83,15 @@ def test_upsert_without_keys_replaces_the_global_row(spark):
     b = spark.createDataFrame([(7,)], "m bigint")
     assert [r.m for r in upsert(t, b, [], ["m"]).collect()] == [7]
     assert [r.m for r in upsert(t, b.limit(0), [], ["m"]).collect()] == [5]
+
+
+def test_range_job_refuses_non_additive_step(spark):
+    from rollwise.plans.incremental import range_batch
+    t = fx.target_2()
+    t.step = "dateadd(MONTH, 1, :1)"
+    with pytest.raises(ValueError, match="additive"):
+        range_batch(Catalog(spark, SF), t, [fx.src_events(t.target_table)],
+                    dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6))
+    t.step = "dateadd(HOUR, :2 div 60, :1)"      # same as +1440 minutes: accepted
+    range_batch(Catalog(spark, SF), t, [fx.src_events(t.target_table)],
+                dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6))

@@ -3,9 +3,13 @@
     python -m rollwise run-due  --registry ROOT --tables DIR --target NAME --path TABLE
                                 [--now ISO] [--dry-run] [--max-chunks N]
     python -m rollwise refresh  --registry ROOT --tables DIR --target NAME
+    python -m rollwise backfill --registry ROOT --tables DIR --target NAME --since ISO
+    python -m rollwise slide    --registry ROOT --tables DIR --target NAME --days N [--now ISO]
 
 ``refresh`` then ``run-due`` is the hourly pair of the reference's task DAG:
 availability first, then every due chunk of the target in one job.
+``slide`` then ``run-due`` is the sliding-range pair (redo the last N days);
+``backfill`` resets processed so the next ``run-due`` redoes a period.
 """
 
 from __future__ import annotations
@@ -20,7 +24,9 @@ from .sources.catalog import Catalog
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="rollwise")
-    ap.add_argument("command", choices=["run-due", "refresh"])
+    ap.add_argument("command", choices=["run-due", "refresh", "backfill", "slide"])
+    ap.add_argument("--since", help="ISO time processed is reset to (backfill)")
+    ap.add_argument("--days", type=int, help="days to redo on every run (slide)")
     ap.add_argument("--registry", required=True)
     ap.add_argument("--tables", required=True, help="folder of <name>.parquet sources")
     ap.add_argument("--target", required=True)
@@ -31,11 +37,18 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
     spark = get_spark()
     reg, cat = Registry(spark, a.registry), Catalog(spark, a.tables)
+    now = (dt.datetime.fromisoformat(a.now) if a.now
+           else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     if a.command == "refresh":
         reg.refresh_availability(cat, a.target)
         return 0
-    now = (dt.datetime.fromisoformat(a.now) if a.now
-           else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    if a.command == "backfill":
+        reg.backfill(a.target, dt.datetime.fromisoformat(a.since))
+        return 0
+    if a.command == "slide":
+        today = now.replace(hour=0, minute=0, second=0, microsecond=0)
+        reg.set_availability(a.target, today - dt.timedelta(days=a.days))
+        return 0
     res = reg.aggregate_due(cat, a.target, now, a.path, script_only=a.dry_run,
                             max_chunks=a.max_chunks)
     if res is None:

@@ -130,6 +130,22 @@ class Registry:
         self._commit("sources", R.source_availability(self.sources(), latest, self.targets()),
                      SOURCES_SCHEMA)
 
+    def backfill(self, name: str, processed: dt.datetime) -> None:
+        """Backfill reset (I11): processed set back, lock cleared; the next
+        ``aggregate_due`` redoes everything after ``processed``."""
+        self._commit("targets", R.backfill(self.targets(), name, processed), TARGETS_SCHEMA)
+
+    def set_availability(self, name: str, value: dt.datetime,
+                         source_tables: list[str] | None = None) -> None:
+        """Set the sources' availability by hand.  Setting it to ``today - N
+        days`` before every run gives the sliding range (I10): each run ends
+        with processed there, so the next run redoes the last N days."""
+        pred = F.col("target_table") == F.lit(name)
+        if source_tables is not None:
+            pred = pred & F.col("source_table").isin(*source_tables)
+        self._commit("sources", update_where(self.sources(), pred, {
+            "data_availabletime": F.lit(value).cast("timestamp_ntz")}), SOURCES_SCHEMA)
+
     # ---- one target's specs (bounded metadata) -------------------------------------
 
     def target_spec(self, name: str):

@@ -8,6 +8,8 @@ the chunk predicate into the parquet scan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..specs import SourceSpec
@@ -53,7 +55,11 @@ def resolve_source(catalog: Catalog, source: SourceSpec) -> DataFrame:
         return catalog.table(source.source_table)
     if callable(t):
         return t(catalog.table(source.source_table))
-    catalog.register_views([source.source_table])
+    # Views for the source table and every known table the text names (a
+    # transformation may join a dimension table).
+    known = list(dict.fromkeys([source.source_table, *TABLES, *catalog.overrides]))
+    catalog.register_views([n for n in known
+                            if n == source.source_table or re.search(rf"\b{re.escape(n)}\b", t)])
     return catalog.spark.sql(t)
 
 

@@ -152,3 +152,12 @@ def test_sliced_run_equals_one_job(spark):
     assert tables[0] == tables[1]
     assert seen[-3:] == [dt.datetime(2024, 1, 7), dt.datetime(2024, 1, 10),
                          dt.datetime(2024, 1, 12)]
+
+
+def test_sql_source_joining_a_dimension(spark):
+    """A SQL-text transformation may join another table of the catalog."""
+    cat = Catalog(spark, SF)
+    text = ("SELECT o.o_orderkey, n.n_name FROM orders o JOIN customer c "
+            "ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey")
+    df = resolve_source(cat, SourceSpec("t", "orders", transformation=text))
+    assert df.count() == cat.table("orders").count()

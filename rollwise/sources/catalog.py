@@ -57,7 +57,10 @@ def resolve_source(catalog: Catalog, source: SourceSpec) -> DataFrame:
         return t(catalog.table(source.source_table))
     # Views for the source table and every known table the text names (a
     # transformation may join a dimension table).
-    known = list(dict.fromkeys([source.source_table, *TABLES, *catalog.overrides]))
+    # With a session catalog the names resolve already; only folder tables and
+    # overrides need views.
+    known = list(dict.fromkeys([*([source.source_table, *TABLES] if catalog.base_dir else []),
+                                *catalog.overrides]))
     catalog.register_views([n for n in known
                             if n == source.source_table or re.search(rf"\b{re.escape(n)}\b", t)])
     return catalog.spark.sql(t)

@@ -43,7 +43,7 @@ class Catalog:
 
     def register_views(self, names=None) -> "Catalog":
         """Expose tables as temp views so SQL-text transformations can use them."""
-        for n in (names or (list(TABLES) + list(self.overrides))):
+        for n in (names if names is not None else (list(TABLES) + list(self.overrides))):
             self.table(n).createOrReplaceTempView(n)
         return self
 

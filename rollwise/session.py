@@ -50,13 +50,12 @@ def get_spark(app: str = "rollwise", master: str | None = None,
 def apply_defaults(spark: SparkSession) -> None:
     """Set the SQL-level defaults on a session someone else built."""
     for k, v in SESSION_DEFAULTS.items():
-        if k.startswith("spark.sql.") or k == "spark.ui.enabled":
-            try:
-                if k == "spark.ui.enabled":
-                    continue
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a running session
-                pass
+        if not k.startswith("spark.sql."):
+            continue  # core settings only take effect when the session starts
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # a static SQL conf on a running session
+            pass
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:

@@ -3,9 +3,13 @@
 The registry is two parquet tables (targets, sources) under a root folder in
 shared storage.  Every change writes a new snapshot folder (``v000001``,
 ``v000002``, ...) and readers take the newest one, so a change never
-overwrites files that a running job may still read.  Registry tables hold
-metadata (one row per target or source), so reading one target's rows onto
-the driver is bounded.
+overwrites files that a running job may still read.  A snapshot counts once
+its ``_SUCCESS`` marker exists, and a version folder is written with
+``errorifexists``: of two writers racing for the same version, one fails
+instead of silently overwriting the other (optimistic concurrency).  Registry
+tables hold metadata (one row per target or source; a target has a handful
+of sources, each a branch of its job), so reading one target's rows onto the
+driver is bounded.
 
 Procedures:
 

@@ -113,6 +113,7 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     control column, so filter, key and later purge agree (fixes Q1).  When the
     source also names its raw time column and a bound on the difference, a
     raw-time range is added so the parquet scan skips files outside it."""
+    target.validate()  # chunks are assigned by the control column, which must be kept
     n, end_excl = chunk_starts(begin, end, target.chunk_minutes)
     _check_additive_step(catalog.spark, target, begin)
     plans, parts, projected = [], [], {}

@@ -22,12 +22,6 @@ SQL = {
         f"(SELECT CAST(arg_min(rate, tier_no) AS DOUBLE) FROM {TIERS} WHERE t.lo <= "
         "l.l_extendedprice AND (t.hi IS NULL OR t.hi = 0 OR t.hi > l.l_extendedprice)) AS rate "
         "FROM lineitem l"),
-    "tier_rate_rows": (
-        "SELECT l_orderkey, l_linenumber, CAST(CASE l_returnflag WHEN 'A' THEN (CASE "
-        "WHEN l_extendedprice >= 0 AND l_extendedprice < 10000 THEN 0.1 WHEN l_extendedprice "
-        ">= 10000 AND l_extendedprice < 50000 THEN 0.15 WHEN l_extendedprice >= 50000 THEN 0.2 END) "
-        "WHEN 'N' THEN (CASE upper(lower(l_linestatus)) WHEN 'F' THEN 0.3 WHEN 'O' THEN 0.35 "
-        "ELSE 0.05 END) ELSE 0.25 END AS DOUBLE) AS rate FROM lineitem"),
     "category_rate_join": (
         "WITH card AS (SELECT n_name AS category, (n_nationkey + 1) / 100 AS rate FROM nation "
         "WHERE n_regionkey < 3 UNION ALL SELECT '(OTHERS)', 0.05) "
@@ -46,10 +40,6 @@ SQL = {
         "WHEN o.r IS NOT NULL THEN o.r ELSE x.r END AS DOUBLE) AS rate FROM f "
         "LEFT JOIN first x ON x.device = f.d "
         "LEFT JOIN (SELECT r FROM first WHERE device = 'other') o ON true"),
-    "device_rate_rows": (
-        "SELECT event_id, CAST(CASE event_type WHEN 'click' THEN 0.05 WHEN 'purchase' THEN 0.33 "
-        "WHEN 'view' THEN 0.1 WHEN 'signup' THEN 0.6 WHEN 'error' THEN 0.1 END AS DOUBLE) AS rate "
-        "FROM events"),
     "sql_patterns": ("SELECT CAST(c_custkey AS VARCHAR) AS target_table, "
                      "CAST(c_custkey % 2048 AS BIGINT) AS by_names, "
                      "CAST(c_custkey % 2048 AS BIGINT) AS by_json FROM customer"),
@@ -75,4 +65,69 @@ SQL = {
         "0), nullif(user_id % 5, 0), -1) AS BIGINT) AS first_non_zero FROM events"),
     "stream_summary": f"SELECT {KEYS_2}, {measures_1(True)} FROM {u_events_sql()} GROUP BY ALL",
 }
-SQL["sql_revenue_share"] = SQL["tier_rate_rows"]
+
+
+
+# The per-row terms are evaluated from their JSON text with DuckDB's JSON
+# functions (key order kept), independently of the Spark variant code.
+_NUMERIC = "('DOUBLE', 'UBIGINT', 'BIGINT')"
+
+
+def _terms_case(col: str, cases: list[tuple[str, str]], default: str) -> str:
+    body = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in cases)
+    return f"CASE {col} {body} ELSE '{default}' END"
+
+
+def tier_rows_sql(tier_json: str, category_json: str) -> str:
+    terms = _terms_case("l_returnflag", [("A", tier_json), ("N", category_json)], "0.25")
+    key = "'$.\"' || upper(d) || '\"'"
+    return f"""
+WITH li AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS v, lower(l_linestatus) AS d,
+                   {terms} AS terms FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE
+  WHEN json_type(terms) IN {_NUMERIC} THEN CAST(json_extract(terms, '$') AS DOUBLE)
+  WHEN json_type(terms) = 'ARRAY' AND v IS NOT NULL THEN CAST(json_extract(list_filter(
+      json_extract(terms, '$[*]'), lambda t: coalesce(CAST(json_extract(t, '$.RANGE_LOWER') AS DOUBLE), 0) <= v
+      AND (json_extract(t, '$.RANGE_UPPER') IS NULL
+           OR CAST(json_extract(t, '$.RANGE_UPPER') AS DOUBLE) = 0
+           OR CAST(json_extract(t, '$.RANGE_UPPER') AS DOUBLE) > v))[1], '$.REVENUE_SHARE') AS DOUBLE)
+  WHEN json_type(terms) = 'OBJECT' THEN CASE
+      WHEN json_extract(terms, {key}) IS NOT NULL THEN CASE
+          WHEN json_type(json_extract(terms, {key})) IN {_NUMERIC}
+          THEN CAST(json_extract(terms, {key}) AS DOUBLE) END
+      WHEN json_extract(terms, '$."(Others)"') IS NULL
+      THEN CAST(json_extract(terms, '$."(OTHERS)"') AS DOUBLE) END
+  END AS rate
+FROM li"""
+
+
+def device_rows_sql(nested_a: str, nested_b: str) -> str:
+    terms = _terms_case("event_type", [("click", nested_b), ("purchase", "0.33")], nested_a)
+    first = ("list_filter(list_transform(json_keys(terms), lambda k: json_extract(terms, "
+             "'$.\"' || k || '\".\"' || {dev} || '\"[0]')), lambda x: json_type(x) IN "
+             + _NUMERIC + ")[1]")
+    return f"""
+WITH ev AS (SELECT event_id, {terms} AS terms,
+              CASE event_type WHEN 'purchase' THEN 'Smart Phones' WHEN 'error' THEN 'TABLET'
+                   ELSE event_type END AS device FROM events),
+f AS (SELECT event_id, terms, CASE WHEN lower(device) IN ('phone', 'smart phones') THEN 'mobile'
+                                   ELSE lower(device) END AS d FROM ev),
+x AS (SELECT event_id, terms, json_type(terms) AS kind,
+        CASE WHEN json_type(terms) = 'OBJECT' THEN CAST({first.format(dev="d")} AS DOUBLE) END AS dev,
+        CASE WHEN json_type(terms) = 'OBJECT' THEN CAST({first.format(dev="'other'")} AS DOUBLE) END
+          AS oth
+      FROM f)
+SELECT event_id, CASE WHEN kind IN {_NUMERIC} THEN CAST(json_extract(terms, '$') AS DOUBLE)
+  WHEN kind = 'OBJECT' THEN CASE WHEN dev IS NOT NULL AND dev <> 0 THEN dev
+                                 WHEN oth IS NOT NULL THEN oth ELSE dev END END AS rate
+FROM x"""
+
+
+def _late_bind():
+    from .misc_queries import CATEGORY_JSON, NESTED_A, NESTED_B, TIER_JSON
+    SQL["tier_rate_rows"] = tier_rows_sql(TIER_JSON, CATEGORY_JSON)
+    SQL["sql_revenue_share"] = SQL["tier_rate_rows"]
+    SQL["device_rate_rows"] = device_rows_sql(NESTED_A, NESTED_B)
+
+
+_late_bind()

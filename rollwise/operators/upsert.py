@@ -119,9 +119,10 @@ def update_from(df: DataFrame, changes: DataFrame, on: list[str],
 
     ``changes`` must have at most one row per key (aggregate it first); the
     left join keeps every base row and its partitioning."""
+    from .joins import sized_join
     ch = changes.select(*on, *[F.col(v).alias(f"_new_{c}") for c, v in assignments.items()],
                         F.lit(True).alias("_hit"))
-    j = df.join(ch, on=on, how="left")
+    j = sized_join(df, ch, on, "left")
     cols = []
     for c in df.columns:
         if c in assignments:

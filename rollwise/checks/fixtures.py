@@ -147,3 +147,13 @@ def sources_gen(orders: DataFrame) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("data_checkschedule"),
         F.lit(None).cast("string").alias("transformation"),
     )
+
+
+# Rate-card terms of the per-row checks, as JSON text.
+TIER_JSON = ('[{"RANGE_LOWER":0,"RANGE_UPPER":10000,"REVENUE_SHARE":0.1},'
+             '{"RANGE_LOWER":10000,"RANGE_UPPER":50000,"REVENUE_SHARE":0.15},'
+             '{"RANGE_LOWER":50000,"RANGE_UPPER":0,"REVENUE_SHARE":0.2}]')
+CATEGORY_JSON = '{"F":0.3,"O":0.35,"(OTHERS)":0.05}'
+NESTED_A = ('{"a":{"mobile":[0.4],"view":[0]},"b":{"view":[0.3],"click":[0.25],'
+            '"signup":["x"]},"c":{"other":[0.1],"signup":[0.6]}}')
+NESTED_B = '{"z":{"click":[0.05]},"a":{"click":[0.5],"other":[0.02]}}'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .fixtures import CATEGORY_JSON, NESTED_A, NESTED_B, TIER_JSON
 from .oracle import KEYS_2
 from .sqlparts import measures_1, u_events_sql
 
@@ -123,11 +124,6 @@ SELECT event_id, CASE WHEN kind IN {_NUMERIC} THEN CAST(json_extract(terms, '$')
 FROM x"""
 
 
-def _late_bind():
-    from .misc_queries import CATEGORY_JSON, NESTED_A, NESTED_B, TIER_JSON
-    SQL["tier_rate_rows"] = tier_rows_sql(TIER_JSON, CATEGORY_JSON)
-    SQL["sql_revenue_share"] = SQL["tier_rate_rows"]
-    SQL["device_rate_rows"] = device_rows_sql(NESTED_A, NESTED_B)
-
-
-_late_bind()
+SQL["tier_rate_rows"] = tier_rows_sql(TIER_JSON, CATEGORY_JSON)
+SQL["sql_revenue_share"] = SQL["tier_rate_rows"]
+SQL["device_rate_rows"] = device_rows_sql(NESTED_A, NESTED_B)

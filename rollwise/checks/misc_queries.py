@@ -16,6 +16,7 @@ from ..sources.catalog import inline_values
 from ..sources.unified import u_events
 from ..streaming.continuous import run_stream
 from . import fixtures as fx
+from .fixtures import CATEGORY_JSON, NESTED_A, NESTED_B, TIER_JSON
 from .queries import catalog, finish
 
 # Fixed rate cards of the checks (tier order matters: the first match wins).
@@ -23,10 +24,6 @@ TIERS = [(1, 0.0, 10000.0, 0.10), (2, 10000.0, 50000.0, 0.15), (3, 40000.0, 6000
          (4, 50000.0, 0.0, 0.20)]
 DEVICES = [(1, "mobile", 0.4), (1, "view", 0.0), (2, "view", 0.3), (2, "click", 0.25),
            (2, "signup", None), (3, "other", 0.1), (3, "signup", 0.6)]
-TIER_JSON = ('[{"RANGE_LOWER":0,"RANGE_UPPER":10000,"REVENUE_SHARE":0.1},'
-             '{"RANGE_LOWER":10000,"RANGE_UPPER":50000,"REVENUE_SHARE":0.15},'
-             '{"RANGE_LOWER":50000,"RANGE_UPPER":0,"REVENUE_SHARE":0.2}]')
-CATEGORY_JSON = '{"F":0.3,"O":0.35,"(OTHERS)":0.05}'
 
 
 def q_tier_rate_join(spark, sf_dir):
@@ -75,9 +72,6 @@ def q_device_rate_join(spark, sf_dir):
     return device_rate_join(ev, F.col("device"), card)
 
 
-NESTED_A = ('{"a":{"mobile":[0.4],"view":[0]},"b":{"view":[0.3],"click":[0.25],'
-            '"signup":["x"]},"c":{"other":[0.1],"signup":[0.6]}}')
-NESTED_B = '{"z":{"click":[0.05]},"a":{"click":[0.5],"other":[0.02]}}'
 
 
 def q_device_rate_rows(spark, sf_dir):

@@ -26,8 +26,7 @@ def _unified_out(keep: str) -> str:
 SQL = {
     "unify_events": f"SELECT {_unified_out('event_id')} FROM {u_events_sql('event_id')}",
     "unify_orders": f"SELECT {_unified_out('o_orderkey')} FROM {u_orders_sql('o_orderkey')}",
-    "source_scan": ("SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-03 00:00:00' "
-                    "AND ts < TIMESTAMP '2024-01-04 00:00:00'"),
+    "source_scan": "SELECT * FROM events",
     "chunk_filter": f"SELECT {KEYS_1}, {_values_out()} FROM {u_events_sql()} WHERE {EVENTS_DAY}",
     "chunk_agg_5min": (f"SELECT {KEYS_1}, {measures_1()} FROM {u_events_sql()} "
                        f"WHERE {EVENTS_DAY} GROUP BY ALL"),

@@ -9,7 +9,7 @@ from ..sources.unified import PATTERN_COLUMNS, u_events, u_lineitem, u_orders
 from ..specs import SourceSpec, TargetSpec
 
 # Fixed values of the demo targets: column lists, flags and aggregate
-# templates as the demo registry declares them.
+# templates as the demo registry declares them (lower-cased names).
 TARGET_DIMS = ["data_pt:data_pattern", "data_dn:data_name", "data_dt:data_date",
                "data_hr:data_hour", "data_ts:data_time", "data_i1:data_i1",
                "data_i2:data_i2", "data_i3:data_i3", "data_a1:data_a1",

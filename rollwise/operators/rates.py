@@ -18,7 +18,8 @@ MAX_BROADCAST_ROWS = 200_000
 # compared with every interval), so its interval count is held much lower.
 MAX_RANGE_INTERVALS = 10_000
 
-# Fixed values of the device rule: these spellings fold to "mobile".
+# Fixed values of the rate rules: the spellings that fold to "mobile", the
+# fallback category key, the key that blocks it, and the fallback device.
 MOBILE_ALIASES = ["phone", "smart phones"]
 OTHERS_KEY = "(OTHERS)"
 OTHERS_BLOCKER = "(Others)"

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.pattern import row_pattern
 from ..functions.timegrid import round_minutes
 
-# The unified columns in pattern (bit) order, then values.
+# The unified columns in pattern (bit) order, then the values.
 PATTERN_COLUMNS = ["data_pattern", "data_name", "data_date", "data_hour", "data_time",
                    "data_i1", "data_i2", "data_i3", "data_a1", "data_a2", "data_a3"]
 VALUE_COLUMNS = ["value_i1", "value_i2", "value_d1", "value_d2"]

@@ -9,7 +9,8 @@ from rollwise.functions.pattern import (column_map, flags_pattern, flags_to_mask
                                         row_pattern)
 from rollwise.checks import fixtures as fx
 
-# The demo's 21-column check: flags and names must give the same mask.
+# The demo's 21-column check (flags, pattern columns, group-by
+# columns); flags and names must give the same mask.
 FLAGS_21 = [1, 1, 0, 0, 1, 1, 0, 0, 0, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0, 0]
 PATTERN_21 = ["DATA_PATTERN", "DATA_DATE", "DATA_HOUR", "DATA_TIME", "BUSINESS_UNIT",
               "BUSINESS_UNIT_DETAIL", "PROPERTY_TYPE", "PROPERTY_DETAIL", "PLACEMENT", "PROVIDER",

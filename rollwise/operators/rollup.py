@@ -37,8 +37,10 @@ def rollup_targets(df: DataFrame, targets: list[TargetSpec], source: SourceSpec,
         exprs = key_exprs(df, t, plan)
         cols, dims = [], {}
         for (tgt, src), e in zip(plan.kept, exprs):
+            # Shared between targets only when the expression is the same: the
+            # pattern key depends on the mask, text keys on the '' folding.
             alias = (f"_rw_k_{src}_{plan.effective_mask}" if src == t.row_pattern_column
-                     else f"_rw_k_{src}")
+                     else f"_rw_k_{src}_{int(bool(t.blank_as_null))}")
             key_cols.setdefault(alias, e.alias(alias))
             cols.append(alias)
             dims[tgt] = alias

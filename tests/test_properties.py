@@ -2,7 +2,7 @@
 
 import math
 
-from hypothesis import given, settings, strategies as st
+from hypothesis import example, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from rollwise.functions.pattern import (flags_pattern, flags_to_mask, kept_names, kept_positions,
@@ -94,3 +94,27 @@ def test_tier_intervals_first_match(spark, tiers):
                 return r
         return None
     assert got == {v: first(v) for v in values}
+
+
+@settings(max_examples=5, deadline=None)
+@example([(0, 10000, 1), (5, -3, 5)])   # more than one block; begin after end
+@given(st.lists(st.tuples(st.integers(0, 20000), st.integers(-100, 30000),
+                          st.sampled_from([1, 5, 7, 60, 1440])), min_size=1, max_size=6))
+def test_chunk_list_equals_loop(spark, specs):
+    """Blocked generation equals ``while tag <= end: tag += size`` for every
+    target, including ranges longer than one block and begin after end."""
+    import datetime as dt
+    from rollwise.plans.registry import chunk_list
+    base = dt.datetime(2024, 1, 1)
+    rows = [(str(i), base + dt.timedelta(minutes=b), base + dt.timedelta(minutes=b + span), size)
+            for i, (b, span, size) in enumerate(specs)]
+    df = spark.createDataFrame(rows, "target_table string, batch_loop_begin timestamp_ntz, "
+                               "batch_loop_end timestamp_ntz, batch_control_size bigint")
+    got = sorted((r.target_table, r.chunk_start) for r in chunk_list(df).collect())
+    want = []
+    for name, begin, end, size in rows:
+        tag = begin
+        while tag <= end:
+            want.append((name, tag))
+            tag += dt.timedelta(minutes=size)
+    assert got == sorted(want)

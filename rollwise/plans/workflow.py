@@ -52,22 +52,23 @@ class Registry:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _versions(self, kind: str) -> list[tuple[int, bool]]:
-        """(version, committed) for every snapshot folder; a folder counts as
-        committed once the job's ``_SUCCESS`` marker is there."""
+    def _versions(self, kind: str) -> list[int]:
+        """Every snapshot folder's version number, committed or not."""
         p, fs = self._fs(f"{self.root}/{kind}")
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            m = _VERSION.search(st.getPath().getName())
-            if m:
-                ok = fs.exists(self._fs(f"{st.getPath().toString()}/_SUCCESS")[0])
-                out.append((int(m.group(1)), ok))
-        return out
+        return [int(m.group(1)) for st in fs.listStatus(p)
+                if (m := _VERSION.search(st.getPath().getName()))]
 
     def _latest(self, kind: str) -> int:
-        return max((v for v, ok in self._versions(kind) if ok), default=0)
+        """The newest committed snapshot (its ``_SUCCESS`` marker exists).
+        Versions are tried from the newest down, so a read costs one check
+        unless a writer was lost."""
+        _, fs = self._fs(self.root)
+        for v in sorted(self._versions(kind), reverse=True):
+            if fs.exists(self._fs(f"{self.root}/{kind}/v{v:06d}/_SUCCESS")[0]):
+                return v
+        return 0
 
     def _read(self, kind: str, schema) -> DataFrame:
         v = self._latest(kind)
@@ -78,7 +79,7 @@ class Registry:
     def _commit(self, kind: str, df: DataFrame, schema) -> None:
         # Number past every folder, committed or not: a job lost halfway leaves
         # a folder without a marker, which readers skip and writers never reuse.
-        v = max((v for v, _ in self._versions(kind)), default=0) + 1
+        v = max(self._versions(kind), default=0) + 1
         conform(df, schema).write.mode("errorifexists").parquet(f"{self.root}/{kind}/v{v:06d}")
 
     def targets(self) -> DataFrame:

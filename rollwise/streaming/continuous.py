@@ -40,8 +40,7 @@ def _maybe_broadcast(df: DataFrame) -> DataFrame:
 def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
                    target: TargetSpec, source: SourceSpec, path: str) -> None:
     """Recompute the chunks a micro-batch touched and replace them in ``path``."""
-    touched = _chunk(source.transformation(micro) if callable(source.transformation)
-                     else micro, target).select("_rw_chunk").distinct()
+    touched = _chunk(_transform(micro, source), target).select("_rw_chunk").distinct()
     touched = touched.checkpoint(eager=True)
     span = touched.agg(F.min("_rw_chunk").alias("lo"), F.max("_rw_chunk").alias("hi")).first()
     if span["lo"] is None:
@@ -66,6 +65,19 @@ def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
     write_target(new.checkpoint(eager=True), path, target.control_column)
 
 
+def _transform(micro: DataFrame, source: SourceSpec) -> DataFrame:
+    """The source's transformation applied to one micro-batch.  SQL text runs
+    against the micro-batch registered under the source table's name, in the
+    stream's own session (its temp views do not leak into the caller's)."""
+    t = source.transformation
+    if t is None:
+        return micro
+    if callable(t):
+        return t(micro)
+    micro.createOrReplaceTempView(source.source_table)
+    return micro.sparkSession.sql(t)
+
+
 def _within(full: DataFrame, target: TargetSpec, source: SourceSpec,
             lo: dt.datetime, hi: dt.datetime) -> DataFrame:
     """Restrict the full source to the touched chunks' time span, on a column
@@ -102,10 +114,8 @@ def run_stream(spark: SparkSession, source_glob: str, schema, target: TargetSpec
                available_now: bool = True, max_files: int | None = None):
     """Start the continuous load; with ``available_now`` it processes every
     file present and stops (what a scheduler runs each hour).  The source's
-    transformation must be a DataFrame function (it is applied to each
-    micro-batch as well as to ``full``)."""
-    if source.transformation is not None and not callable(source.transformation):
-        raise ValueError("a streamed source needs a DataFrame transformation, not SQL text")
+    transformation is applied to each micro-batch as well as to ``full``
+    (SQL text sees the micro-batch under the source table's name)."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -65,3 +65,24 @@ def test_stream_one_file_per_micro_batch(spark):
     want = aggregate_frame(u_events(events), t, plan_source(t, src))
     got = spark.read.parquet(path).drop("control_day").select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_with_sql_text_source(spark):
+    """A registry-style source (SQL text) streams too; the caller's session
+    keeps its own view of the table."""
+    from rollwise.sources.catalog import resolve_source
+    from rollwise.sources.unified import U_EVENTS_SQL
+    from rollwise.specs import SourceSpec
+    cat = Catalog(spark, "/root/testdata/sf0.001")
+    events = cat.table("events")
+    src = SourceSpec("s4", "events", True, transformation=U_EVENTS_SQL)
+    full = resolve_source(cat, src)
+    t = fx.target_2(name="s4")
+    path, ckpt = fresh_path(spark, "s4_target"), fresh_path(spark, "s4_ckpt")
+    q = run_stream(spark, "/root/testdata/sf0.001/events.parquet", events.schema, t, src, full,
+                   path, ckpt)
+    q.awaitTermination()
+    want = aggregate_frame(u_events(events), t, plan_source(t, src))
+    got = spark.read.parquet(path).drop("control_day").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert spark.table("events").count() == events.count()   # caller's view untouched

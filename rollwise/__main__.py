@@ -5,6 +5,8 @@
     python -m rollwise refresh  --registry ROOT --tables DIR --target NAME
     python -m rollwise backfill --registry ROOT --tables DIR --target NAME --since ISO
     python -m rollwise slide    --registry ROOT --tables DIR --target NAME --days N [--now ISO]
+    python -m rollwise stream   --registry ROOT --tables DIR --target NAME --inbox GLOB --path TABLE
+                                [--max-files N]
 
 ``refresh`` then ``run-due`` is the hourly pair of the reference's task DAG:
 availability first, then every due chunk of the target in one job.
@@ -24,7 +26,9 @@ from .sources.catalog import Catalog
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="rollwise")
-    ap.add_argument("command", choices=["run-due", "refresh", "backfill", "slide"])
+    ap.add_argument("command", choices=["run-due", "refresh", "backfill", "slide", "stream"])
+    ap.add_argument("--inbox", help="files arriving for the target's source (stream)")
+    ap.add_argument("--max-files", type=int, help="files per micro-batch (stream)")
     ap.add_argument("--since", help="ISO time processed is reset to (backfill)")
     ap.add_argument("--days", type=int, help="days to redo on every run (slide)")
     ap.add_argument("--registry", required=True)
@@ -45,6 +49,9 @@ def main(argv=None) -> int:
     if a.command == "backfill":
         reg.backfill(a.target, dt.datetime.fromisoformat(a.since))
         return 0
+    if a.command == "stream":
+        reg.stream(cat, a.target, a.inbox, a.path, max_files=a.max_files)
+        return 0
     if a.command == "slide":
         today = now.replace(hour=0, minute=0, second=0, microsecond=0)
         reg.set_availability(a.target, today - dt.timedelta(days=a.days))

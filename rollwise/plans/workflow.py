@@ -151,6 +151,26 @@ class Registry:
         self._commit("sources", update_where(self.sources(), pred, {
             "data_availabletime": F.lit(value).cast("timestamp_ntz")}), SOURCES_SCHEMA)
 
+    def stream(self, catalog: Catalog, name: str, inbox: str, path: str,
+               max_files: int | None = None, available_now: bool = True):
+        """Continuous load of ``name`` from files arriving in ``inbox`` (I12),
+        for its live source.  The stream's checkpoint lives under the registry
+        root, so each scheduled run resumes after the last processed file."""
+        from ..sources.catalog import resolve_source
+        from ..streaming.continuous import run_stream
+        target = self.target_spec(name)
+        live = [s for s in self.source_specs(name) if s.enabled is True]
+        if len(live) != 1:
+            raise ValueError(f"streaming needs exactly one live source, {name!r} has {len(live)}")
+        src = live[0]
+        schema = catalog.table(src.source_table).schema
+        q = run_stream(self.spark, inbox, schema, target, src, resolve_source(catalog, src),
+                       path, f"{self.root}/streams/{name}", available_now=available_now,
+                       max_files=max_files)
+        if available_now:
+            q.awaitTermination()
+        return q
+
     # ---- one target's specs (bounded metadata) -------------------------------------
 
     def target_spec(self, name: str):

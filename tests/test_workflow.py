@@ -135,3 +135,36 @@ def test_sliding_and_backfill_flows(spark, capsys):
     assert reg.target_spec("s2").batch_processed == dt.datetime(2024, 1, 26)
     days = {r.data_dt for r in spark.read.parquet(path).select("data_dt").distinct().collect()}
     assert days == {dt.date(2024, 1, d) for d in range(21, 30)}
+
+
+def test_stream_from_registry_resumes(spark):
+    """``rollwise stream`` twice: the second run only sees the new file."""
+    from rollwise.__main__ import main
+    from rollwise.operators.aggregate import aggregate_frame, plan_source
+    from rollwise.sources.unified import u_events
+    reg = Registry(spark, fresh_path(spark, "registry5"))
+    t2 = fx.target_2()
+    row = dict(target_table="st", batch_control_column="data_dt", batch_control_size=1440,
+               batch_schedule_type="DAILY", pattern_columns=json.dumps(PATTERN_COLUMNS),
+               groupby_columns=json.dumps(t2.groupby_columns), groupby_flexible=True,
+               aggregate_columns=json.dumps(t2.aggregate_columns),
+               aggregate_functions=json.dumps(t2.aggregate_functions))
+    reg.register_targets(spark.createDataFrame([row]).withColumn(
+        "batch_processed", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")))
+    reg.register_sources(spark.createDataFrame(
+        [("st", "events", True, 0, U_EVENTS_SQL)], "target_table string, source_table string, "
+        "source_enabled boolean, pattern_default bigint, transformation string"))
+    small = "/root/testdata/sf0.001"
+    events = Catalog(spark, small).table("events")
+    inbox, path = fresh_path(spark, "st_inbox"), fresh_path(spark, "st_table")
+    cut = F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
+    events.where(F.col("ts") < cut).coalesce(1).write.parquet(inbox + "/a")
+    args = ["stream", "--registry", reg.root, "--tables", small, "--target", "st",
+            "--inbox", inbox + "/*/*.parquet", "--path", path]
+    assert main(args) == 0
+    events.where(F.col("ts") >= cut).coalesce(1).write.parquet(inbox + "/b")
+    assert main(args) == 0
+    want = aggregate_frame(u_events(events), reg.target_spec("st"),
+                           plan_source(reg.target_spec("st"), reg.source_specs("st")[0]))
+    got = spark.read.parquet(path).drop("control_day").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

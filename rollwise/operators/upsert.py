@@ -164,7 +164,11 @@ def upsert_registry(current: DataFrame, incoming: DataFrame, keys: list[str],
                     id_col: str = "id", keep_on_match: tuple[str, ...] = ()) -> DataFrame:
     """MERGE registry rows by natural key (M2, M3, S8): matched rows take the
     incoming values but keep their id (and ``keep_on_match`` columns); new rows
-    get the next ids after the current maximum, in key order."""
+    get the next ids after the current maximum, in key order.  Incoming rows
+    must be unique by key (as the warehouse MERGE demanded); duplicates raise."""
+    dup = incoming.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"incoming registry rows repeat a key: {dup[0].asDict()}")
     cur = current.select(*[F.col(c).alias(f"c_{c}") for c in current.columns])
     inc = incoming.select(*incoming.columns, F.lit(True).alias("_in"))
     cond = [F.col(f"c_{k}") == F.col(k) for k in keys]

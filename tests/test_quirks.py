@@ -107,3 +107,11 @@ def test_sized_join_both_ways(spark):
     pb = b._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in pa and "SortMergeJoin" in pb and "Broadcast" not in pb
     assert sorted(r.k for r in a.collect()) == sorted(r.k for r in b.collect())
+
+
+def test_registry_upsert_refuses_repeated_keys(spark):
+    from rollwise.operators.upsert import upsert_registry
+    cur = spark.createDataFrame([(1, "a", 5)], "id bigint, k string, v int")
+    inc = spark.createDataFrame([("a", 6), ("a", 7)], "k string, v int")
+    with pytest.raises(ValueError, match="repeat a key"):
+        upsert_registry(cur, inc, ["k"])

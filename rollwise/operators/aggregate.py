@@ -172,7 +172,3 @@ def combine_sources(parts: list[tuple[int, DataFrame]], keys: list[str],
     else:
         out = u.agg(best)
     return out.select(*keys, *[F.col("_rw_m")[m].alias(m) for m in measures])
-
-
-def chunk_end(start: dt.datetime, minutes: int) -> dt.datetime:
-    return start + dt.timedelta(minutes=int(minutes))

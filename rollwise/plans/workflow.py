@@ -103,6 +103,23 @@ class Registry:
                                                 ["target_table", "source_table"]),
                      SOURCES_SCHEMA)
 
+    def register_specs(self, targets=(), sources=()) -> None:
+        """Register ``TargetSpec`` / ``SourceSpec`` objects (Python form of the
+        registry rows).  A source's transformation is stored only as SQL text."""
+        from pyspark.sql import types as T
+        from ..specs import source_row, target_row
+
+        def nullable(schema):  # ids are assigned on registration
+            return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+        if targets:
+            df = self.spark.createDataFrame([target_row(t) for t in targets],
+                                            nullable(TARGETS_SCHEMA))
+            self.register_targets(df.drop("id"))
+        if sources:
+            df = self.spark.createDataFrame([source_row(s) for s in sources],
+                                            nullable(SOURCES_SCHEMA))
+            self.register_sources(df.drop("id"))
+
     def set_enabled(self, target_table: str, source_tables: list[str] | None,
                     value: bool | None) -> None:
         pred = F.col("target_table") == F.lit(target_table)

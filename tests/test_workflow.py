@@ -168,3 +168,18 @@ def test_stream_from_registry_resumes(spark):
                            plan_source(reg.target_spec("st"), reg.source_specs("st")[0]))
     got = spark.read.parquet(path).drop("control_day").select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_register_specs_round_trip(spark):
+    reg = Registry(spark, fresh_path(spark, "registry6"))
+    t = fx.target_2(name="py")
+    t.batch_processed = dt.datetime(2024, 1, 4)
+    s = SourceSpec("py", "events", True, transformation=U_EVENTS_SQL,
+                   data_availabletime=dt.datetime(2024, 1, 9))
+    reg.register_specs([t], [s])
+    back = reg.target_spec("py")
+    assert (back.groupby_pattern, back.control_column, back.chunk_minutes, back.id) == \
+        (t.groupby_pattern, "data_dt", 1440, 1)
+    assert back.dims == t.dims and back.aggregate_functions == t.aggregate_functions
+    src = reg.source_specs("py")[0]
+    assert src.enabled is True and src.transformation == U_EVENTS_SQL and src.id == 1

@@ -86,3 +86,21 @@ def test_stream_with_sql_text_source(spark):
     got = spark.read.parquet(path).drop("control_day").select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert spark.table("events").count() == events.count()   # caller's view untouched
+
+
+def test_date_columns_list_is_in_sync(spark):
+    """Every date column a check returns is in ``DATE_COLUMNS`` (so the
+    oracle renders it the same way), and the canonical outputs carry none."""
+    from pyspark.sql import types as T
+    import __spark_entry__ as E
+    from rollwise.checks.canon import DATE_COLUMNS
+    writing = {"synth_source", "stream_summary", "incremental_run", "demo_workflow"}
+    for k, fn in E.QUERIES.items():
+        if k in writing:
+            continue
+        df = fn(spark, "/root/testdata/sf0.001")
+        dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+        assert dates == DATE_COLUMNS.get(k, []), k
+        canon = E.queries()[k](spark, "/root/testdata/sf0.001")
+        assert not any(isinstance(f.dataType, (T.DateType, T.DecimalType))
+                       for f in canon.schema.fields), k

@@ -148,10 +148,11 @@ def q_demo_workflow(spark, sf_dir):
         "groupby_flexible boolean, aggregate_columns string, aggregate_functions string")
     reg.register_targets(spec.withColumn("batch_processed", F.lit(dt.datetime(2024, 1, 4))
                                          .cast("timestamp_ntz")))
-    src = spark.createDataFrame([("daily", "events", False, 0, U_EVENTS_SQL)],
+    src = spark.createDataFrame([("daily", "events", False, 0, U_EVENTS_SQL, "data_ts", 3)],
                                 "target_table string, source_table string, "
                                 "source_enabled boolean, pattern_default bigint, "
-                                "transformation string")
+                                "transformation string, control_column string, "
+                                "control_slack_minutes bigint")
     reg.register_sources(src.withColumn("data_availabletime", F.lit(None)
                                         .cast("timestamp_ntz")))
     cat = catalog(spark, sf_dir)

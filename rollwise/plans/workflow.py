@@ -201,7 +201,10 @@ class Registry:
         return [SourceSpec(target_table=r.target_table, source_table=r.source_table,
                            enabled=r.source_enabled, pattern_default=r.pattern_default or 0,
                            transformation=r.transformation, label=r.source_label, id=r.id,
-                           priority=int(r.id or 0), data_availabletime=r.data_availabletime)
+                           priority=int(r.id or 0), data_availabletime=r.data_availabletime,
+                           control_column=r.control_column,
+                           control_slack_minutes=(None if r.control_slack_minutes is None
+                                                  else int(r.control_slack_minutes)))
                 for r in rows]
 
     # ---- procedures ----------------------------------------------------------------

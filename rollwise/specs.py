@@ -145,6 +145,10 @@ SOURCES_SCHEMA = T.StructType([
     T.StructField("data_availabletime", T.TimestampNTZType()),
     T.StructField("data_checkschedule", T.TimestampNTZType()),
     T.StructField("transformation", T.StringType()),
+    # Optional, ours: the raw time column of the transformed source and a bound
+    # on |raw - aligned| in minutes, so range runs can prune the scan.
+    T.StructField("control_column", T.StringType()),
+    T.StructField("control_slack_minutes", T.LongType()),
 ])
 
 
@@ -159,7 +163,7 @@ def target_row(t: TargetSpec) -> tuple:
 def source_row(s: SourceSpec) -> tuple:
     text = s.transformation if isinstance(s.transformation, str) else None
     return (s.id, s.label, s.target_table, s.source_table, s.enabled, s.pattern_default,
-            None, s.data_availabletime, None, text)
+            None, s.data_availabletime, None, text, s.control_column, s.control_slack_minutes)
 
 
 def target_from_row(r) -> TargetSpec:

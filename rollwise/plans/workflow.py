@@ -140,9 +140,14 @@ class Registry:
             df = resolve_source(catalog, s)
             t = time_col(df, ctl)
             if s.data_availabletime is not None:
-                # Only data at or after the current availability can move it;
-                # on a stored time column this prunes everything older.
+                # Only data at or after the current availability can move it.
+                # The same bound on the raw time column (widened by the slack)
+                # reaches the parquet scan and prunes everything older.
                 df = df.where(t >= F.lit(s.data_availabletime).cast("timestamp_ntz"))
+                if s.control_column and s.control_slack_minutes is not None:
+                    lo = s.data_availabletime - dt.timedelta(minutes=s.control_slack_minutes)
+                    df = df.where(time_col(df, s.control_column)
+                                  >= F.lit(lo).cast("timestamp_ntz"))
             m = df.agg(F.max(t).alias("latest_ts")).select(
                 F.lit(s.source_table).alias("source_table"), "latest_ts")
             latest = m if latest is None else latest.unionByName(m)

@@ -115,3 +115,13 @@ def test_registry_upsert_refuses_repeated_keys(spark):
     inc = spark.createDataFrame([("a", 6), ("a", 7)], "k string, v int")
     with pytest.raises(ValueError, match="repeat a key"):
         upsert_registry(cur, inc, ["k"])
+
+
+def test_effective_mask_edge_row():
+    """FIXTURES §4: target mask 7 with a source lacking bit 8 -> 15; refused
+    by a strict target, taken by a flexible one."""
+    src = fx.src_events("t", pattern_default=8)
+    strict = plan_source(fx.target_1(flexible=False), src)
+    flexible = plan_source(fx.target_1(flexible=True), src)
+    assert strict.effective_mask == flexible.effective_mask == 15
+    assert not strict.accepted and flexible.accepted

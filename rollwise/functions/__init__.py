@@ -1,0 +1 @@
+"""Column functions: bitmask patterns, time grids, rate cards, and their SQL forms."""

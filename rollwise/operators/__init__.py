@@ -1,0 +1 @@
+"""DataFrame operators: aggregation, rollups, upserts, target tables, rate cards, joins."""

@@ -1,0 +1 @@
+"""Source relations: tables by name, transformations, inline rows, unified views."""

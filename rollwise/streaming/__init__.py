@@ -1,0 +1 @@
+"""Structured Streaming continuous load."""

@@ -46,6 +46,9 @@ class Batch:
     frame: DataFrame | None              # aggregated rows in target column names
     plans: list[SourcePlan]              # every source, accepted or not
     parts: list[tuple[SourcePlan, DataFrame]]
+    # Set by ``range_batch``: every row's target control value lies in
+    # [begin, end_excl).  None for one-chunk batches filtered on raw time.
+    aligned: tuple[dt.datetime, dt.datetime] | None = None
 
     @property
     def keys(self) -> list[str]:
@@ -132,7 +135,9 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
             pred = pred & (raw >= ts_lit(begin - slack)) & (raw < ts_lit(end_excl + slack))
         parts.append((plan, aggregate_frame(df.where(pred), target, plan)))
         projected[id(plan)] = projected_frame(df.where(pred), target, plan)
-    return _combine(target, parts, plans, projected)
+    batch = _combine(target, parts, plans, projected)
+    batch.aligned = (begin, end_excl)
+    return batch
 
 
 def _check_additive_step(spark, target: TargetSpec, begin: dt.datetime) -> None:
@@ -157,6 +162,14 @@ def replace_batch(existing: DataFrame, target: TargetSpec, batch: Batch,
     kept = purge(existing, target.control_column, begin, minutes)
     if batch.frame is None:
         return kept
+    if batch.aligned is not None and begin <= batch.aligned[0] and batch.aligned[1] <= end_excl:
+        # Every batch row's control value lies inside the purged range and the
+        # control column is part of the key, so no kept row can match a batch
+        # row: the upsert is a plain union (no join, no shuffle).
+        from ..operators.tables import conform
+        from pyspark.sql import types as T
+        schema = T.StructType([existing.schema[c] for c in existing.columns])
+        return kept.unionByName(conform(batch.frame, schema))
     return upsert(kept, batch.frame, batch.keys, target.measures[0])
 
 

@@ -5,6 +5,7 @@
     python -m rollwise refresh  --registry ROOT --tables DIR --target NAME
     python -m rollwise backfill --registry ROOT --tables DIR --target NAME --since ISO
     python -m rollwise slide    --registry ROOT --tables DIR --target NAME --days N [--now ISO]
+    python -m rollwise status   --registry ROOT --tables DIR [--now ISO]
     python -m rollwise stream   --registry ROOT --tables DIR --target NAME --inbox GLOB --path TABLE
                                 [--max-files N]
 
@@ -26,14 +27,15 @@ from .sources.catalog import Catalog
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="rollwise")
-    ap.add_argument("command", choices=["run-due", "refresh", "backfill", "slide", "stream"])
+    ap.add_argument("command", choices=["run-due", "refresh", "backfill", "slide", "stream",
+                                        "status"])
     ap.add_argument("--inbox", help="files arriving for the target's source (stream)")
     ap.add_argument("--max-files", type=int, help="files per micro-batch (stream)")
     ap.add_argument("--since", help="ISO time processed is reset to (backfill)")
     ap.add_argument("--days", type=int, help="days to redo on every run (slide)")
     ap.add_argument("--registry", required=True)
     ap.add_argument("--tables", required=True, help="folder of <name>.parquet sources")
-    ap.add_argument("--target", required=True)
+    ap.add_argument("--target", help="target table (all commands but status)")
     ap.add_argument("--path", help="target table folder (run-due)")
     ap.add_argument("--now", help="ISO time (default: current UTC time)")
     ap.add_argument("--dry-run", action="store_true")
@@ -43,6 +45,21 @@ def main(argv=None) -> int:
     reg, cat = Registry(spark, a.registry), Catalog(spark, a.tables)
     now = (dt.datetime.fromisoformat(a.now) if a.now
            else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    if a.command == "status":
+        # Registry-wide dry run: every due target with its chunk range.
+        from pyspark.sql import functions as F
+        from .plans import registry as R
+        due = R.due_targets(reg.targets(), now)
+        n = F.when(F.col("batch_loop_begin") <= F.col("batch_loop_end"),
+                   F.floor(F.timestamp_diff("MINUTE", F.col("batch_loop_begin"),
+                                            F.col("batch_loop_end"))
+                           / F.col("batch_control_size")) + 1).otherwise(0)
+        due.select("target_table", "batch_schedule_type", "batch_loop_begin", "batch_loop_end",
+                   n.cast("bigint").alias("chunks")).orderBy("target_table") \
+            .show(50, truncate=False)
+        return 0
+    if not a.target:
+        ap.error("--target is required")
     if a.command == "refresh":
         reg.refresh_availability(cat, a.target)
         return 0

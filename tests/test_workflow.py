@@ -200,3 +200,16 @@ def test_registry_source_prunes_with_raw_control(spark):
                     dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 5, 23, 55))
     plan = b.frame._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+
+
+def test_cli_status(spark, capsys):
+    from rollwise.__main__ import main
+    reg = Registry(spark, fresh_path(spark, "registry8"))
+    t = fx.target_2(name="st2")
+    t.batch_processed = dt.datetime(2024, 1, 4)
+    reg.register_specs([t], [])
+    assert main(["status", "--registry", reg.root, "--tables", SF,
+                 "--now", "2024-01-08T10:00:00"]) == 0
+    import re
+    out = capsys.readouterr().out
+    assert re.search(r"\|st2\s*\|DAILY\s*\|2024-01-05 00:00:00\|2024-01-08 00:00:00\|4\s*\|", out)

@@ -268,6 +268,10 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     if n == 0:
         return RunResult(True, begin, end, 0)
     live = select_sources(sources, target)
+    if not live:  # nothing to load (Q13): write nothing, but release the lock
+        if not script_only:
+            finish_run(target, live, now)
+        return RunResult(True, begin, end, n, None)
     step = dt.timedelta(minutes=target.chunk_minutes)
     per_job = n if (script_only or not max_chunks) else max(1, int(max_chunks))
     new = None

@@ -125,3 +125,18 @@ def test_effective_mask_edge_row():
     flexible = plan_source(fx.target_1(flexible=True), src)
     assert strict.effective_mask == flexible.effective_mask == 15
     assert not strict.accepted and flexible.accepted
+
+
+def test_due_target_without_live_sources(spark):
+    """Q13: nothing is written, processed stays, the lock is released."""
+    from rollwise.plans.incremental import run_target
+    from rollwise.session import fresh_path
+    t = fx.target_2()
+    t.batch_processed = dt.datetime(2024, 1, 4)
+    t.batch_processing = None
+    path = fresh_path(spark, "no_live")
+    r = run_target(Catalog(spark, SF), t, [fx.src_events(t.target_table, enabled=None)],
+                   dt.datetime(2024, 1, 8), path)
+    import os
+    assert r.ran and r.written is None and not os.path.exists(path)
+    assert t.batch_processed == dt.datetime(2024, 1, 4) and t.batch_processing is None

@@ -213,3 +213,19 @@ def test_cli_status(spark, capsys):
     import re
     out = capsys.readouterr().out
     assert re.search(r"\|st2\s*\|DAILY\s*\|2024-01-05 00:00:00\|2024-01-08 00:00:00\|4\s*\|", out)
+
+
+def test_cli_dry_run_writes_and_locks_nothing(spark, capsys):
+    import os
+    from rollwise.__main__ import main
+    reg = Registry(spark, fresh_path(spark, "registry9"))
+    t = fx.target_2(name="dry")
+    t.batch_processed = dt.datetime(2024, 1, 4)
+    reg.register_specs([t], [SourceSpec("dry", "events", True, transformation=U_EVENTS_SQL)])
+    versions = reg._latest("targets")
+    path = fresh_path(spark, "dry_table")
+    assert main(["run-due", "--registry", reg.root, "--tables", SF, "--target", "dry",
+                 "--path", path, "--now", "2024-01-08T10:00:00", "--dry-run"]) == 0
+    assert "chunks 4" in capsys.readouterr().out
+    assert not os.path.exists(path) and reg._latest("targets") == versions
+    assert reg.target_spec("dry").batch_processing is None

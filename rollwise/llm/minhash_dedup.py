@@ -4,9 +4,11 @@ Every text becomes a set of word shingles, the set a signature of ``COORDS``
 minima.  A text is posted under its (coordinate, value) tokens; two texts
 that share ``MATCHES`` tokens or more are compared on their full sets.
 
-* *Prefix*: with all tokens in one global order (rare first), two texts with
-  ``MATCHES`` common tokens share one of their first ``COORDS - MATCHES + 1``,
-  so only these are posted.
+* *Core*: a text with fewer than ``MATCHES`` tokens that any other text has
+  can have no partner and leaves; so do, once more, those that are left.
+* *Prefix*: with a text's k remaining shared tokens in one global order (rare
+  first), two texts with ``MATCHES`` in common share one of their first
+  ``k - MATCHES + 1``, so only these are posted.
 * *Skip*: the other, longest lists are never merged; the rest of a
   collision count is read from the two signatures.
 
@@ -38,9 +40,7 @@ from rollwise.llm.common import U64, mix64, saved, slices, stream, utf8, word_ha
 
 COORDS = 32
 MATCHES = 14
-PREFIX = COORDS - MATCHES + 1
 BLOCK = 512
-FREQUENCY_BINS = 1 << 16
 #: Bits of the map of documents whose sets are read again.
 FILTER_BITS = 1 << 23
 
@@ -126,23 +126,13 @@ def _sets(width: int, bits: bytes | None):
     return run
 
 
-def _postings(order: np.ndarray):
-    """The prefix of each node: its tokens that are rarest in the global order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tokens = batch.column(2).flatten().to_numpy().view(U64).reshape(-1, COORDS)
-            common = order[(tokens % U64(FREQUENCY_BINS)).astype(np.int64)]
-            rank = np.lexsort((tokens, common), axis=1)[:, :PREFIX]
-            rows = np.repeat(np.arange(len(tokens)), PREFIX)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.take_along_axis(tokens, rank, 1).ravel().view(np.int64)),
-                 batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows))],
-                names=["token", "node", "n"])
-
-    return run
+def _core(rows: DataFrame) -> DataFrame:
+    """Of rows (node, token) the nodes with ``MATCHES`` tokens or more that
+    another node has, too, and these tokens, rare first."""
+    held = F.count("*").over(Window.partitionBy("token"))
+    return (rows.withColumn("m", held).where("m > 1").groupBy("node")
+            .agg(F.sort_array(F.collect_list(F.struct("m", "token"))).alias("shared"))  # COORDS at most
+            .where(F.size("shared") >= MATCHES).select("node", F.col("shared.token").alias("shared")))
 
 
 def _similar(a: DataFrame, percent: int) -> DataFrame:
@@ -284,18 +274,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
              .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")))
     nodes = saved(nodes, "nodes")
 
-    frequency = np.zeros(FREQUENCY_BINS, np.int64)
-    for b, c in (nodes.select(F.explode("tokens").alias("t"))
-                 .groupBy(F.col("t").bitwiseAND(F.lit(FREQUENCY_BINS - 1)).alias("b"))
-                 .count().collect()):  # FREQUENCY_BINS rows at most
-        frequency[b] = c
-    posted = saved(nodes.select("node", "n", "tokens").mapInArrow(_postings(frequency), "token long, node long, n long"),
-                   "postings")
-    shared = posted.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
-    lists = saved(posted.join(shared, "token"), "lists")
-
-    held = lists.groupBy("node").agg(F.collect_list("token").alias("prefix"))
-    involved = saved(nodes.join(held, "node"), "involved")
+    core = saved(_core(nodes.select("node", F.explode("tokens").alias("token"))), "core")
+    core = saved(_core(core.select("node", F.explode("shared").alias("token"))), "core")
+    posted = core.select("node", F.slice("shared", F.lit(1), F.size("shared") - (MATCHES - 1)).alias("prefix"))
+    involved = saved(nodes.join(posted, "node"), "involved")
+    lists = (involved.select("node", F.explode("prefix").alias("token"))
+             .withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1"))
+    lists = saved(lists, "lists")
+
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for (b,) in involved.select(
             F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(FILTER_BITS))).distinct().toLocalIterator():  # FILTER_BITS rows at most

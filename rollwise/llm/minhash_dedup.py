@@ -209,58 +209,78 @@ def _leaders(lists: DataFrame, links: DataFrame | None) -> DataFrame:
             .select("token", F.col("top.node").alias("leader")))
 
 
+def _block_pairs(key: tuple, rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[int, int]]]:
+    """Nodes and component labels of a block, and its cross-component pairs
+    with enough collisions; a pair belongs to the least token that its
+    prefixes share.  Labels may be merged while the pairs are read."""
+    tokens = rows["tokens"].combine_chunks().flatten().to_numpy().reshape(-1, COORDS)
+    prefix = [frozenset(p) for p in rows["prefix"].to_pylist()]
+    size, node, side = (rows[c].to_numpy() for c in ("n", "node", "side"))
+    label = pd.factorize(rows["root"].to_numpy())[0]
+    token, same = key[0].as_py(), key[1].as_py() == key[2].as_py()
+
+    def pairs() -> Iterator[tuple[int, int]]:
+        for i in range(len(node)):
+            other = (label[:i] != label[i]) & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i]))
+            if not same:
+                other &= side[:i] != side[i]
+            near = np.flatnonzero(other)
+            for j in near[(tokens[near] == tokens[i]).sum(1) >= MATCHES].tolist():
+                if label[j] != label[i] and min(prefix[i] & prefix[j]) == token:
+                    yield i, j
+
+    return node, label, pairs()
+
+
+def _candidates(percent: int):
+    """The nodes of a block that have a pair to be compared."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        node, _, pairs = _block_pairs(key, rows, percent)
+        found = np.unique(np.array(list(pairs), dtype=np.int64).ravel())
+        return pa.table({c: pa.array([key[k].as_py()] * len(found), t) for k, (c, t) in enumerate(
+            (("token", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())))}
+            | {"node": rows["node"].take(pa.array(found)), "side": rows["side"].take(pa.array(found))})
+
+    return run
+
+
 def _compare_block(percent: int):
-    """Links between the components of one block of a list."""
+    """Links between the components of a block, by full sets."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        pdf = rows.select(["node", "root", "side"]).to_pandas().drop_duplicates("node")
-        keep = pdf.index.to_numpy()
-        rows = rows.take(pa.array(keep))
-        tokens = rows["tokens"].combine_chunks().flatten().to_numpy().reshape(-1, COORDS)
-        prefix = [frozenset(p) for p in rows["prefix"].to_pylist()]
-        members: list = [None] * len(keep)
-        sets = rows["members"].combine_chunks()
-        size = pa.compute.list_value_length(sets).to_numpy()
-        node, side = pdf["node"].to_numpy(), pdf["side"].to_numpy()
-        same = key[1].as_py() == key[2].as_py()
-        label = pd.factorize(pdf["root"])[0]
-        token, out = key[0].as_py(), []
+        node, label, pairs = _block_pairs(key, rows, percent)
+        members: dict[int, set] = {}
+        sets, out = rows["members"].combine_chunks(), []
 
         def ids(i: int) -> set:
-            if members[i] is None:
+            if i not in members:
                 members[i] = set(sets[i].values.to_numpy().tolist())
             return members[i]
 
-        for i in range(len(keep)):
-            other = (label[:i] != label[i]) & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i]))
-            if not same:
-                other &= side[:i] != side[i]
-            near = np.flatnonzero(other)
-            near = near[(tokens[near] == tokens[i]).sum(1) >= MATCHES]
-            for j in near:
-                # A pair belongs to the least token that its prefixes share.
-                if label[j] == label[i] or min(prefix[i] & prefix[j]) != token:
-                    continue
-                common = len(ids(i) & ids(int(j)))
-                if 100 * common >= percent * (size[i] + size[j] - common):
-                    out.append((node[i], node[j]))
-                    label[label == label[j]] = label[i]
+        for i, j in pairs:
+            common = len(ids(i) & ids(j))
+            if 100 * common >= percent * (len(ids(i)) + len(ids(j)) - common):
+                out.append((node[i], node[j]))
+                label[label == label[j]] = label[i]
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
 
 
 def _rest(lists: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All cross-component pairs of the open lists, block against block."""
+    """All cross-component pairs of the open lists, block against block: first
+    by signatures, which leaves few nodes, then these by full sets."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("int")
     dealt = (lists.withColumn("blocks", blocks).withColumn("side", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("token", "node", "root", "side", F.least("side", "other").alias("lo"),
-                     F.greatest("side", "other").alias("hi")))
-    whole = (nodes.join(lists.select("node").distinct(), "node", "left_semi")
-             .select("node", "tokens", "prefix").join(sets, "node"))
-    return (dealt.join(whole, "node").groupBy("token", "lo", "hi")
+             .select("token", "node", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+             .distinct())
+    known = nodes.join(lists.select("node", "root").distinct(), "node").select("node", "root", "n", "tokens", "prefix")
+    left = saved(dealt.join(known, "node").groupBy("token", "lo", "hi")
+                 .applyInArrow(_candidates(percent), "token long, lo int, hi int, node long, side int"), "left")
+    return (left.join(known, "node").join(sets, "node").groupBy("token", "lo", "hi")
             .applyInArrow(_compare_block(percent), "a long, b long"))
 
 
@@ -286,8 +306,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     for (b,) in involved.select(
             F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(FILTER_BITS))).distinct().toLocalIterator():  # FILTER_BITS rows at most
         bits[b >> 3] |= 1 << (b & 7)
-    sets = saved(texts.mapInArrow(_sets(width, bits.tobytes()), "node long, members array<long>")
-                 .join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    # Other documents that share a bit give sets that no join below asks for.
+    sets = saved(texts.mapInArrow(_sets(width, bits.tobytes()), "node long, members array<long>").dropDuplicates(["node"]), "sets")
 
     roots = links = None
     for _ in range(2):

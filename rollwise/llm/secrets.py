@@ -105,8 +105,10 @@ def rule_label() -> Column:
 
 def forest(rows: DataFrame):
     """A forest fitted on labelled featured findings, or None."""
-    sample = saved(rows.where("label is not null")
-                   .withColumn("part", F.row_number().over(_by_label())).where(F.col("part") <= TRAIN_ROWS // 2), "findings")
+    # Per label the smallest by hash: a top-k of each task, no label's rows in one task.
+    kind = lambda label: (rows.where(F.col("label") == label).orderBy(F.xxhash64("key", "position"), "key", "position", "doc_id")
+                          .limit(TRAIN_ROWS // 2))
+    sample = saved(kind(1.0).unionByName(kind(0.0)), "findings")
     kinds = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(kinds) < 2:
         return None
@@ -116,11 +118,6 @@ def forest(rows: DataFrame):
         vectors.transform(sample.unionByName(alone).select("label", *FEATURES)))
 
 
-def _by_label():
-    from pyspark.sql import Window
-    return Window.partitionBy("label").orderBy(F.xxhash64("key", "position"))
-
-
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """A row per candidate: key, doc_id, position, length, token_sha256, score, is_secret, token."""
     found = saved(findings(docs.select("doc_id", "text", "source")), "candidates")

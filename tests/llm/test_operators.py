@@ -1,0 +1,212 @@
+"""The training-data operators against brute force, round trips and edge rows."""
+
+import hashlib
+import re
+import sys
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from rollwise.llm import bpe, fingerprints, language_id, main_text, minhash_dedup, mixing, quality, secrets, toxicity, warc
+from rollwise.llm.common import utf8
+from rollwise.llm.queries import vocabulary_path
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, held_out boolean"
+LONG = " ".join(f"word{i % 997} and{i % 31}" for i in range(6000))
+TEXTS = [None, "", "   \n", "one", "The same words", "the same words", "a b c d e f g h i j", "a b c d e f g h i k",
+         LONG, LONG, LONG + " end", "x" * 5000, "1d10t and an idiot", 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" here',
+         "eins zwei drei über die Straße", "<|endoftext|> I'll  go\n\n now"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en" if i % 3 else "de", f"s{i % 2}", 0, 0.0, 0, False) for i, t in enumerate(TEXTS)]
+    rows += [(None, "no id at all", None, None, None, None, None, None), rows[5], rows[5]]
+    return spark.createDataFrame(rows, SCHEMA)  # clashing extra columns, repeated rows, nulls
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def shingle_set(text, width):
+    w = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+
+
+def brute_components(texts, width):
+    sets = {i: shingle_set(t, width) for i, t in texts}
+    label = {i: i for i in sets}
+    ids = sorted(sets)
+    for _ in ids:
+        for i in ids:
+            for j in ids:
+                if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    return sets, label
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_duplicates_match_brute_force(docs, width):
+    sets, label = brute_components([(r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None], width)
+    got = minhash_dedup.near_duplicates(docs, width).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), label[r.doc_id], label[r.doc_id] == r.doc_id)
+    kept = minhash_dedup.without_duplicates(docs, width)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({i for i in label if label[i] == i})
+
+
+def test_large_group_of_near_copies(spark):
+    base = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):  # each near the first, few near each other
+        words = list(base)
+        for k in range(4):
+            words[(i * 7 + k * 29) % 120] = f"n{i}_{k}"
+        rows.append((i, " ".join(words)))
+    _, label = brute_components(rows, 2)
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == label
+
+
+def test_bpe_equals_the_library(docs):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(vocabulary_path())
+    for r in bpe.encoded(docs, vocabulary_path(), "doc_id", "text", keep_ids=True).collect():
+        want = library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.ids == want and r.n_tokens == len(want)
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_bpe_of_awkward_texts():
+    from tokenizers import Tokenizer
+    library, encoder = Tokenizer.from_file(vocabulary_path()), bpe.Encoder(bpe.Vocabulary(vocabulary_path()))
+    texts = ["", " ", "'s's !'s ''s 're", "a  \n b\t\tc   ", "日本語　テスト 12３ ⅷ²", "é" * 70, "<|endoftext|><|endoftext|>x", "\x85\x1c‍"]
+    ids, sizes = encoder.encode(*utf8(pa.array(texts)))
+    at = 0
+    for text, n in zip(texts, sizes):
+        assert ids[at:at + n].tolist() == library.encode(text, add_special_tokens=False).ids, text
+        at += n
+
+
+def test_language_id(docs, empty):
+    rows = language_id.identify(docs).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    assert all(r.lang_pred == "und" for r in rows if r.doc_id in (0, 1, 2))
+    assert language_id.identify(empty).count() == 0
+    nothing = language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r.lang_pred for r in nothing} == {"und"}
+
+
+def test_language_id_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = language_id.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert out.where("lang = lang_pred").count() >= 0.97 * out.count()
+
+
+def test_main_text():
+    page = ("<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>Home</a></ul></nav>"
+            "<article><header><h1>Head &amp; line</h1><p>By someone</p></header><p><b>First   long paragraph, with words.<br><p>Second"
+            "&nbsp;one; and more of it, too.<div class='ad'>Buy</div><aside>x</aside></article>"
+            "<div class=comments><p>Nice article, I liked all of it, thanks!</p></div><footer>&copy; y</footer><script>'</p>'</script>")
+    assert main_text.main_text(page) == "Head & line\nFirst long paragraph, with words.\nSecond one; and more of it, too."
+    assert main_text.main_text(None) == main_text.main_text("") == main_text.main_text("<p") == ""
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"<p>page {i % 40} {'text ' * (i % 40)}</p>") for i in range(120)]
+    rows += [(200, None, None), (201, "http://a b\n", ""), (None, None, "alone")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives = warc.write_archives(pages)
+    got = warc.read_archives(archives).collect()
+    html = {i: (h or "").encode() for i, _, h in rows}
+    first = {}
+    for i, h in sorted(((i, h) for i, h in html.items() if i is not None)):
+        first.setdefault(h, i)
+    assert len(got) == len(rows)
+    for r in got:
+        payload = html[r.page_id]
+        assert r.payload_bytes == len(payload) and r.payload_digest == warc.digest32(payload)
+        if r.page_id is not None:
+            assert (r.record_type, r.refers_to) == (("response", None) if first[payload] == r.page_id else ("revisit", first[payload]))
+            assert r.payload == (payload if r.record_type == "response" else None)
+    warc.export(archives, str(tmp_path))
+    assert sum(1 for f in tmp_path.glob("*.zst") for _ in warc.records(f.read_bytes())) == len(rows)
+
+
+def test_fingerprints(docs, empty):
+    rows = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect() if r.doc_id is not None}
+    assert rows[8].fingerprint == rows[9].fingerprint and rows[9].near_next == 1.0
+    assert rows[0].fingerprint == rows[1].fingerprint == ""
+    order = sorted(((r.doc_id, r.text or "") for r in docs.distinct().collect() if r.doc_id is not None), reverse=True)
+    for (i, text), (_, after) in zip(order, order[1:]):
+        cut = len(text) // 3
+        if i != 5:  # a repeated row's next is its copy
+            assert rows[i].edited_sha256 == hashlib.sha256((text[:len(text) - cut] + after[:cut]).encode()).hexdigest()
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows.values())
+    assert fingerprints.fingerprints(empty).count() == 0
+
+
+def test_quality_counts(docs, spark, empty):
+    labels = spark.createDataFrame([(8, 1, 0), (9, 1, 0), (11, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.judge(docs, labels).collect()
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in rows:
+        t = text[r.doc_id]
+        w = WORD.findall(t)
+        windows = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+        again = {x for x in windows if windows.count(x) > 1} if len(windows) < 500 else None
+        if again is not None:
+            assert r.n_repeat_words == len({i + k for i, x in enumerate(windows) if x in again for k in range(3)})
+        assert (r.n_words, r.word_chars) == (len(w), sum(map(len, w)))
+        assert not (r.base_failed and r.kept)
+    assert quality.judge(docs, labels.where("false")).count() == len(rows) and quality.judge(empty, labels).count() == 0
+
+
+def test_toxicity_restores_and_scores(docs, spark, empty):
+    sample = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    restorer = toxicity.Restorer(toxicity.language_model(sample.select("text")))
+    assert [restorer.restore(x) for x in ("i d i o t", "$tup1d", "l0s3r", "idiooot", "plain words")] == [
+        "idiot", "stupid", "loser", "idiot", "plain words"]
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    out = toxicity.score(sample, labels).where("held_out").join(labels, "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in out) >= 0.9 * len(out)
+    assert toxicity.score(docs, labels.where("false")).where("score = 0").count() == docs.count()
+    assert toxicity.score(empty, labels).count() == 0
+
+
+def test_mixing_meets_targets(spark, docs, empty):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    total = rng.integers(1, 100, (4, 3, 2)).astype(float)
+    goals = [np.array([.1, .2, .3, .4]), np.array([.5, .25, .25]), np.array([.6, .4])]
+    fitted = mixing.rake(total, goals)
+    for axis, goal in enumerate(goals):
+        assert np.allclose(fitted.sum(axis=tuple(k for k in range(3) if k != axis)) / total.sum(), goal, atol=1e-6)
+    p = mixing.probabilities(total, fitted, 0.5)
+    assert p.max() <= 1 and abs((p * total).sum() / total.sum() - 0.5) < 1e-6
+    assert mixing.mix(docs).count() == docs.count() and mixing.mix(empty).count() == 0
+    assert mixing.sampled(docs).columns == docs.columns
+
+
+def test_secrets_masked(spark, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("key", F.lit(1))
+    out = secrets.masked(docs)
+    assert out.count() == docs.count() and out.columns == docs.columns
+    assert not out.where(F.col("text").rlike('"[0-9a-f]{40}"')).count()
+    changed = docs.select("doc_id", F.col("text").alias("old")).join(out, "doc_id").where("old <> text")
+    assert not changed.where(~F.col("old").rlike("[0-9a-fA-F]{40}")).count()
+    assert secrets.scan(empty).count() == 0
+
+
+def test_entry_registers_the_pipeline():
+    sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
+    import __spark_entry__ as entry
+    names = set(entry.queries())
+    assert {"pipeline", *(f"op{n}" for n in range(1, 11))} <= {n if n == "pipeline" else n.split("_")[0] for n in names}

@@ -54,9 +54,11 @@ def main(argv=None) -> int:
                    F.floor(F.timestamp_diff("MINUTE", F.col("batch_loop_begin"),
                                             F.col("batch_loop_end"))
                            / F.col("batch_control_size")) + 1).otherwise(0)
-        due.select("target_table", "batch_schedule_type", "batch_loop_begin", "batch_loop_end",
-                   n.cast("bigint").alias("chunks")).orderBy("target_table") \
-            .show(50, truncate=False)
+        rows = due.select("target_table", "batch_schedule_type", "batch_loop_begin", "batch_loop_end",
+                          n.cast("bigint").alias("chunks")).orderBy("target_table")
+        print(" | ".join(rows.columns))
+        for row in rows.toLocalIterator():  # every due target
+            print(" | ".join(map(str, row)))
         return 0
     if not a.target:
         ap.error("--target is required")

@@ -27,12 +27,14 @@ OTHER_DEVICE = "other"
 
 
 def _small(card: DataFrame, by: list[str], limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast the card only when its row count is under the bound."""
+    """Broadcast the card only when its row count is under the bound; a larger
+    one with a join key (``by``) is shuffled.  Only a range join without any
+    key has no other way and refuses."""
     n = card.count()
     if n <= limit:
         return F.broadcast(card)
     if not by:
-        raise ValueError(f"rate card of {n} rows needs a card key to join on")
+        raise ValueError(f"{n} intervals without a card key to join on")
     return card
 
 
@@ -89,7 +91,7 @@ def tier_rate_join(df: DataFrame, value: str, tiers: DataFrame, by: list[str] |
     iv = tier_intervals(tiers, by, **names)
     iv = iv.select(*[F.col(k).alias(f"_c_{k}") for k in by], F.col("lo").alias("_lo"),
                    F.col("hi").alias("_hi"), F.col("rate").alias(out))
-    iv = _small(iv, by, MAX_BROADCAST_ROWS if by else MAX_RANGE_INTERVALS)
+    iv = _small(iv, by or [], MAX_BROADCAST_ROWS if by else MAX_RANGE_INTERVALS)
     v = F.col(value)
     cond = [F.col(k) == F.col(f"_c_{k}") for k in by] + [
         v >= F.col("_lo"), F.col("_hi").isNull() | (v < F.col("_hi"))]
@@ -113,7 +115,7 @@ def category_rate_join(df: DataFrame, dim: Column, card: DataFrame, by: list[str
                 .alias("_oth"),
                 F.max((F.col(category) == OTHERS_BLOCKER).cast("int")).alias("_blocked")]
     base = df.withColumn("_rw_dim", F.upper(dim))
-    j = base.join(_small(hit, by), on=[F.col(k) == F.col(f"_h_{k}") for k in by]
+    j = base.join(_small(hit, [*by, "_cat"]), on=[F.col(k) == F.col(f"_h_{k}") for k in by]
                   + [F.col("_rw_dim") == F.col("_cat")], how="left")
     if by:
         fb = card.groupBy(*by).agg(*fallback).select(
@@ -148,7 +150,7 @@ def device_rate_join(df: DataFrame, dim: Column, card: DataFrame, by: list[str]
              .agg(F.min_by(F.col(rate).cast("double"), F.col(pos)).alias("_dev_rate")))
     dev = first.select(*[F.col(k).alias(f"_d_{k}") for k in by], "_dev", "_dev_rate")
     base = df.withColumn("_rw_dim", fold_device(dim))
-    j = base.join(_small(dev, by), on=[F.col(k) == F.col(f"_d_{k}") for k in by]
+    j = base.join(_small(dev, [*by, "_dev"]), on=[F.col(k) == F.col(f"_d_{k}") for k in by]
                   + [F.col("_rw_dim") == F.col("_dev")], how="left")
     others = first.where(F.col("_dev") == OTHER_DEVICE)
     if by:

@@ -73,8 +73,10 @@ def _combine(target: TargetSpec, parts: list[tuple[SourcePlan, DataFrame]],
         # shuffle for all sources, no tie-break).
         b.frame = aggregate_union([projected[id(p)] for p, _ in parts], target, b.keys)
         return b
-    b.frame = combine_sources([(p.source.priority * 1000 + i, df)
-                               for i, (p, df) in enumerate(parts)], b.keys, measures)
+    # Priority first, then position: ranks keep that order for any number of sources.
+    order = sorted(range(len(parts)), key=lambda i: (parts[i][0].source.priority, i))
+    b.frame = combine_sources([(order.index(i), df) for i, (_, df) in enumerate(parts)],
+                              b.keys, measures)
     return b
 
 

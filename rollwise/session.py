@@ -71,6 +71,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if base:
             base = base.rsplit("/", 1)[0] if "/" in base else base
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder: {master} is no local master")
         base = tempfile.mkdtemp(prefix="rollwise-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

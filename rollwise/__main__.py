@@ -56,9 +56,9 @@ def main(argv=None) -> int:
                            / F.col("batch_control_size")) + 1).otherwise(0)
         rows = due.select("target_table", "batch_schedule_type", "batch_loop_begin", "batch_loop_end",
                           n.cast("bigint").alias("chunks")).orderBy("target_table")
-        print(" | ".join(rows.columns))
+        print("|" + "|".join(rows.columns) + "|")
         for row in rows.toLocalIterator():  # every due target
-            print(" | ".join(map(str, row)))
+            print("|" + "|".join(map(str, row)) + "|")
         return 0
     if not a.target:
         ap.error("--target is required")

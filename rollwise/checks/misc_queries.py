@@ -203,9 +203,8 @@ def q_stream_summary(spark, sf_dir):
     src = fx.src_events(t.target_table)
     cat = catalog(spark, sf_dir)
     events = cat.table("events")
-    full = u_events(events)
     path, ckpt = fresh_path(spark, "stream_daily"), fresh_path(spark, "stream_ckpt")
-    q = run_stream(spark, f"{sf_dir}/events.parquet", events.schema, t, src, full, path, ckpt)
+    q = run_stream(spark, f"{sf_dir}/events.parquet", events.schema, t, src, None, path, ckpt)
     q.awaitTermination()
     return finish(spark.read.parquet(path).drop("control_day"))
 

@@ -3,11 +3,15 @@
 Targets are parquet tables partitioned by the day of their control column.
 A write replaces only the partitions present in the written DataFrame
 (dynamic partition overwrite), which is how a purge + upsert of a chunk range
-lands without touching the rest of the table.
+lands without touching the rest of the table; ``replace_days`` also removes
+the touched days that end up empty.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..specs import SourceSpec, TargetSpec
@@ -72,11 +76,53 @@ def write_target(df: DataFrame, path: str, control_column: str) -> None:
         .partitionBy(PARTITION_COLUMN).parquet(path))
 
 
-def read_target(spark, path: str, days: tuple | None = None) -> DataFrame:
-    """A target table, optionally only the partitions of ``[first, last]`` days
-    (partition pruning: other days are not listed or read)."""
-    df = spark.read.parquet(path)
-    if days:
-        df = df.where((F.col(PARTITION_COLUMN) >= F.lit(days[0]))
-                      & (F.col(PARTITION_COLUMN) <= F.lit(days[1])))
-    return df
+def days_between(first: dt.date, last: dt.date) -> list[dt.date]:
+    """Calendar days ``first .. last``: one per partition, so bounded by the
+    length of the range and not by its rows."""
+    return [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+
+
+def read_days(spark, path: str, schema: T.StructType, days: list) -> DataFrame:
+    """The stored rows of some days (None: rows without a day) in ``schema``.
+    Only those partitions are read.  A table that is not there yet, or that an
+    empty run left without files, has no rows."""
+    empty = spark.createDataFrame([], schema)
+    if not days:
+        return empty
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return empty
+        raise
+    day = F.col(PARTITION_COLUMN).cast("date")
+    hit = day.isin([d for d in days if d is not None])
+    return conform(df.where(hit | day.isNull() if None in days else hit), schema)
+
+
+def _day_files(spark, path: str, days: list) -> dict[str, set[str]]:
+    """Data files of each stored partition among ``days``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    wanted = {f"{PARTITION_COLUMN}={d.isoformat()}" for d in days if d is not None}
+    return {st.getPath().toString(): {f.getPath().getName() for f in fs.listStatus(st.getPath())
+                                      if f.getPath().getName().startswith("part-")}
+            for st in fs.listStatus(root) if st.getPath().getName() in wanted}
+
+
+def replace_days(new: DataFrame, path: str, control_column: str, days: list) -> None:
+    """Make ``new`` the whole content of ``days`` (M5).  Dynamic overwrite
+    replaces the days that have rows; a day that still holds a file from before
+    has none any more, and its partition is removed once the write succeeded.
+    A rerun after a crash in between removes it then."""
+    spark = new.sparkSession
+    before = _day_files(spark, path, days)
+    write_target(new, path, control_column)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder, names in _day_files(spark, path, days).items():
+        if names & before.get(folder, set()):
+            p = hadoop.Path(folder)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

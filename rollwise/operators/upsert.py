@@ -38,14 +38,6 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], measures: list[
     key_map = key_map or {}
     tcols = target.columns
     types = dict((f.name, f.dataType) for f in target.schema.fields)
-    if not keys:
-        # All dims masked (Q18): both sides are one global row at most, and an
-        # empty ON clause matches every row, so the batch row replaces the
-        # target's measures (or is inserted).
-        if batch.limit(1).count() == 0:
-            return target
-        return batch.select(*[(F.col(c).cast(types[c]) if c in batch.columns
-                               else F.lit(None).cast(types[c])).alias(c) for c in tcols])
 
     def key_expr(c, name: str):
         col = F.col(c)
@@ -61,7 +53,11 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], measures: list[
                      *[key_expr(key_map.get(k, k), k).alias(f"bk{i}")
                        for i, k in enumerate(keys)],
                      F.lit(True).alias("_in_b"))
-    cond = [F.col(f"tk{i}").eqNullSafe(F.col(f"bk{i}")) for i in range(len(keys))]
+    if not keys:
+        # All dims masked (Q18): the batch is one global row, and an empty ON
+        # clause matches every target row: all of them take its measures.
+        t, b = t.withColumn("tk0", F.lit(1)), b.withColumn("bk0", F.lit(1))
+    cond = [F.col(f"tk{i}").eqNullSafe(F.col(f"bk{i}")) for i in range(max(1, len(keys)))]
     j = t.join(b, on=cond, how="full_outer")
     in_t, in_b = F.col("_in_t").isNotNull(), F.col("_in_b").isNotNull()
     out = []

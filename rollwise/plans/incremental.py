@@ -10,14 +10,14 @@ touched partitions are replaced in one write.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timegrid import ts_lit
 from ..operators.aggregate import (SourcePlan, aggregate_frame, aggregate_union,
-                                   combine_sources, in_chunk, plan_source, projected_frame,
-                                   time_col)
+                                   combine_sources, in_chunk, in_range, plan_source,
+                                   projected_frame, require_control, time_col)
 from ..operators.upsert import purge, upsert
 from ..sources.catalog import Catalog, resolve_source
 from ..specs import SourceSpec, TargetSpec
@@ -115,28 +115,21 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     """Aggregate every chunk ``begin, begin + size, ... <= end`` in one job.
 
     Rows are assigned to chunks by the source column that becomes the target's
-    control column, so filter, key and later purge agree (fixes Q1).  When the
-    source also names its raw time column and a bound on the difference, a
-    raw-time range is added so the parquet scan skips files outside it."""
+    control column, so filter, key and later purge agree (fixes Q1).  A source
+    whose mask covers that column is refused."""
     target.validate()  # chunks are assigned by the control column, which must be kept
     n, end_excl = chunk_starts(begin, end, target.chunk_minutes)
     _check_additive_step(catalog.spark, target, begin)
     plans, parts, projected = [], [], {}
-    ctl_src = target.source_of(target.control_column)
     for s in select_sources(sources, target, mode):
         plan = plan_source(target, s)
         plans.append(plan)
         if not plan.accepted or n == 0:
             continue
-        df = resolve_source(catalog, s)
-        t = time_col(df, ctl_src)
-        pred = (t >= ts_lit(begin)) & (t < ts_lit(end_excl))
-        if s.control_column and s.control_slack_minutes is not None:
-            raw = time_col(df, s.control_column)
-            slack = dt.timedelta(minutes=s.control_slack_minutes)
-            pred = pred & (raw >= ts_lit(begin - slack)) & (raw < ts_lit(end_excl + slack))
-        parts.append((plan, aggregate_frame(df.where(pred), target, plan)))
-        projected[id(plan)] = projected_frame(df.where(pred), target, plan)
+        require_control(target, plan)
+        df = in_range(resolve_source(catalog, s), target, s, begin, end_excl)
+        parts.append((plan, aggregate_frame(df, target, plan)))
+        projected[id(plan)] = projected_frame(df, target, plan)
     batch = _combine(target, parts, plans, projected)
     batch.aligned = (begin, end_excl)
     return batch
@@ -246,17 +239,20 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
                on_progress=None) -> RunResult:
     """Run every due chunk of one target.
 
-    The touched days of the target are read, purged on the chunk range,
-    upserted with the recomputed batch and written back with dynamic
-    partition overwrite, so a rerun gives the same table.  ``lookback_days``
+    The touched days of the target are replaced by the recomputed batch and
+    the stored rows outside the chunk range (which only its first and last day
+    can hold); days without rows any more are removed, so a rerun gives the
+    same table.  ``lookback_days``
     redoes the last N days each run (sliding range).  ``max_chunks`` caps
     the chunks per job: a long backfill runs as consecutive slices, each
     written before the next, and ``on_progress(target)`` is called after each
     slice with ``batch_microchunk_current`` set to the slice's last chunk (the
     warehouse's progress update), so a failure redoes one slice only.  With
     ``script_only`` nothing is written and the new content is returned lazily
-    (dry run; one slice)."""
+    (dry run; one slice) and ``target`` stays as it is."""
     target.validate()
+    if script_only:
+        target = replace(target)
     if lookback_days is not None:
         today = now.replace(hour=0, minute=0, second=0, microsecond=0)
         target.batch_processed = today - dt.timedelta(days=lookback_days) \
@@ -294,33 +290,28 @@ def _replace_range(catalog: Catalog, target: TargetSpec, sources: list[SourceSpe
                    live: list[SourceSpec], begin: dt.datetime, end: dt.datetime, path: str,
                    script_only: bool) -> DataFrame:
     """One job: recompute chunks ``begin .. end`` and replace them in ``path``."""
-    from pyspark.errors import AnalysisException
-    from ..operators.tables import (conform, enforce_not_null, read_target, target_schema,
-                                    write_target)
+    from ..operators.tables import (days_between, enforce_not_null, read_days,
+                                    replace_days, target_schema)
     _, end_excl = chunk_starts(begin, end, target.chunk_minutes)
     batch = range_batch(catalog, target, sources, begin, end)
-    schema = target_schema(target, resolve_source(catalog, live[0])) if live else None
-    stored = True
-    try:
-        existing = read_target(catalog.spark, path,
-                               (begin.date(), (end_excl - dt.timedelta(microseconds=1)).date()))
-        existing = existing.drop("control_day")
-    except AnalysisException as e:  # first run: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        existing, stored = catalog.spark.createDataFrame([], schema), False
-    if stored:
-        new = replace_batch(conform(existing, schema), target, batch, begin, end_excl)
-    else:  # nothing stored yet: the batch is the new content, no join needed
-        new = conform(batch.frame, schema) if batch.frame is not None else existing
+    schema = target_schema(target, resolve_source(catalog, live[0]))
+    days = days_between(begin.date(), (end_excl - dt.timedelta(microseconds=1)).date())
+    midnight = dt.time()
+    edges = {begin.date()} if begin.time() != midnight else set()
+    if end_excl.time() != midnight:
+        edges.add(end_excl.date())
+    minutes = int((end_excl - begin) // dt.timedelta(minutes=1))
+    kept = purge(read_days(catalog.spark, path, schema, sorted(edges)), target.control_column,
+                 begin, minutes)
+    if edges and not script_only:
+        # These rows come from files about to be replaced: cut the lineage
+        # first, so a retried task never reads a half-replaced day.
+        kept = kept.checkpoint(eager=True)
+    new = kept if batch.frame is None else replace_batch(kept, target, batch, begin, end_excl)
     if target.not_null:  # the target's NOT NULL columns, checked in the write stage
         new = enforce_not_null(new, [c for c in target.not_null if c in new.columns])
     if not script_only:
-        if stored:
-            # The new days are built from the files about to be replaced: cut
-            # the lineage first, so a retried task never reads a half-replaced day.
-            new = new.checkpoint(eager=True)
-        write_target(new, path, target.control_column)
+        replace_days(new, path, target.control_column, days)
     return new
 
 

@@ -3,10 +3,10 @@
 The registry is two parquet tables (targets, sources) under a root folder in
 shared storage.  Every change writes a new snapshot folder (``v000001``,
 ``v000002``, ...) and readers take the newest one, so a change never
-overwrites files that a running job may still read.  A snapshot counts once
-its ``_SUCCESS`` marker exists, and a version folder is written with
-``errorifexists``: of two writers racing for the same version, one fails
-instead of silently overwriting the other (optimistic concurrency).  Registry
+overwrites files that a running job may still read.  A snapshot is written
+aside and renamed to the version after the one it was made from; the rename
+does not overwrite, so of two writers one wins and the other makes its change
+again on the winner's rows (optimistic concurrency).  Registry
 tables hold metadata (one row per target or source; a target has a handful
 of sources, each a branch of its job), so reading one target's rows onto the
 driver is bounded.
@@ -26,11 +26,14 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.tables import conform, read_target, target_schema, write_target
+from ..operators.aggregate import require_control
+from ..operators.tables import conform, enforce_not_null, read_days, replace_days, target_schema
 from ..operators.upsert import update_where, upsert, upsert_registry
 from ..sources.catalog import Catalog
 from ..specs import SOURCES_SCHEMA, TARGETS_SCHEMA, SourceSpec, target_from_row
@@ -70,17 +73,52 @@ class Registry:
                 return v
         return 0
 
-    def _read(self, kind: str, schema) -> DataFrame:
-        v = self._latest(kind)
+    def _at(self, kind: str, v: int, schema) -> DataFrame:
         if v == 0:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{kind}/v{v:06d}")
 
-    def _commit(self, kind: str, df: DataFrame, schema) -> None:
-        # Number past every folder, committed or not: a job lost halfway leaves
-        # a folder without a marker, which readers skip and writers never reuse.
-        v = max(self._versions(kind), default=0) + 1
-        conform(df, schema).write.mode("errorifexists").parquet(f"{self.root}/{kind}/v{v:06d}")
+    def _read(self, kind: str, schema) -> DataFrame:
+        return self._at(kind, self._latest(kind), schema)
+
+    def _change(self, kind: str, schema, change: Callable[[DataFrame], DataFrame | None]) -> bool:
+        """Commit ``change(rows)`` as the next snapshot after the one it read.
+        When another writer was first, the change is made again on that
+        writer's rows, so neither is lost.  None from ``change``: no commit."""
+        while True:
+            read = self._latest(kind)
+            df = change(self._at(kind, read, schema))
+            if df is None:
+                return False
+            staged = f"{self.root}/{kind}/_new-{uuid.uuid4().hex}"
+            conform(df, schema).write.parquet(staged)
+            if self._publish(kind, staged, read):
+                return True
+
+    def _publish(self, kind: str, staged: str, read: int) -> bool:
+        """Rename a complete snapshot to the version after ``read``; False if
+        that one exists.  The rename does not overwrite, so one of two writers
+        that read the same version wins.  A folder without its marker (a lost
+        writer's) is stepped over."""
+        jvm = self.spark.sparkContext._jvm
+        src, fs = self._fs(staged)
+        taken, v = set(self._versions(kind)), read + 1
+        while v in taken and not fs.exists(self._fs(f"{self.root}/{kind}/v{v:06d}/_SUCCESS")[0]):
+            v += 1
+        dst = self._fs(f"{self.root}/{kind}/v{v:06d}")[0]
+        keep = self.spark.sparkContext._gateway.new_array(
+            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            if v not in taken:
+                files.rename(fs.makeQualified(src), fs.makeQualified(dst), keep)
+                return True
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" not in str(e.java_exception):
+                raise
+        fs.delete(src, True)
+        return False
 
     def targets(self) -> DataFrame:
         return self._read("targets", TARGETS_SCHEMA)
@@ -95,13 +133,12 @@ class Registry:
         arrays (and an optional ``groupby_flags``) are parsed first."""
         if dict(incoming.dtypes).get("pattern_columns") == "string":
             incoming = R.parse_registry_text(incoming)
-        self._commit("targets", upsert_registry(self.targets(), incoming, ["target_table"]),
-                     TARGETS_SCHEMA)
+        self._change("targets", TARGETS_SCHEMA,
+                     lambda rows: upsert_registry(rows, incoming, ["target_table"]))
 
     def register_sources(self, incoming: DataFrame) -> None:
-        self._commit("sources", upsert_registry(self.sources(), incoming,
-                                                ["target_table", "source_table"]),
-                     SOURCES_SCHEMA)
+        self._change("sources", SOURCES_SCHEMA, lambda rows: upsert_registry(
+            rows, incoming, ["target_table", "source_table"]))
 
     def register_specs(self, targets=(), sources=()) -> None:
         """Register ``TargetSpec`` / ``SourceSpec`` objects (Python form of the
@@ -125,13 +162,13 @@ class Registry:
         pred = F.col("target_table") == F.lit(target_table)
         if source_tables is not None:
             pred = pred & F.col("source_table").isin(*source_tables)
-        self._commit("sources", R.set_enabled(self.sources(), value, pred), SOURCES_SCHEMA)
+        self._change("sources", SOURCES_SCHEMA, lambda rows: R.set_enabled(rows, value, pred))
 
     def refresh_availability(self, catalog: Catalog, name: str) -> None:
         """Availability refresh (I9): each source of ``name`` gets the newest
         control time of its data, floored to the target's chunk grid.  One
         job: the per-source maxima (partial aggregates) are unioned."""
-        from ..operators.aggregate import time_col
+        from ..operators.aggregate import raw_slack, time_col
         from ..sources.catalog import resolve_source
         target = self.target_spec(name)
         ctl = target.source_of(target.control_column)
@@ -145,7 +182,7 @@ class Registry:
                 # reaches the parquet scan and prunes everything older.
                 df = df.where(t >= F.lit(s.data_availabletime).cast("timestamp_ntz"))
                 if s.control_column and s.control_slack_minutes is not None:
-                    lo = s.data_availabletime - dt.timedelta(minutes=s.control_slack_minutes)
+                    lo = s.data_availabletime - dt.timedelta(minutes=raw_slack(df, target, s))
                     df = df.where(time_col(df, s.control_column)
                                   >= F.lit(lo).cast("timestamp_ntz"))
             m = df.agg(F.max(t).alias("latest_ts")).select(
@@ -154,13 +191,13 @@ class Registry:
         if latest is None:
             return
         latest = latest.where(F.col("latest_ts").isNotNull())
-        self._commit("sources", R.source_availability(self.sources(), latest, self.targets()),
-                     SOURCES_SCHEMA)
+        self._change("sources", SOURCES_SCHEMA,
+                     lambda rows: R.source_availability(rows, latest, self.targets()))
 
     def backfill(self, name: str, processed: dt.datetime) -> None:
         """Backfill reset (I11): processed set back, lock cleared; the next
         ``aggregate_due`` redoes everything after ``processed``."""
-        self._commit("targets", R.backfill(self.targets(), name, processed), TARGETS_SCHEMA)
+        self._change("targets", TARGETS_SCHEMA, lambda rows: R.backfill(rows, name, processed))
 
     def set_availability(self, name: str, value: dt.datetime,
                          source_tables: list[str] | None = None) -> None:
@@ -170,8 +207,8 @@ class Registry:
         pred = F.col("target_table") == F.lit(name)
         if source_tables is not None:
             pred = pred & F.col("source_table").isin(*source_tables)
-        self._commit("sources", update_where(self.sources(), pred, {
-            "data_availabletime": F.lit(value).cast("timestamp_ntz")}), SOURCES_SCHEMA)
+        self._change("sources", SOURCES_SCHEMA, lambda rows: update_where(rows, pred, {
+            "data_availabletime": F.lit(value).cast("timestamp_ntz")}))
 
     def stream(self, catalog: Catalog, name: str, inbox: str, path: str,
                max_files: int | None = None, available_now: bool = True):
@@ -186,8 +223,8 @@ class Registry:
             raise ValueError(f"streaming needs exactly one live source, {name!r} has {len(live)}")
         src = live[0]
         schema = catalog.table(src.source_table).schema
-        q = run_stream(self.spark, inbox, schema, target, src, resolve_source(catalog, src),
-                       path, f"{self.root}/streams/{name}", available_now=available_now,
+        q = run_stream(self.spark, inbox, schema, target, src,
+                       lambda: resolve_source(catalog, src), path, f"{self.root}/streams/{name}", available_now=available_now,
                        max_files=max_files)
         if available_now:
             q.awaitTermination()
@@ -206,7 +243,8 @@ class Registry:
         return [SourceSpec(target_table=r.target_table, source_table=r.source_table,
                            enabled=r.source_enabled, pattern_default=r.pattern_default or 0,
                            transformation=r.transformation, label=r.source_label, id=r.id,
-                           priority=int(r.id or 0), data_availabletime=r.data_availabletime,
+                           priority=int(r.id or 0) if r.priority is None else int(r.priority),
+                           data_availabletime=r.data_availabletime,
                            control_column=r.control_column,
                            control_slack_minutes=(None if r.control_slack_minutes is None
                                                   else int(r.control_slack_minutes)))
@@ -222,19 +260,19 @@ class Registry:
         batch = chunk_batch(catalog, target, self.source_specs(name), timetag, mode=mode)
         if batch.frame is None or script_only:
             return batch.frame
-        day = timetag.date()
-        last = (timetag + dt.timedelta(minutes=target.chunk_minutes)).date()
+        for plan, _ in batch.parts:
+            require_control(target, plan)
         schema = target_schema(target, _unified(catalog, self.source_specs(name)))
-        try:
-            old = read_target(self.spark, path, (day, last)).drop("control_day")
-            old = conform(old, schema).checkpoint(eager=True)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            old = self.spark.createDataFrame([], schema)
-        write_target(upsert(old, batch.frame, batch.keys, target.measures[0]), path,
-                     target.control_column)
-        return batch.frame
+        # The days come from the batch's own control values: a step expression
+        # or an alignment may put them outside the day of ``timetag``.
+        frame = batch.frame.checkpoint(eager=True)
+        days = [d for (d,) in frame.select(F.to_date(target.control_column)).distinct().collect()]
+        old = read_days(self.spark, path, schema, days).checkpoint(eager=True)
+        new = upsert(old, frame, batch.keys, target.measures[0])
+        if target.not_null:
+            new = enforce_not_null(new, [c for c in target.not_null if c in new.columns])
+        replace_days(new, path, target.control_column, [])  # an upsert empties no day
+        return frame
 
     def aggregate_due(self, catalog: Catalog, name: str, now: dt.datetime, path: str,
                       script_only: bool = False, max_chunks: int | None = None):
@@ -242,31 +280,36 @@ class Registry:
         last schedule = now) is committed first; processed advances after the
         write (a failed job leaves the lock, and the target is retried once
         the lock is stale)."""
-        targets = self.targets()
-        due = R.due_targets(targets.where(F.col("target_table") == name), now)
-        if due.limit(1).count() == 0:
+        def locked(rows: DataFrame) -> DataFrame | None:
+            due = R.due_targets(rows.where(F.col("target_table") == name), now)
+            return None if due.limit(1).count() == 0 else R.start_run(rows, due, now)
+
+        if locked(self.targets()) is None:
             return None
-        if not script_only:
-            self._commit("targets", R.start_run(targets, due, now), TARGETS_SCHEMA)
+        spec = self.target_spec(name)  # a spec that cannot run takes no lock
+        spec.validate()
+        if spec.batch_processed is None:
+            raise ValueError(f"target {name!r} has no batch_processed to start from")
+        if not script_only and not self._change("targets", TARGETS_SCHEMA, locked):
+            return None  # another scheduler took it meanwhile
         spec = self.target_spec(name)
         spec.batch_processing = None  # the lock is ours
         sources = self.source_specs(name)
         def progress(t):  # I7 progress: the last chunk written, committed per slice
-            self._commit("targets", update_where(
-                self.targets(), F.col("target_table") == F.lit(name),
+            self._change("targets", TARGETS_SCHEMA, lambda rows: update_where(
+                rows, F.col("target_table") == F.lit(name),
                 {"batch_microchunk_current": F.lit(t.batch_microchunk_current)
-                 .cast("timestamp_ntz")}), TARGETS_SCHEMA)
+                 .cast("timestamp_ntz")}))
 
         result = run_target(catalog, spec, sources, now, path, script_only=script_only,
                             max_chunks=max_chunks, on_progress=progress)
         if not script_only:
             if result.chunks == 0:
                 finish_run(spec, [s for s in sources if s.enabled is True], now)
-            done = update_where(self.targets(), F.col("target_table") == F.lit(name), {
+            self._change("targets", TARGETS_SCHEMA, lambda rows: update_where(rows, F.col("target_table") == F.lit(name), {
                 "batch_processed": F.lit(spec.batch_processed).cast("timestamp_ntz"),
                 "batch_processing": F.lit(None).cast("timestamp_ntz"),
-                "batch_microchunk_current": F.lit(None).cast("timestamp_ntz")})
-            self._commit("targets", done, TARGETS_SCHEMA)
+                "batch_microchunk_current": F.lit(None).cast("timestamp_ntz")}))
         return result
 
 

@@ -132,6 +132,12 @@ TARGETS_SCHEMA = T.StructType([
     T.StructField("aggregate_columns", T.ArrayType(T.StringType())),
     T.StructField("aggregate_functions", T.ArrayType(T.StringType())),
     T.StructField("default_procedure", T.StringType()),
+    # Optional, ours: the spec fields the engine adds.  NULL means the default;
+    # '' in row_pattern_column means no such column.
+    T.StructField("not_null", T.ArrayType(T.StringType())),
+    T.StructField("source_dim", T.StringType()),
+    T.StructField("blank_as_null", T.BooleanType()),
+    T.StructField("row_pattern_column", T.StringType()),
 ])
 
 SOURCES_SCHEMA = T.StructType([
@@ -149,6 +155,8 @@ SOURCES_SCHEMA = T.StructType([
     # on |raw - aligned| in minutes, so range runs can prune the scan.
     T.StructField("control_column", T.StringType()),
     T.StructField("control_slack_minutes", T.LongType()),
+    # Collision rule between sources (Q5); NULL means registration order.
+    T.StructField("priority", T.LongType()),
 ])
 
 
@@ -157,13 +165,17 @@ def target_row(t: TargetSpec) -> tuple:
             t.batch_processed, t.batch_processing, t.batch_microchunk_current,
             t.schedule_type, t.batch_schedule_last, list(t.pattern_columns),
             list(t.groupby_columns), t.groupby_pattern, t.groupby_flexible,
-            list(t.aggregate_columns), list(t.aggregate_functions), None)
+            list(t.aggregate_columns), list(t.aggregate_functions), None,
+            list(t.not_null), t.source_dim, t.blank_as_null, t.row_pattern_column or "")
 
 
 def source_row(s: SourceSpec) -> tuple:
-    text = s.transformation if isinstance(s.transformation, str) else None
+    if callable(s.transformation):
+        raise ValueError(f"source {s.source_table!r}: a registry stores a transformation as SQL "
+                         "text; a Python function would be lost")
     return (s.id, s.label, s.target_table, s.source_table, s.enabled, s.pattern_default,
-            None, s.data_availabletime, None, text, s.control_column, s.control_slack_minutes)
+            None, s.data_availabletime, None, s.transformation, s.control_column,
+            s.control_slack_minutes, s.priority)
 
 
 def target_from_row(r) -> TargetSpec:
@@ -182,7 +194,11 @@ def target_from_row(r) -> TargetSpec:
         id=d.get("id"), batch_processed=d.get("batch_processed"),
         batch_processing=d.get("batch_processing"),
         batch_microchunk_current=d.get("batch_microchunk_current"),
-        batch_schedule_last=d.get("batch_schedule_last"))
+        batch_schedule_last=d.get("batch_schedule_last"),
+        not_null=tuple(d.get("not_null") or ()), source_dim=d.get("source_dim"),
+        blank_as_null=d.get("blank_as_null") is not False,
+        row_pattern_column=("data_pattern" if d.get("row_pattern_column") is None
+                            else d["row_pattern_column"] or None))
 
 
 __all__ = ["TargetSpec", "SourceSpec", "TARGETS_SCHEMA", "SOURCES_SCHEMA", "split_mapping",

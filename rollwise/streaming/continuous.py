@@ -13,18 +13,15 @@ the sink is idempotent.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.timegrid import EPOCH, floor_minutes, ts_lit
-from ..operators.aggregate import aggregate_frame, plan_source, time_col
-from ..operators.tables import PARTITION_COLUMN, conform, target_schema, write_target
+from ..functions.timegrid import EPOCH, floor_minutes
+from ..operators.aggregate import aggregate_frame, in_range, plan_source, require_control, time_col
+from ..operators.tables import conform, enforce_not_null, read_days, replace_days, target_schema
 from ..specs import SourceSpec, TargetSpec
 
-# Touched-chunk lists up to this size are broadcast; larger ones (a backfill
-# landing in one micro-batch) are shuffled instead.
-MAX_BROADCAST_CHUNKS = 1_000_000
-
 
 def _chunk(df: DataFrame, target: TargetSpec) -> DataFrame:
     """Add ``_rw_chunk``: the chunk of each row, on the source column that
@@ -33,36 +30,35 @@ def _chunk(df: DataFrame, target: TargetSpec) -> DataFrame:
     return df.withColumn("_rw_chunk", floor_minutes(ctl, target.chunk_minutes, EPOCH))
 
 
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_CHUNKS else df
-
-
 def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
                    target: TargetSpec, source: SourceSpec, path: str) -> None:
     """Recompute the chunks a micro-batch touched and replace them in ``path``."""
+    plan = plan_source(target, source)
+    if not plan.accepted:
+        return  # granularity gate, as in the scheduled run
+    require_control(target, plan)
     touched = _chunk(_transform(micro, source), target).select("_rw_chunk").distinct()
-    touched = touched.checkpoint(eager=True)
+    touched = touched.where("_rw_chunk is not null").checkpoint(eager=True)
     span = touched.agg(F.min("_rw_chunk").alias("lo"), F.max("_rw_chunk").alias("hi")).first()
     if span["lo"] is None:
         return  # an empty micro-batch touches nothing
-    touched = _maybe_broadcast(touched)
-    plan = plan_source(target, source)
-    rows = _chunk(_within(full, target, source, span["lo"], span["hi"]), target) \
-        .join(touched, "_rw_chunk", "left_semi")
-    batch = aggregate_frame(rows, target, plan)
+    size = target.chunk_minutes
+    rows = _chunk(in_range(full, target, source, span["lo"], span["hi"] + dt.timedelta(minutes=size)),
+                  target).join(touched, "_rw_chunk", "left_semi")
     schema = target_schema(target, full)
-    days = touched.select(F.to_date("_rw_chunk").alias(PARTITION_COLUMN)).distinct()
-    try:
-        old = spark.read.parquet(path).join(F.broadcast(days), PARTITION_COLUMN, "left_semi")
-        old = _chunk(old.drop(PARTITION_COLUMN), _as_target_side(target))
-        keep = old.join(touched, "_rw_chunk", "left_anti").drop("_rw_chunk")
-        new = conform(keep, schema).unionByName(conform(batch, schema))
-    except Exception as e:  # first micro-batch: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        new = conform(batch, schema)
+    batch = conform(aggregate_frame(rows, target, plan), schema)
+    # Every day of every touched chunk, its last one included: one value per
+    # partition to be rewritten.
+    last = F.col("_rw_chunk") + F.make_dt_interval(mins=F.lit(size)) - F.make_dt_interval(secs=F.lit(1e-6))
+    days = [d for (d,) in touched.select(F.explode(F.sequence(
+        F.to_date("_rw_chunk"), F.to_date(last)))).distinct().collect()]
+    old = _chunk(read_days(spark, path, schema, days), _as_target_side(target))
+    keep = old.join(touched, "_rw_chunk", "left_anti").select(*schema.names)
+    new = keep.unionByName(batch)
+    if target.not_null:
+        new = enforce_not_null(new, [c for c in target.not_null if c in new.columns])
     # Cut the lineage to the files about to be replaced before overwriting.
-    write_target(new.checkpoint(eager=True), path, target.control_column)
+    replace_days(new.checkpoint(eager=True), path, target.control_column, days)
 
 
 def _transform(micro: DataFrame, source: SourceSpec) -> DataFrame:
@@ -78,23 +74,6 @@ def _transform(micro: DataFrame, source: SourceSpec) -> DataFrame:
     return micro.sparkSession.sql(t)
 
 
-def _within(full: DataFrame, target: TargetSpec, source: SourceSpec,
-            lo: dt.datetime, hi: dt.datetime) -> DataFrame:
-    """Restrict the full source to the touched chunks' time span, on a column
-    the scan can filter: the raw control column (widened by the source's
-    slack) when declared, else the aligned column itself.  The semi-join with
-    the touched chunks stays the exact test; this only lets parquet skip
-    files and row groups outside the span."""
-    end = hi + dt.timedelta(minutes=target.chunk_minutes)
-    aligned = time_col(full, target.source_of(target.control_column))
-    pred = (aligned >= ts_lit(lo)) & (aligned < ts_lit(end))
-    if source.control_column and source.control_slack_minutes is not None:
-        raw = time_col(full, source.control_column)
-        slack = dt.timedelta(minutes=source.control_slack_minutes)
-        pred = pred & (raw >= ts_lit(lo - slack)) & (raw < ts_lit(end + slack))
-    return full.where(pred)
-
-
 def _as_target_side(target: TargetSpec) -> TargetSpec:
     """The same spec, but reading the control column under its target name
     (rows already in the summary table)."""
@@ -110,20 +89,29 @@ def file_glob(path: str) -> str:
 
 
 def run_stream(spark: SparkSession, source_glob: str, schema, target: TargetSpec,
-               source: SourceSpec, full: DataFrame, path: str, checkpoint: str,
-               available_now: bool = True, max_files: int | None = None):
+               source: SourceSpec, full: DataFrame | Callable[[], DataFrame] | None, path: str,
+               checkpoint: str, available_now: bool = True, max_files: int | None = None):
     """Start the continuous load; with ``available_now`` it processes every
-    file present and stops (what a scheduler runs each hour).  The source's
-    transformation is applied to each micro-batch as well as to ``full``
-    (SQL text sees the micro-batch under the source table's name)."""
+    file present and stops (what a scheduler runs each hour).
+
+    ``full`` is the whole source.  None reads the inbox again in each
+    micro-batch (with the source's transformation), a function is called in each
+    micro-batch, so files that arrive later are seen.  A DataFrame keeps the
+    file list it was made with: give one only for a source that is complete.
+    The transformation is applied to each micro-batch (SQL text sees it under
+    the source table's name)."""
+    files = file_glob(source_glob) if source_glob.endswith(".parquet") else source_glob
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.parquet(file_glob(source_glob) if source_glob.endswith(".parquet")
-                            else source_glob)
-    w = (stream.writeStream
-         .foreachBatch(lambda micro, _epoch: refresh_chunks(spark, micro, full, target,
-                                                            source, path))
-         .option("checkpointLocation", checkpoint))
+
+    def refresh(micro: DataFrame, _epoch: int) -> None:
+        if full is None:
+            whole = _transform(micro.sparkSession.read.schema(schema).parquet(files), source)
+        else:
+            whole = full() if callable(full) else full
+        refresh_chunks(micro.sparkSession if full is None else spark, micro, whole, target, source, path)
+
+    w = reader.parquet(files).writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -128,6 +128,25 @@ def q_incremental_run(spark, sf_dir):
     return finish(spark.read.parquet(path).drop("control_day"))
 
 
+def q_rerun_after_source_delete(spark, sf_dir):
+    """The daily target built twice over the same chunks; before the second run
+    every row of one day left the source.  Returns the table, which must not
+    hold that day any more (M5)."""
+    from ..plans.incremental import run_target
+    from ..session import fresh_path
+    from ..sources.unified import u_events
+    cat, path = catalog(spark, sf_dir), fresh_path(spark, "rerun_daily")
+    for deleted in (False, True):
+        t = fx.target_2(name="rerun_daily")
+        t.batch_processed = dt.datetime(2024, 1, 4)
+        src = fx.src_events(t.target_table)
+        if deleted:
+            src.transformation = lambda df: u_events(df).where(
+                F.col("data_date") != F.lit(dt.date(2024, 1, 6)))
+        run_target(cat, t, [src], dt.datetime(2024, 1, 31, 9, 0), path)
+    return finish(spark.read.parquet(path).drop("control_day"))
+
+
 def q_demo_workflow(spark, sf_dir):
     """The demo flow on a persisted registry: register a daily target from JSON
     text, test a new source on 2024-01-03, park it, enable it, run every due
@@ -224,6 +243,7 @@ QUERIES = {
     "batch_all_chunks": q_batch_all_chunks,
     "sliding_reaggregate": q_sliding_reaggregate,
     "incremental_run": q_incremental_run,
+    "rerun_after_source_delete": q_rerun_after_source_delete,
     "demo_workflow": q_demo_workflow,
     "mixed_granularity": q_mixed_granularity,
     "multi_target_rollup": q_multi_target_rollup,

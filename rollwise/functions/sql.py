@@ -34,8 +34,12 @@ FUNCTIONS = {
     "data_pattern_json": (
         "p STRING", "BIGINT",
         "CASE WHEN schema_of_variant(try_parse_json(p)) LIKE 'ARRAY%' THEN "
-        "aggregate(try_variant_get(try_parse_json(p), '$', 'array<double>'), 0L, "
-        "(acc, x) -> acc * 2 + IF(coalesce(x, 0) = 0 OR isnan(x), 1, 0)) "
+        # Falsy by the element's own type: null, false, 0 and ''.
+        "aggregate(try_variant_get(try_parse_json(p), '$', 'array<variant>'), 0L, "
+        "(acc, x) -> acc * 2 + IF(CASE schema_of_variant(x) "
+        "WHEN 'STRING' THEN try_variant_get(x, '$', 'string') = '' "
+        "WHEN 'BOOLEAN' THEN NOT try_variant_get(x, '$', 'boolean') WHEN 'VOID' THEN true "
+        "ELSE coalesce(try_variant_get(x, '$', 'double') = 0, x IS NULL) END, 1, 0)) "
         "WHEN schema_of_variant(try_parse_json(p)) LIKE 'OBJECT%' THEN "
         "aggregate(try_variant_get(try_parse_json(p), '$.pattern_columns', 'array<string>'), 0L, "
         "(acc, c) -> acc * 2 + IF(array_contains(try_variant_get(try_parse_json(p), "

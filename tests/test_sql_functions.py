@@ -38,3 +38,9 @@ def test_rates_in_sql_match_column_forms(spark):
     got = df.select(device_share(F.col("t"), F.col("d")).alias("a"),
                     F.expr("revenue_share_device(t, d)").alias("b")).collect()
     assert all(r.a == r.b for r in got), got
+
+
+def test_json_pattern_judges_each_element_by_its_type(spark):
+    register_sql_functions(spark)
+    for text, want in (('["a",0,null,true]', 6), ('["",false,"0",[0]]', 12), ("[1,0.0,2]", 2)):
+        assert spark.sql(f"SELECT data_pattern_json('{text}')").first()[0] == want

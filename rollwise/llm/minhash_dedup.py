@@ -142,14 +142,28 @@ def _similar(a: DataFrame, percent: int) -> DataFrame:
         100 * F.col("common") >= percent * (F.size("am") + F.size("bm") - F.col("common"))).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among candidate pairs: first the collision count of the whole
-    signatures (the lists that were skipped), then the full sets."""
-    tokens = nodes.select("node", "tokens")
+def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, members) of ``wanted`` (node, doc_id), one row a node.  Documents
+    that share a bit of the map with one wanted give sets that no join asks for."""
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for (b,) in wanted.select(
+            F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(FILTER_BITS))).distinct().toLocalIterator():  # FILTER_BITS rows at most
+        bits[b >> 3] |= 1 << (b & 7)
+    return saved(texts.mapInArrow(_sets(width, bits.tobytes()), "node long, members array<long>")
+                 .dropDuplicates(["node"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among candidate pairs: first sizes and the collision count of the
+    whole signatures (the lists that were skipped), then the full sets."""
+    known = nodes.select("node", "n", "tokens")
     hits = F.size(F.filter(F.zip_with("at", "bt", lambda x, y: x == y), lambda z: z))
-    near = (pairs.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("at")), "a")
-            .join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("bt")), "b")
-            .where(hits >= MATCHES).select("a", "b"))
+    near = saved(pairs.join(known.select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("tokens").alias("at")), "a")
+                 .join(known.select(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("tokens").alias("bt")), "b")
+                 .where(100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")).where(hits >= MATCHES)
+                 .select("a", "b"), "near")
+    ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+    sets = _full_sets(texts, nodes.select("node", "doc_id").join(ends, "node", "left_semi"), width)
     return _similar(near.join(sets.select(F.col("node").alias("a"), F.col("members").alias("am")), "a")
                     .join(sets.select(F.col("node").alias("b"), F.col("members").alias("bm")), "b"), percent)
 
@@ -268,7 +282,7 @@ def _compare_block(percent: int):
     return run
 
 
-def _rest(lists: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest(lists: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """All cross-component pairs of the open lists, block against block: first
     by signatures, which leaves few nodes, then these by full sets."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
@@ -280,6 +294,7 @@ def _rest(lists: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) ->
     known = nodes.join(lists.select("node", "root").distinct(), "node").select("node", "root", "n", "tokens", "prefix")
     left = saved(dealt.join(known, "node").groupBy("token", "lo", "hi")
                  .applyInArrow(_candidates(percent), "token long, lo int, hi int, node long, side int"), "left")
+    sets = _full_sets(texts, nodes.select("node", "doc_id").join(left.select("node"), "node", "left_semi"), width)
     return (left.join(known, "node").join(sets, "node").groupBy("token", "lo", "hi")
             .applyInArrow(_compare_block(percent), "a long, b long"))
 
@@ -302,24 +317,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
              .withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1"))
     lists = saved(lists, "lists")
 
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for (b,) in involved.select(
-            F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(FILTER_BITS))).distinct().toLocalIterator():  # FILTER_BITS rows at most
-        bits[b >> 3] |= 1 << (b & 7)
-    # Other documents that share a bit give sets that no join below asks for.
-    sets = saved(texts.mapInArrow(_sets(width, bits.tobytes()), "node long, members array<long>").dropDuplicates(["node"]), "sets")
-
     roots = links = None
     for _ in range(2):
         tops = _leaders(lists, links)
         led = saved(lists.join(tops, "token"), "led")
         pairs = (led.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
                  .distinct())
-        found = saved(_confirmed(pairs, involved, sets, percent), "links")
+        found = saved(_confirmed(pairs, involved, texts, width, percent), "links")
         links = found if links is None else links.union(found).distinct()
         roots = _merge(roots, found)
         lists = saved(_open_lists(led.where("node <> leader").drop("leader"), roots), "lists")
-    roots = _merge(roots, saved(_rest(lists, involved, sets, percent), "links"))
+    roots = _merge(roots, saved(_rest(lists, involved, texts, width, percent), "links"))
 
     least = (roots.join(nodes.select("node", "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("component_id")))
     of_node = (nodes.select("node", F.col("doc_id").alias("own")).join(roots, "node", "left").join(least, "root", "left")

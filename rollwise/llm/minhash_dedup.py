@@ -40,7 +40,7 @@ from rollwise.llm.common import U64, mix64, saved, slices, stream, utf8, word_ha
 
 COORDS = 32
 MATCHES = 14
-BLOCK = 512
+BLOCK = 4096
 #: Bits of the map of documents whose sets are read again.
 FILTER_BITS = 1 << 23
 
@@ -145,10 +145,13 @@ def _similar(a: DataFrame, percent: int) -> DataFrame:
 def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(node, members) of ``wanted`` (node, doc_id), one row a node.  Documents
     that share a bit of the map with one wanted give sets that no join asks for."""
+    place = F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(FILTER_BITS)) + 1
+    maps = (wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+            .collect())  # FILTER_BITS / 32,768 rows of 4 kB at most
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for (b,) in wanted.select(
-            F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(FILTER_BITS))).distinct().toLocalIterator():  # FILTER_BITS rows at most
-        bits[b >> 3] |= 1 << (b & 7)
+    for bucket, part in maps:
+        bits[(bucket - 1) * len(part):bucket * len(part)] = np.frombuffer(part, np.uint8)
     return saved(texts.mapInArrow(_sets(width, bits.tobytes()), "node long, members array<long>")
                  .dropDuplicates(["node"]), "sets")
 
@@ -223,35 +226,40 @@ def _leaders(lists: DataFrame, links: DataFrame | None) -> DataFrame:
             .select("token", F.col("top.node").alias("leader")))
 
 
-def _block_pairs(key: tuple, rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[int, int]]]:
-    """Nodes and component labels of a block, and its cross-component pairs
-    with enough collisions; a pair belongs to the least token that its
-    prefixes share.  Labels may be merged while the pairs are read."""
+def _block_pairs(key: tuple, rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Iterator[tuple[int, int]]]:
+    """Nodes, component labels and done marks of a block, and its
+    cross-component pairs with enough collisions; a pair belongs to the least
+    token that its prefixes share.  While the pairs are read, labels may be
+    merged and nodes marked; pairs of two marked nodes are left out."""
     tokens = rows["tokens"].combine_chunks().flatten().to_numpy().reshape(-1, COORDS)
     prefix = [frozenset(p) for p in rows["prefix"].to_pylist()]
     size, node, side = (rows[c].to_numpy() for c in ("n", "node", "side"))
     label = pd.factorize(rows["root"].to_numpy())[0]
+    done = np.zeros(len(node), bool)
     token, same = key[0].as_py(), key[1].as_py() == key[2].as_py()
+    low = np.ascontiguousarray(tokens.T.astype(np.uint16))  # equal tokens have equal low bits
 
     def pairs() -> Iterator[tuple[int, int]]:
         for i in range(len(node)):
             other = (label[:i] != label[i]) & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i]))
             if not same:
                 other &= side[:i] != side[i]
-            near = np.flatnonzero(other)
+            near = np.flatnonzero(other & ((low[:, :i] == low[:, i:i + 1]).sum(0, dtype=np.uint8) >= MATCHES))
             for j in near[(tokens[near] == tokens[i]).sum(1) >= MATCHES].tolist():
-                if label[j] != label[i] and min(prefix[i] & prefix[j]) == token:
+                if label[j] != label[i] and not (done[i] and done[j]) and min(prefix[i] & prefix[j]) == token:
                     yield i, j
 
-    return node, label, pairs()
+    return node, label, done, pairs()
 
 
 def _candidates(percent: int):
     """The nodes of a block that have a pair to be compared."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        node, _, pairs = _block_pairs(key, rows, percent)
-        found = np.unique(np.array(list(pairs), dtype=np.int64).ravel())
+        node, _, done, pairs = _block_pairs(key, rows, percent)
+        for i, j in pairs:
+            done[[i, j]] = True
+        found = np.flatnonzero(done)
         return pa.table({c: pa.array([key[k].as_py()] * len(found), t) for k, (c, t) in enumerate(
             (("token", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())))}
             | {"node": rows["node"].take(pa.array(found)), "side": rows["side"].take(pa.array(found))})
@@ -263,18 +271,12 @@ def _compare_block(percent: int):
     """Links between the components of a block, by full sets."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        node, label, pairs = _block_pairs(key, rows, percent)
-        members: dict[int, set] = {}
+        node, label, _, pairs = _block_pairs(key, rows, percent)
         sets, out = rows["members"].combine_chunks(), []
-
-        def ids(i: int) -> set:
-            if i not in members:
-                members[i] = set(sets[i].values.to_numpy().tolist())
-            return members[i]
-
         for i, j in pairs:
-            common = len(ids(i) & ids(j))
-            if 100 * common >= percent * (len(ids(i)) + len(ids(j)) - common):
+            a, b = sets[i].values.to_numpy(), sets[j].values.to_numpy()
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * common >= percent * (len(a) + len(b) - common):
                 out.append((node[i], node[j]))
                 label[label == label[j]] = label[i]
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})

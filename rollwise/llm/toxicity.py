@@ -51,6 +51,44 @@ DISGUISED = re.compile(
     rf"|(?<!\w)[^\W\d_]([ .\-_*])[^\W\d_{_LEET}]\2[^\W\d_{_LEET}](?:\2[^\W\d_{_LEET}])+(?!\w)")
 
 
+_LETTER, _LEET_SIGN, _BETWEEN = 1, 2, 4
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """What ``DISGUISED`` takes each character for; the last place stands for
+    all beyond the basic plane."""
+    out = np.array([_LETTER * bool(re.fullmatch(r"[^\W\d_]", chr(c))) for c in range(1 << 16)] + [_LETTER], np.uint8)
+    for c in LEET:
+        out[ord(c)] |= _LEET_SIGN
+    for c in " .-_*":
+        out[ord(c)] |= _BETWEEN
+    return out
+
+
+def _places(texts: list[str]) -> list[list[int]]:
+    """Where in each text a match of ``DISGUISED`` can begin; a match begins
+    nowhere else."""
+    points = np.frombuffer("\n".join([*texts, "\n" * 4]).encode("utf-32-le", "replace"), np.uint32)
+    kind = _kinds()[np.minimum(points, 1 << 16)]
+    letter, leet = kind & _LETTER != 0, kind & _LEET_SIGN != 0
+    end = len(points) - 4
+    at = np.flatnonzero(leet[:end])
+    before = [at[at >= k] - k for k in (1, 2)]
+    runs = [before[0][letter[before[0]] & (letter | leet)[before[0] + 2]],  # a letter, signs, a letter
+            at[(letter | leet)[at + 1] & letter[at + 2]],  # signs that begin a word
+            before[1][letter[before[1]] & letter[before[1] + 1]]]  # a sign that ends it
+    at = np.flatnonzero(points[:end] == points[1:end + 1])
+    runs.append(at[letter[at] & (points[at] == points[at + 2])])
+    at = np.flatnonzero((points[:end] == points[2:end + 2]) & (kind[:end] & _BETWEEN != 0))
+    at = at[at >= 1] - 1
+    runs.append(at[letter[at] & letter[at + 2] & letter[at + 4]])
+    found = np.unique(np.concatenate(runs))
+    heads = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))])
+    cut = np.searchsorted(found, heads)
+    return [(found[cut[k]:cut[k + 1]] - heads[k]).tolist() for k in range(len(texts))]
+
+
 @lru_cache(maxsize=1)
 def _signs() -> np.ndarray:
     """Class of each character of the basic plane: 0 no letter, 1-26 a-z, 27-62
@@ -117,9 +155,19 @@ class Restorer:
 
     def restore(self, text: str) -> str:
         """The text with disguised words restored, in lower case."""
-        text = text.lower()
-        out, done = [], 0
-        for m in DISGUISED.finditer(text):
+        return self.restore_all([text])[0]
+
+    def restore_all(self, texts: list[str]) -> list[str]:
+        texts = [text.lower() for text in texts]
+        return [self._restored(text, places) if places else text for text, places in zip(texts, _places(texts))]
+
+    def _restored(self, text: str, places: list[int]) -> str:
+        out, done, after = [], 0, 0
+        for place in places:
+            m = DISGUISED.match(text, place) if place >= after else None
+            if not m:
+                continue
+            after = m.end()
             if m.start() < done:
                 continue
             lo, hi = m.start(), m.end()
@@ -181,7 +229,7 @@ def _restored(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[
         _, off = utf8(batch.column(0))
         for i, j in slices(off):
             part = batch.slice(i, j - i)
-            yield part, *_letters_of_texts([restorer.restore(t or "") for t in part.column(0).to_pylist()])
+            yield part, *_letters_of_texts(restorer.restore_all([t or "" for t in part.column(0).to_pylist()]))
 
 
 class Evidence:

@@ -75,6 +75,17 @@ def test_large_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == label
 
 
+def test_lists_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 8)
+    rows = []
+    for i in range(40):  # all share a passage, only the two of an i are near
+        words = [f"p{k}" for k in range(60)] + [f"w{i}_{k}" for k in range(30)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:-2], f"x{i}", words[-1]]))]
+    _, label = brute_components(rows, 2)
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == label == {i: i - i % 2 for i in range(80)}
+
+
 def test_bpe_equals_the_library(docs):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(vocabulary_path())
@@ -181,6 +192,15 @@ def test_toxicity_restores_and_scores(docs, spark, empty):
     assert toxicity.score(empty, labels).count() == 0
 
 
+def test_disguises_begin_where_the_places_say():
+    import random
+    draw = random.Random(5)
+    texts = ["", "a", "1", "a b c d", "$ab", "$1ab", "aaa", "ab1", "a1b", "a.b.c."]
+    texts += ["".join(draw.choice("ab1 .-_*$@€(3İ²é\n\t9!|oo😀ß") for _ in range(draw.randrange(60))).lower() for _ in range(3000)]
+    for text, places in zip(texts, toxicity._places(texts)):
+        assert {m.start() for m in toxicity.DISGUISED.finditer(text)} <= set(places)
+
+
 def test_mixing_meets_targets(spark, docs, empty):
     import numpy as np
     rng = np.random.default_rng(1)

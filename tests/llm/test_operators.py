@@ -215,6 +215,26 @@ def test_mixing_meets_targets(spark, docs, empty):
     assert mixing.sampled(docs).columns == docs.columns
 
 
+def kept_shares(out, name):
+    rows = out.groupBy(name).agg(F.sum(F.col("n_tokens") * F.col("probability")).alias("k"), F.sum("n_tokens").alias("n"),
+                                 F.sum(F.col("n_tokens") * F.col("weight")).alias("w")).where("n > 0").collect()
+    return {r[name]: (r.k / sum(x.k for x in rows), r.n / sum(x.n for x in rows), r.w / sum(x.w for x in rows)) for r in rows}
+
+
+def test_mixed_sample_has_the_raked_marginals(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "src0").otherwise(F.col("source")))  # a hot source
+    out = mixing.mix(docs).cache()
+    assert out.where("probability > 1 or probability <= 0").count() == 0
+    for name, power in (("source", 0.7), ("lang", 0.7), ("topic", 1.0)):
+        shares = kept_shares(out, name)
+        whole = sum(n ** power for _, n, _ in shares.values())
+        for value, (kept, given, weight) in shares.items():
+            assert abs(kept - given ** power / whole) < 1e-4 and abs(weight - given ** power / whole) < 1e-4, (name, value)
+    kept = out.agg(F.sum(F.col("n_tokens") * F.col("probability")) / F.sum("n_tokens")).first()[0]
+    ratio = out.where("n_tokens > 0").agg(F.max("weight")).first()[0]
+    assert min(mixing.KEEP, 1 / ratio) - 1e-9 <= kept <= mixing.KEEP + 1e-9
+
 def test_secrets_masked(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("key", F.lit(1))
     out = secrets.masked(docs)

@@ -1,11 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Token totals are gathered by (source, language, topic), source and language
-numbered by hash into ``SOURCES`` and ``LANGUAGES`` classes; the totals are raked until the marginals of all three meet their
+Token totals are gathered by (source, language, topic), each by its exact
+value; the totals are raked until the marginals of all three meet their
 targets; a document is kept with its cell's calibrated probability, drawn from
 the hash of its id and text.
 
-A target is a share for named values; for a marginal without
+A target is a share for named values (None names null); for a marginal without
 one it is the observed share to the power ``POWERS``, made to sum to 1.  Shares
 of values without tokens go to the others.  The probabilities are raked under
 the bound 1, so the tokens expected to be kept have the raked marginals; they
@@ -21,15 +21,12 @@ table gives no rows.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollwise.llm.common import saved
 
-SOURCES, LANGUAGES = 512, 64
 MAX_CELLS, MAX_CHARS = 100_000, 1 << 25
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 1.0}
 KEEP = 0.9
@@ -50,14 +47,15 @@ def topic(text: Column) -> Column:
             .when(share(r"\p{Lu}", size / 3), 3).when(share(r"[0-9]", size / 4), 4).otherwise(5))
 
 
-def _class(name: str, classes: int) -> Column:
-    return F.pmod(F.crc32(F.coalesce(F.col(name), F.lit("")).cast("binary")), F.lit(classes)).cast("string")
+def exact(name: str) -> Column:
+    """The value as a key to join by; null is apart from every text."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
 
 
 def placed(docs: DataFrame) -> DataFrame:
     """``docs`` with _s, _l, _t (cell), _n (tokens) and _u (0 to 1, drawn by hash)."""
     draw = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
-    return docs.withColumns({"_s": _class("source", SOURCES), "_l": _class("lang", LANGUAGES), "_t": topic(F.col("text")),
+    return docs.withColumns({"_s": exact("source"), "_l": exact("lang"), "_t": topic(F.col("text")),
                              "_n": tokens(F.col("text")).cast("long"), "_u": draw})
 
 
@@ -195,14 +193,14 @@ def probabilities(total: np.ndarray, fitted: np.ndarray, keep: float = KEEP) ->
     return np.where(total > 0, np.minimum(1, hi * ratio), 1.0)
 
 
-def goals_of(total: DataFrame, whole: float, weights: dict[str, dict[str, float]] | None) -> list[DataFrame]:
+def goals_of(total: DataFrame, whole: float, weights: dict[str, dict[str | None, float]] | None) -> list[DataFrame]:
     """Of each marginal the tokens (value, goal) it should have, ``whole`` in sum."""
     out = []
     for axis, (name, power) in zip(Spread.AXES, POWERS.items()):
         rows = total.groupBy(axis).agg(F.sum("n").alias("n"))
         goal = F.pow(F.col("n") / whole, F.lit(power))
         if weights and name in weights:
-            key = TOPICS.index if name == "topic" else lambda v: str(zlib.crc32(v.encode()) % (SOURCES if name == "source" else LANGUAGES))
+            key = TOPICS.index if name == "topic" else lambda v: "" if v is None else "=" + v
             data = [(key(v), float(w)) for v, w in weights[name].items()]
             given = total.sparkSession.createDataFrame(data, f"{axis} {'int' if name == 'topic' else 'string'}, w double")
             rows, goal = rows.join(given, axis, "left"), F.coalesce("w", F.lit(0.0))
@@ -212,7 +210,7 @@ def goals_of(total: DataFrame, whole: float, weights: dict[str, dict[str, float]
     return out
 
 
-def cells(rows: DataFrame, weights: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> tuple[DataFrame, bool]:
+def cells(rows: DataFrame, weights: dict[str, dict[str | None, float]] | None = None, keep: float = KEEP) -> tuple[DataFrame, bool]:
     """(_s, _l, _t, probability, weight) of each cell of ``placed`` rows that
     has tokens, and whether they are few enough to broadcast."""
     spark = rows.sparkSession
@@ -241,7 +239,7 @@ def _judged(rows: DataFrame, of_cell: DataFrame, few: bool) -> DataFrame:
         "probability", F.coalesce("probability", F.lit(1.0)))
 
 
-def mix(docs: DataFrame, weights: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, dict[str | None, float]] | None = None, keep: float = KEEP) -> DataFrame:
     """A row per document: its cell, tokens, weight, probability and verdict."""
     rows = saved(placed(docs.select("doc_id", "text", "source", "lang")).drop("text"), "mixing")
     names = F.array(*map(F.lit, TOPICS))
@@ -250,7 +248,7 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, float]] | None = None, kee
         F.coalesce("weight", F.lit(1.0)).alias("weight"), "probability", (F.col("_u") < F.col("probability")).alias("kept"))
 
 
-def sampled(docs: DataFrame, weights: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
+def sampled(docs: DataFrame, weights: dict[str, dict[str | None, float]] | None = None, keep: float = KEEP) -> DataFrame:
     """The documents kept, with their own columns."""
     rows = placed(docs)
     return _judged(rows, *cells(rows, weights, keep)).where(F.col("_u") < F.col("probability")).select(*docs.columns)

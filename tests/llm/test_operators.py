@@ -235,6 +235,18 @@ def test_mixed_sample_has_the_raked_marginals(spark):
     ratio = out.where("n_tokens > 0").agg(F.max("weight")).first()[0]
     assert min(mixing.KEEP, 1 / ratio) - 1e-9 <= kept <= mixing.KEEP + 1e-9
 
+def test_mixing_tells_every_value_apart(spark, monkeypatch):
+    names = [("en", 60), ("ro", 8), ("ja", 9), ("uk", 7), ("", 5), (None, 6)]  # en and ro, ja and uk: one crc32 class mod 64
+    rows = [(100 * k + i, "some words of a text here", lang, f"s{i % 2}") for k, (lang, n) in enumerate(names) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    weights = {"lang": {"en": .3, "ro": .1, "ja": .2, "uk": .1, "": .1, None: .2}}
+    out = mixing.mix(docs, weights).cache()
+    assert all(abs(kept - weights["lang"][v]) < 1e-4 for v, (kept, _, _) in kept_shares(out, "lang").items())
+    monkeypatch.setattr(mixing, "MAX_CELLS", 0)  # the rounds on Spark
+    again = mixing.mix(docs, weights).select("doc_id", F.col("probability").alias("p"), F.col("weight").alias("w"))
+    assert out.join(again, "doc_id").where("abs(p - probability) < 1e-6 and abs(w - weight) < 1e-6").count() == len(rows)
+
+
 def test_secrets_masked(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("key", F.lit(1))
     out = secrets.masked(docs)

@@ -1,7 +1,7 @@
 """Secret scans with a random forest that removes false positives.
 
-*Candidates* are runs of ``LEAST`` or more token characters within a word of
-a text.  *Features*: length, changes of character class, shares of digits and
+*Candidates* are all runs of ``LEAST`` or more token characters within a word
+of a text.  *Features*: length, changes of character class, shares of digits and
 capitals, distinct characters, letter trigrams found in the dictionary (those
 common in the corpus's own long alphabetic words), words of the path (the
 source) and the words before and after.
@@ -28,6 +28,7 @@ from rollwise.llm.common import bind, saved, words_col
 
 LEAST = 16
 TRAIN_ROWS = 20_000
+NEAR = 64
 TREES, DEPTH, SEED = 30, 6, 7
 CUT = 0.5
 DICTIONARY_SHARE = 0.0002
@@ -42,17 +43,27 @@ FEATURES = ("length", "changes", "digits", "capitals", "distinct", "coverage", "
 
 def findings(docs: DataFrame) -> DataFrame:
     """Candidates: key (hash of the text), doc_id, source, position (word
-    number), token, word, before, before2, after."""
+    number), run (number in the word), token, word (the token and what stands
+    close to it in its word), before, before2, after (words, their near ends)."""
 
     def each(words: Column) -> Column:
         held = F.transform(words, lambda w, i: F.when((F.length(w) >= LEAST) & w.rlike(TOKEN), i))
-        near = lambda i: F.when(i >= 0, F.get(words, F.greatest(i, F.lit(0))))
+        near = lambda i: F.right(F.when(i >= 0, F.get(words, F.greatest(i, F.lit(0)))), F.lit(NEAR))
         return F.transform(F.filter(held, lambda i: i.isNotNull()), lambda i: F.struct(
-            i.alias("position"), F.get(words, i).alias("word"), near(i - 1).alias("before"), near(i - 2).alias("before2"),
-            F.get(words, i + 1).alias("after")))
+            i.alias("position"), F.get(words, i).alias("held"), near(i - 1).alias("before"), near(i - 2).alias("before2"),
+            F.left(F.get(words, i + 1), F.lit(NEAR)).alias("after")))
+
+    def runs(tokens: Column) -> Column:
+        between = F.split("held", TOKEN, -1)
+        return bind(between, lambda gaps: F.transform(tokens, lambda token, k: F.struct(
+            k.alias("run"), token.alias("token"), F.concat(
+                F.right(F.concat(F.when(k > 0, F.get(tokens, F.greatest(k - 1, F.lit(0)))).otherwise(""), F.get(gaps, k)), F.lit(NEAR)),
+                token, F.left(F.get(gaps, k + 1), F.lit(NEAR))).alias("word"))))
 
     rows = docs.select(F.xxhash64("text").alias("key"), "doc_id", "source", F.explode(bind(words_col(F.col("text")), each)).alias("f"))
-    return rows.select("key", "doc_id", "source", "f.*").withColumn("token", F.regexp_extract("word", TOKEN, 0))
+    rows = rows.select("key", "doc_id", "source", "f.*")
+    rows = rows.withColumn("r", F.explode(bind(F.regexp_extract_all("held", F.lit(TOKEN), F.lit(0)), runs)))
+    return rows.select("key", "doc_id", "source", "position", "r.*", "before", "before2", "after")
 
 
 def _trigrams(token: Column) -> Column:
@@ -106,7 +117,7 @@ def rule_label() -> Column:
 def forest(rows: DataFrame):
     """A forest fitted on labelled featured findings, or None."""
     # Per label the smallest by hash: a top-k of each task, no label's rows in one task.
-    kind = lambda label: (rows.where(F.col("label") == label).orderBy(F.xxhash64("key", "position"), "key", "position", "doc_id")
+    kind = lambda label: (rows.where(F.col("label") == label).orderBy(F.xxhash64("key", "position", "run"), "key", "position", "run", "doc_id")
                           .limit(TRAIN_ROWS // 2))
     sample = saved(kind(1.0).unionByName(kind(0.0)), "findings")
     kinds = {r["label"] for r in sample.select("label").distinct().collect()}
@@ -119,13 +130,14 @@ def forest(rows: DataFrame):
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """A row per candidate: key, doc_id, position, length, token_sha256, score, is_secret, token."""
+    """A row per candidate: key, doc_id, position, run, length, token_sha256, score, is_secret, token."""
     found = saved(findings(docs.select("doc_id", "text", "source")), "candidates")
     rows = featured(found, dictionary(found))
     if labelled is None:
         rows = rows.withColumn("label", rule_label())
     else:
-        rows = rows.join(labelled.select("key", "position", F.col("is_secret").cast("double").alias("label")), ["key", "position"], "left")
+        rows = rows.join(labelled.select("key", "position", "run", F.col("is_secret").cast("double").alias("label")),
+                         ["key", "position", "run"], "left")
     rows = saved(rows, "features")
     model = forest(rows)
     if model is None:
@@ -133,7 +145,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     else:
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         scored = model.transform(vectors.transform(rows)).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("key", "doc_id", "position", F.col("length").cast("long").alias("length"),
+    return scored.select("key", "doc_id", "position", "run", F.col("length").cast("long").alias("length"),
                          F.sha2(F.col("token").cast("binary"), 256).alias("token_sha256"), F.round("score", 6).alias("score"),
                          (F.col("score") >= CUT).alias("is_secret"), "token")
 

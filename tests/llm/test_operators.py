@@ -257,6 +257,23 @@ def test_secrets_masked(spark, empty):
     assert secrets.scan(empty).count() == 0
 
 
+KEYS = ["9f3b6c1de84a7052bb61", "Zk81qWv0Lx7Tn2Rb5Jy4", "a7d0c94be16f83250d9e"]
+
+
+def test_every_run_of_a_word_is_a_candidate(spark):
+    texts = ['{"request_id":"0123456789abcdef0123","secret":"%s"}' % KEYS[0],
+             "https://long.host.example.com/path?token=" + KEYS[1], "x," * 30 + "aaaaaaaaaaaaaaaaaaaa,api_key:" + KEYS[2]]
+    plain = [f'token = "{i:020x}" and internationalization words' for i in range(1 << 70, (1 << 70) + 40)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts + plain)], "doc_id long, text string, source string")
+    found = secrets.findings(docs).where("doc_id < 3").collect()
+    assert {(r.doc_id, r.run) for r in found} == {(0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (2, 1)}
+    assert {(r.doc_id, r.token) for r in found if r.run == 1} == {(0, KEYS[0]), (1, "token=" + KEYS[1]), (2, KEYS[2])}
+    out = {r.doc_id: r.text for r in secrets.masked(docs).collect()}
+    assert all(key not in out[i] for i, key in enumerate(KEYS)) and len(out) == len(texts + plain)
+    known = secrets.scan(docs).select("key", "position", "run", "is_secret")
+    assert secrets.scan(docs, known).count() == known.count()
+
+
 def test_entry_registers_the_pipeline():
     sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
     import __spark_entry__ as entry

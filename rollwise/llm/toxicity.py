@@ -2,11 +2,11 @@
 
 *Language model*: character trigrams counted over all texts, each task adding
 up one table of ``SIGNS``^3 counts.
-*Channel*: words that could be disguised (a digit or sign among letters, a
-letter three times or more, letters spelled apart) become a lattice of
-letters, kept, substituted, doubled or dropped signs; Viterbi finds the
-likeliest letters under channel and language model.  Any other word has one
-path through its lattice, itself, and is left alone.
+*Channel*: words that could be disguised (a digit or sign that may stand for a
+letter beside letters, a doubled letter, letters and such signs spelled apart)
+become a lattice of letters, kept, substituted, doubled or dropped signs;
+Viterbi finds the likeliest letters under channel and language model.  Any
+other word has one path through its lattice, itself, and is left alone.
 *Score*: words of the restored text and their beginnings are features.  Those
 in at least ``LEAST_SHARE`` of the toxic training texts (so at most the
 features of a text / ``LEAST_SHARE`` of them) get a log-likelihood ratio; a
@@ -45,10 +45,12 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 #: Log probabilities of the channel.
 SUBSTITUTE, DROP, REPEAT, HALVE = -1.0, -9.0, -1.5, -5.0
 _LEET = re.escape("".join(LEET))
+_ITEM = rf"(?:[^\W\d_]|[{_LEET}])"
+#: Disguises that reach to the white space around them.
 DISGUISED = re.compile(
     rf"[^\W\d_][{_LEET}]{{1,3}}[^\W\d_]|(?<![\w{_LEET}])[{_LEET}]{{1,2}}[^\W\d_]{{2}}|[^\W\d_]{{2}}[0134579](?!\w)"
     r"|([^\W\d_])\1\1"
-    rf"|(?<!\w)[^\W\d_]([ .\-_*])[^\W\d_{_LEET}]\2[^\W\d_{_LEET}](?:\2[^\W\d_{_LEET}])+(?!\w)")
+    rf"|(?<!\w){_ITEM}([ .\-_*]){_ITEM}\2{_ITEM}(?:\2{_ITEM})+(?!\w)")
 
 
 _LETTER, _LEET_SIGN, _BETWEEN = 1, 2, 4
@@ -82,13 +84,33 @@ def _places(texts: list[str]) -> list[list[int]]:
     runs.append(at[letter[at] & (points[at] == points[at + 2])])
     at = np.flatnonzero((points[:end] == points[2:end + 2]) & (kind[:end] & _BETWEEN != 0))
     at = at[at >= 1] - 1
-    runs.append(at[letter[at] & letter[at + 2] & letter[at + 4]])
+    item = letter | leet
+    runs.append(at[item[at] & item[at + 2] & item[at + 4]])
     found = np.unique(np.concatenate(runs))
     heads = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))])
     cut = np.searchsorted(found, heads)
     return [(found[cut[k]:cut[k + 1]] - heads[k]).tolist() for k in range(len(texts))]
 
 
+def _branching(texts: list[str]) -> list[list[tuple[int, int]]]:
+    """The words of each text, runs of letters and signs that may stand for
+    letters, with more than one path: such a sign or a doubled letter."""
+    points = np.frombuffer("\n".join([*texts, "\n"]).encode("utf-32-le", "replace"), np.uint32)
+    kind = _kinds()[np.minimum(points, 1 << 16)]
+    letter, leet = kind & _LETTER != 0, kind & _LEET_SIGN != 0
+    edge = np.diff(np.concatenate([[0], (letter | leet).astype(np.int8), [0]]))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    many = leet.copy()
+    many[:-1] |= letter[:-1] & (points[:-1] == points[1:])
+    within = lambda flags: (lambda n: n[end] > n[begin])(np.concatenate([[0], np.cumsum(flags)]))
+    use = within(letter) & within(many)
+    begin, end = begin[use], end[use]
+    heads = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))])
+    cut = np.searchsorted(begin, heads)
+    return [list(zip((begin[cut[k]:cut[k + 1]] - heads[k]).tolist(), (end[cut[k]:cut[k + 1]] - heads[k]).tolist()))
+            for k in range(len(texts))]
+
+
 @lru_cache(maxsize=1)
 def _signs() -> np.ndarray:
     """Class of each character of the basic plane: 0 no letter, 1-26 a-z, 27-62
@@ -134,10 +156,13 @@ class Restorer:
         states = {(0, 0): (0.0, "")}
         for m in re.finditer(r"(.)\1*", word, re.S):
             c, n = m[1], len(m[0])
+            punctuation = c == "!" and m.end() == len(word) or c == "(" and m.start() == 0
             if c.isalpha():
                 options = [(c, 0.0 if n == 1 else HALVE if n == 2 else REPEAT), *([(c * 2, 0.0 if n == 2 else REPEAT)] if n > 1 else [])]
             elif c in LEET:
-                options = [("", DROP), *((x * k, SUBSTITUTE * k + REPEAT * (n - k)) for x in LEET[c] for k in (1, 2) if k <= n)]
+                fewer = HALVE if n == 2 else REPEAT
+                options = [("", 0.0 if punctuation else DROP),
+                           *((x * k, SUBSTITUTE * k + fewer * (n - k)) for x in LEET[c] for k in (1, 2) if k <= n)]
             else:
                 options = [("", 0.0)]
             after: dict = {}
@@ -159,14 +184,17 @@ class Restorer:
 
     def restore_all(self, texts: list[str]) -> list[str]:
         texts = [text.lower() for text in texts]
-        return [self._restored(text, places) if places else text for text, places in zip(texts, _places(texts))]
+        return [self._restored(text, places, words) if places or words else text
+                for text, places, words in zip(texts, _places(texts), _branching(texts))]
 
-    def _restored(self, text: str, places: list[int]) -> str:
-        out, done, after = [], 0, 0
+    def _restored(self, text: str, places: list[int], words: list[tuple[int, int]]) -> str:
+        wide, done, after = [], 0, 0
         for place in places:
             m = DISGUISED.match(text, place) if place >= after else None
             if not m:
                 continue
+            if m[2] and not any(map(str.isalpha, m[0])):  # figures spelled apart
+                continue
             after = m.end()
             if m.start() < done:
                 continue
@@ -175,7 +203,20 @@ class Restorer:
                 lo -= 1
             while hi < len(text) and not text[hi].isspace():
                 hi += 1
-            out += [text[done:lo], self.decode("".join(text[lo:hi].split()))]
+            wide.append((lo, hi))
+            done = hi
+        out, done, k = [], 0, 0
+        decode = self.decode
+        for lo, hi in words:
+            while k < len(wide) and wide[k][0] < hi:
+                out += [text[done:wide[k][0]], decode("".join(text[wide[k][0]:wide[k][1]].split()))]
+                done = wide[k][1]
+                k += 1
+            if lo >= done:
+                out += [text[done:lo], decode(text[lo:hi])]
+                done = hi
+        for lo, hi in wide[k:]:
+            out += [text[done:lo], decode("".join(text[lo:hi].split()))]
             done = hi
         return "".join([*out, text[done:]]) if out else text
 

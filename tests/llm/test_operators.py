@@ -192,6 +192,16 @@ def test_toxicity_restores_and_scores(docs, spark, empty):
     assert toxicity.score(empty, labels).count() == 0
 
 
+def test_every_word_with_two_paths_is_restored(spark):
+    sample = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    slurs = spark.createDataFrame([("what an ass you fuck and shit of an ass",)] * 2000, "text string")
+    restorer = toxicity.Restorer(toxicity.language_model(sample.union(slurs)))
+    for disguised, plain in (("a$$", "ass"), ("a55", "ass"), ("fuuck", "fuck"), ("s h 1 t", "shit"), ("you a$$, go", "you ass, go")):
+        assert restorer.restore(disguised) == plain
+    for text in ("1 0 3 4 5", "shit!", "an ass, and you"):
+        assert restorer.restore(text).rstrip("!") == text.rstrip("!")
+
+
 def test_disguises_begin_where_the_places_say():
     import random
     draw = random.Random(5)

@@ -6,7 +6,7 @@ text length, punctuation and link text of its blocks are added up; the ratios
 of text and of punctuation to blocks are smoothed along the page, fused, and
 paths of at least ``THRESHOLD`` of the best are content.  A block is part of
 the main text when its path is content, or when it stands in the same article
-(or, without one, in the same parent element) as content: headings and short
+(or, outside of any, in the same parent element) as content: headings and short
 items among paragraphs.  Parts that are furniture by their tag, role or class
 names (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) are no candidates.
@@ -178,11 +178,8 @@ def main_text(page: str | None) -> str:
     best = max(score.values())
     content = {p for p, x in score.items() if x >= THRESHOLD * best and x > 0}
     top = {c for p, _, _, c, _ in found if p in content and c}
-    if top:
-        chosen = [t for p, t, _, c, _ in found if c in top]
-    else:
-        homes = {h for p, _, _, _, h in found if p in content}
-        chosen = [t for p, t, links, _, h in found if p in content or h in homes and links < len(t) / 2]
+    homes = {h for p, _, _, c, h in found if p in content and not c}
+    chosen = [t for p, t, links, c, h in found if p in content or c in top or not c and h in homes and links < len(t) / 2]
     return "\n".join(chosen)
 
 

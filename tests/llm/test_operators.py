@@ -130,6 +130,12 @@ def test_main_text():
     assert main_text.main_text(None) == main_text.main_text("") == main_text.main_text("<p") == ""
 
 
+def test_content_outside_of_articles_stays():
+    text = "A long text, of many words; it goes on, and on, with signs. " * 8
+    page = f"<div class=post><h2>Head</h2><p>{text}</p></div><article class=card><p>One sentence of a card, and more.</p></article>"
+    assert main_text.main_text(page).split("\n")[:2] == ["Head", text.strip()]
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"<p>page {i % 40} {'text ' * (i % 40)}</p>") for i in range(120)]
     rows += [(200, None, None), (201, "http://a b\n", ""), (None, None, "alone")]

@@ -7,9 +7,11 @@ of text and of punctuation to blocks are smoothed along the page, fused, and
 paths of at least ``THRESHOLD`` of the best are content.  A block is part of
 the main text when its path is content, or when it stands in the same article
 (or, outside of any, in the same parent element) as content: headings and short
-items among paragraphs.  Parts that are furniture by their tag, role or class
-names (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) are no candidates.
+items among paragraphs.  Parts that are furniture by their tag or role
+(menus, headers, footers, sidebars, forms, scripts, styles) are no candidates.
+A class or id made of words that furniture is named by (notices, adverts, reader
+comments) lowers its paths' scores, less inside an article; names of headings,
+paragraphs and articles' ids don't.
 
 Null and empty pages, and pages without text, give an empty string.  A page
 that ends inside a tag loses that tag only.  No block is cut short.
@@ -30,11 +32,14 @@ SMOOTHING = (0.25, 0.5, 0.25)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 #: Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe noembed noframes xmp title textarea".split())
+RAW = frozenset("script style noscript template iframe noembed noframes xmp title textarea annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr img picture br".split())
+                   "small span strike strong sub sup time tt u var wbr img picture br "
+                   # formulas
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup "
+                   "msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics".split())
 FURNITURE = frozenset("head nav header footer aside form menu button select option datalist dialog object applet svg canvas "
-                      "audio video map math fieldset".split())
+                      "audio video map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist "
                   "status tooltip".split())
 HINTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promotions "
@@ -45,11 +50,19 @@ HINTS = frozenset("ad ads adv advert adverts advertisement advertising adsense s
                   "pagination pager skip copyright disclaimer legal alert toast paywall outbrain taboola".split())
 CONTAINERS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: What a hinted path's score counts, outside and inside of an article.
+HINTED_OUTSIDE, HINTED_INSIDE = 0.02, 0.25
+#: Elements whose id names a part of the article, and those whose class does, too.
+OWN_ID = frozenset(("section", "p"))
+UNHINTED = HEADINGS | {"html", "body", "p"}
 #: An opening tag ends these, if they are open above the limits.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "tbody": ("tr", "td", "th", "thead", "tbody"), "option": ("option",)}
 LIMITS = frozenset("ul ol dl table article main section div body html td th blockquote".split())
 
+#: Marks of hinted elements in a path.
+OUTSIDE, INSIDE = "\0", "\1"
+
 PIECE = re.compile(r"""<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>"""
                    r"""|<[a-zA-Z/!?][^>]*(?:>|\Z)|([^<]+|<)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -63,17 +76,29 @@ class _Element:
         self.tag, self.path, self.dropped, self.container, self.headings = tag, path, dropped, container, headings
 
 
-def _furniture(tag: str, raw: str) -> tuple[bool, str]:
-    """Whether an element is no part of an article, and its class for the path."""
+def _hinted(tag: str, classes: str, name: str) -> bool:
+    """Whether a whole class or id consists of words that furniture is named by."""
+    if tag in UNHINTED:
+        return False
+    if tag in CONTAINERS:  # an article may be a reader's comment or a card
+        return any(c.lower() in ("comment", "comments", "reply", "related", "teaser") for c in classes.split())
+    for c in (classes if tag in OWN_ID else f"{classes} {name}").split():
+        words = WORDS.findall(c)
+        if words and all(w.lower() in HINTS for w in words):
+            return True
+    return False
+
+
+def _furniture(tag: str, raw: str) -> tuple[bool, bool, str]:
+    """Whether an element is no part of an article, whether its names hint at
+    that, and its class for the path."""
     if not raw or raw.isspace():
-        return tag in FURNITURE, ""
+        return tag in FURNITURE, False, ""
     attrs = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    hinted = tag not in ("html", "body", "article", "main") and any(w.lower() in HINTS for w in WORDS.findall(names))
-    if tag == "article" and any(w.lower() in ("comment", "comments", "reply", "related", "teaser") for w in WORDS.findall(names)):
-        hinted = True
+    classes = attrs.get("class", "")
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
-    return tag in FURNITURE or hinted or hidden or attrs.get("role", "").lower() in ROLES, ".".join(attrs.get("class", "").split())
+    return (tag in FURNITURE or hidden or attrs.get("role", "").lower() in ROLES, _hinted(tag, classes, attrs.get("id", "")),
+            ".".join(classes.split()))
 
 
 def blocks(page: str) -> list[tuple[str, str, int, int, int]]:
@@ -138,12 +163,14 @@ def blocks(page: str) -> list[tuple[str, str, int, int, int]]:
             if stack[k].tag in LIMITS:
                 break
         up = stack[-1]
-        dropped, name = _furniture(tag, m[3])
+        dropped, hinted, name = _furniture(tag, m[3])
+        if hinted:
+            name = f"{OUTSIDE if not up.container else INSIDE}{name}"
         number += 1
         # The heading of an article may stand in a header of its own.
         spared = tag in HEADINGS and up.headings
         me = _Element(tag, f"{up.path}/{tag}{'.' + name if name else ''}", (up.dropped and not spared) or dropped,
-                      number if tag in CONTAINERS and not dropped and not (up.container and tag == "main") else up.container,
+                      number if tag in CONTAINERS and not dropped and not hinted and not (up.container and tag == "main") else up.container,
                       up.headings if up.dropped else dropped and tag == "header" and up.container > 0)
         parents[id(me)] = number
         stack.append(me)
@@ -167,7 +194,9 @@ def path_scores(page: list[tuple[str, str, int, int, int]]) -> dict[str, float]:
     out: dict = defaultdict(float)
     for (path, *_), x in zip(page, smooth):
         out[path] += x / total[path][0]
-    return {p: x if ratio[p] else 0.0 for p, x in out.items()}
+    # A hinted path takes nothing from the blocks around it.
+    factor = {p: HINTED_OUTSIDE if OUTSIDE in p else HINTED_INSIDE if INSIDE in p else 0.0 for p in out}
+    return {p: (min(x, ratio[p]) * factor[p] if factor[p] else x) if ratio[p] else 0.0 for p, x in out.items()}
 
 
 def main_text(page: str | None) -> str:
@@ -177,9 +206,14 @@ def main_text(page: str | None) -> str:
     score = path_scores(found)
     best = max(score.values())
     content = {p for p, x in score.items() if x >= THRESHOLD * best and x > 0}
-    top = {c for p, _, _, c, _ in found if p in content and c}
+    plain = {p for p in content if OUTSIDE not in p and INSIDE not in p}
+    top = {c for p, _, _, c, _ in found if p in plain and c}
     homes = {h for p, _, _, c, h in found if p in content and not c}
-    chosen = [t for p, t, links, c, h in found if p in content or c in top or not c and h in homes and links < len(t) / 2]
+    # Beside content: what is not hinted itself, unless all of its element is.
+    near = lambda p: OUTSIDE not in p and INSIDE not in p or p.rsplit("/", 1)[0] in hosts
+    hosts = {p.rsplit("/", 1)[0] for p in content - plain}
+    chosen = [t for p, t, links, c, h in found
+              if p in content or near(p) and (c in top or not c and h in homes and links < len(t) / 2)]
     return "\n".join(chosen)
 
 

@@ -136,6 +136,20 @@ def test_content_outside_of_articles_stays():
     assert main_text.main_text(page).split("\n")[:2] == ["Head", text.strip()]
 
 
+def test_names_of_article_parts_are_no_furniture():
+    text = "A long text, of many words; it goes on, and on, with signs. " * 8
+    parts = ['<section id="discussion"><p>{}</p></section>', '<section id="related-work"><p>{}</p></section>',
+             '<p class="social-history">{}</p>', '<div class="elementor-widget-text"><p>{}</p></div>', '<div class="widget"><p>{}</p></div>']
+    for shell in ("<article>{}</article>", "<div>{}</div>", '<div class="elementor-widget-text">{}</div>', '<div class="widget">{}</div>'):
+        for k, part in enumerate(parts[:4] if "article" not in shell else parts):
+            page = shell.format(f'<h2 id="legal-notice-of-1848">Notice</h2><p>{text}</p>' + part.format(f"{k} {text}"))
+            assert main_text.main_text(page).split("\n") == ["Notice", text.strip(), f"{k} {text.strip()}"], page
+    page = f"<article><p>{text} where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><fieldset><p>{text}</p></fieldset></article>"
+    assert main_text.main_text(page) == f"{text} where x=2 holds.".replace("  ", " ") + f"\n{text.strip()}"
+    page = f"<div class='cookie-notice'><p>We use cookies, as all do.</p></div><div><p>{text}</p></div>"
+    assert main_text.main_text(page) == text.strip()
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"<p>page {i % 40} {'text ' * (i % 40)}</p>") for i in range(120)]
     rows += [(200, None, None), (201, "http://a b\n", ""), (None, None, "alone")]

@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives.
 
 *Candidates* are all runs of ``LEAST`` or more token characters within a word
-of a text.  *Features*: length, changes of character class, shares of digits and
+of a text, and the values behind a credential's name and an assignment, of any
+length and signs.  *Features*: length, changes of character class, shares of digits and
 capitals, distinct characters, letter trigrams found in the dictionary (those
 common in the corpus's own long alphabetic words), words of the path (the
 source) and the words before and after.
@@ -36,6 +37,12 @@ DICTIONARY_SHARE = 0.0002
 NAMES = r"(?i)(token|secret|passw|pwd|api[_-]?key|apikey|access[_-]?key|private|credential|auth|bearer)"
 EXAMPLES = r"(?i)(example|sample|dummy|placeholder|test|mock|fixture|doc)"
 TOKEN = rf"[A-Za-z0-9+/_=.\-]{{{LEAST},}}"
+#: A credential's name and an assignment; then a value in quotes, or one up to
+#: white space, a quote, closing signs or the next name and assignment.
+HEAD = NAMES.replace("(token", "(?:token") + r"""[\w.\-]{0,64}[\\"'`\]]{0,4}\s{0,8}(?::=|=>|={1,3}|:)\s{0,8}"""
+BARE = (r"""(?:(?![,;&)}\]{\[]{1,4}["']?[\w.\-]{1,64}["']?[=:]|[,;.)}\]]{0,8}(?:\s|$))[^\s"'`])++""")
+VALUES = (r"""\\+"([^"\\\n]++)\\+\"""" + r"""|"((?:[^"\\\n]|\\.)++)\"""" + r"""|'((?:[^'\\\n]|\\.)++)'|`([^`\n]++)`|["'`]?(""" + BARE + ")")
+ASSIGNED = f"{HEAD}(?:{VALUES})"
 MASK = "[SECRET]"
 FEATURES = ("length", "changes", "digits", "capitals", "distinct", "coverage", "hexadecimal", "example_path", "named", "assigned",
             "quoted", "example_word")
@@ -44,7 +51,29 @@ FEATURES = ("length", "changes", "digits", "capitals", "distinct", "coverage", "
 def findings(docs: DataFrame) -> DataFrame:
     """Candidates: key (hash of the text), doc_id, source, position (word
     number), run (number in the word), token, word (the token and what stands
-    close to it in its word), before, before2, after (words, their near ends)."""
+    close to it in its word), before, before2, after (words, their near ends).
+    A value behind a name and an assignment has run -1, and for a position its
+    number among those of the text."""
+    return long_runs(docs).unionByName(assigned_values(docs))
+
+
+def assigned_values(docs: DataFrame) -> DataFrame:
+    """The values behind a credential's name and an assignment, of any length
+    and signs, but those that are a long run and so a candidate already."""
+    rows = docs.select(F.xxhash64("text").alias("key"), "doc_id", "source", F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(0)).alias("held"),
+                       F.split("text", ASSIGNED, -1).alias("gaps")).where(F.size("held") > 0)
+    rows = rows.select("key", "doc_id", "source", F.explode(F.transform("held", lambda word, k: F.struct(
+        k.alias("position"), word.alias("word"), words_col(F.right(F.get("gaps", k), F.lit(2 * NEAR))).alias("left"),
+        F.get(words_col(F.left(F.get("gaps", k + 1), F.lit(NEAR))), F.lit(0)).alias("after")))).alias("f"))
+    rows = rows.select("key", "doc_id", "source", F.col("f.position"), F.lit(-1).alias("run"),
+                       F.concat(*(F.regexp_extract("f.word", ASSIGNED, k) for k in range(1, 6))).alias("token"), F.col("f.word"),
+                       F.try_element_at("f.left", F.lit(-1)).alias("before"), F.try_element_at("f.left", F.lit(-2)).alias("before2"),
+                       F.col("f.after"))
+    return rows.where((F.length("token") > 0) & ~(F.col("token").rlike(f"^{TOKEN}$") & ~F.contains("word", F.concat(F.lit("="), "token"))))
+
+
+def long_runs(docs: DataFrame) -> DataFrame:
+    """All runs of ``LEAST`` or more token characters."""
 
     def each(words: Column) -> Column:
         held = F.transform(words, lambda w, i: F.when((F.length(w) >= LEAST) & w.rlike(TOKEN), i))
@@ -102,7 +131,7 @@ def featured(found: DataFrame, known: list[int]) -> DataFrame:
         "hexadecimal": token.rlike("^[0-9a-fA-F]+$").cast("double"),
         "example_path": F.coalesce(F.col("source").rlike(EXAMPLES), F.lit(False)).cast("double"),
         "named": around.rlike(NAMES).cast("double"),
-        "assigned": (text.rlike("[=:]") | F.col("word").rlike(r"[A-Za-z]\s*[=:]\s*[\"']?")).cast("double"),
+        "assigned": ((F.col("run") < 0) | text.rlike("[=:]") | F.col("word").rlike(r"[A-Za-z]\s*[=:]\s*[\"']?")).cast("double"),
         "quoted": F.col("word").rlike("[\"'`]").cast("double"),
         "example_word": F.concat_ws(" ", "before", "after").rlike(EXAMPLES).cast("double")})
 
@@ -152,9 +181,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in text replaced by ``MASK``; no row goes."""
-    secrets = (scan(docs).where("is_secret").groupBy("key").agg(F.collect_set("token").alias("_tokens"))
-               .withColumn("_tokens", F.array_sort("_tokens", lambda a, b: F.length(b) - F.length(a))))  # long ones first
-    text = F.aggregate("_tokens", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
+    long_first = lambda name: F.array_sort(name, lambda a, b: F.length(b) - F.length(a))
+    of = lambda run: F.collect_set(F.when(run, F.col("token")))
+    secrets = (scan(docs).where("is_secret").groupBy("key").agg(of(F.col("run") >= 0).alias("_tokens"), of(F.col("run") < 0).alias("_values"))
+               .withColumns({"_tokens": long_first("_tokens"), "_values": long_first("_values")}))
+    # A value goes where it stands behind a name: a short one may be a word elsewhere.
+    behind = lambda v: F.concat(F.lit(rf"""({HEAD}(?:\\+"|["'`])?)\Q"""), F.replace(v, F.lit("\\E"), F.lit(r"\E\\E\Q")),
+                                F.lit(r"""\E(?=\\?["'`]|[,;&.)}\]{\[\s]|$)"""))
+    text = F.aggregate("_values", F.col("text"), lambda t, v: F.regexp_replace(t, behind(v), F.lit(f"$1{MASK}")))
+    text = F.aggregate("_tokens", text, lambda t, s: F.replace(t, s, F.lit(MASK)))
     out = docs.withColumn("_key", F.xxhash64("text")).join(secrets.withColumnRenamed("key", "_key"), "_key", "left")
     out = out.withColumn("text", F.when(F.col("_tokens").isNull(), F.col("text")).otherwise(text))
     if "n_chars" in docs.columns:

@@ -31,7 +31,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_path = path
+    return out
+
+
+def removed(*frames: DataFrame) -> None:
+    """Deletes written intermediates whose readers are all written."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._saved_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(col: Column | str = "text") -> Column:

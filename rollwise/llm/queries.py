@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollwise.llm import bpe, fingerprints, language_id, main_text, minhash_dedup, mixing, quality, secrets, toxicity, warc
+from rollwise.llm import (bpe, fingerprints, language_id, main_text, manifest, minhash_dedup, mixing, quality, secrets,
+                          statements, toxicity, url_filter, vector_codes, warc)
 from rollwise.llm.common import table
 
 
@@ -54,6 +55,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify(table(spark, sf_dir, "documents")).drop("source")
+
+
+#: The rules of the URL query.
+URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filter.parsed(URL_RULES), url_filter.SCHEMA)
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_main_text, op3_bpe, op4_fingerprints, op5_quality, op6_mixing,
-                                   op7_toxicity, op8_warc, op9_secrets, op10_language_id)}
-SQL: dict[str, str] = {}
+                                   op7_toxicity, op8_warc, op9_secrets, op10_language_id, op11_vector_codes, op12_manifest, op13_url_filter)}
+SQL: dict[str, str] = {"op11_vector_codes": statements.vector_code_sql(), "op12_manifest": statements.manifest_sql(),
+                       "op13_url_filter": statements.url_filter_sql(url_filter.parsed(URL_RULES))}

@@ -54,6 +54,8 @@ SQL = {
                             "DATE '2024-01-20' AND data_date < DATE '2024-01-31' GROUP BY ALL"),
     "incremental_run": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "
                         "DATE '2024-01-05' AND data_date < DATE '2024-02-01' GROUP BY ALL"),
+    "late_row_range": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "
+                       "DATE '2024-01-05' AND data_date < DATE '2024-02-01' GROUP BY ALL"),
     "rerun_after_source_delete": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "
                                   "DATE '2024-01-05' AND data_date < DATE '2024-02-01' "
                                   "AND data_date <> DATE '2024-01-06' GROUP BY ALL"),

@@ -128,6 +128,34 @@ def q_incremental_run(spark, sf_dir):
     return finish(spark.read.parquet(path).drop("control_day"))
 
 
+def u_events_late(df):
+    """Events of which some arrived 19 days before the time they count for:
+    the raw time is far off the control time."""
+    early = F.col("data_ts") - F.expr("INTERVAL 19 DAYS")
+    return u_events(df, keep=["event_id"]).withColumn(
+        "data_ts", F.when(F.col("event_id") % 101 == 0, early).otherwise(F.col("data_ts"))).drop("event_id")
+
+
+def q_late_row_range(spark, sf_dir):
+    """Daily target over events in 8 files by time, some rows 19 days off
+    their raw time: two runs by the zone map, the files of the second half
+    arriving between them; returns the table, which must hold every row (P5)."""
+    from ..plans.incremental import run_target
+    from ..session import fresh_path
+    events = catalog(spark, sf_dir).table("events")
+    folder, path = fresh_path(spark, "events_files"), fresh_path(spark, "late_daily")
+    half = F.col("ts") < F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    t = fx.target_2(name="late_daily")
+    src = fx.src_events(t.target_table)
+    src.transformation = u_events_late
+    for part, now in ((half, dt.datetime(2024, 1, 16, 9)), (~F.coalesce(half, F.lit(False)), dt.datetime(2024, 1, 31, 9))):
+        events.where(part).repartitionByRange(4, "ts").write.mode("append").parquet(folder)
+        cat = catalog(spark, sf_dir).with_table("events", spark.read.parquet(folder))
+        t.batch_processed, t.batch_processing = dt.datetime(2024, 1, 4), None
+        run_target(cat, t, [src], now, path)
+    return finish(spark.read.parquet(path).drop("control_day"))
+
+
 def q_rerun_after_source_delete(spark, sf_dir):
     """The daily target built twice over the same chunks; before the second run
     every row of one day left the source.  Returns the table, which must not
@@ -167,11 +195,10 @@ def q_demo_workflow(spark, sf_dir):
         "groupby_flexible boolean, aggregate_columns string, aggregate_functions string")
     reg.register_targets(spec.withColumn("batch_processed", F.lit(dt.datetime(2024, 1, 4))
                                          .cast("timestamp_ntz")))
-    src = spark.createDataFrame([("daily", "events", False, 0, U_EVENTS_SQL, "data_ts", 3)],
+    src = spark.createDataFrame([("daily", "events", False, 0, U_EVENTS_SQL, "data_ts")],
                                 "target_table string, source_table string, "
                                 "source_enabled boolean, pattern_default bigint, "
-                                "transformation string, control_column string, "
-                                "control_slack_minutes bigint")
+                                "transformation string, control_column string")
     reg.register_sources(src.withColumn("data_availabletime", F.lit(None)
                                         .cast("timestamp_ntz")))
     cat = catalog(spark, sf_dir)
@@ -243,6 +270,7 @@ QUERIES = {
     "batch_all_chunks": q_batch_all_chunks,
     "sliding_reaggregate": q_sliding_reaggregate,
     "incremental_run": q_incremental_run,
+    "late_row_range": q_late_row_range,
     "rerun_after_source_delete": q_rerun_after_source_delete,
     "demo_workflow": q_demo_workflow,
     "mixed_granularity": q_mixed_granularity,

@@ -21,7 +21,7 @@ DATE_COLUMNS = {
         "test_chunk_agg", "batch_all_chunks", "sliding_reaggregate", "mixed_granularity",
         "multi_target_rollup", "mask_projection", "target_not_null_check", "copy_columns",
         "merge_upsert", "purge_range", "replace_chunk", "incremental_run", "demo_workflow",
-        "rerun_after_source_delete",
+        "rerun_after_source_delete", "late_row_range",
         "stream_summary")},
 }
 

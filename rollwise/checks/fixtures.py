@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from ..functions.pattern import flags_to_mask
-from ..functions.timegrid import rounding_slack
 from ..sources.unified import PATTERN_COLUMNS, u_events, u_lineitem, u_orders
 from ..specs import SourceSpec, TargetSpec
 
@@ -60,19 +59,19 @@ def src_events(target: str, enabled=True, pattern_default: int = 0, priority: in
                name: str = "events") -> SourceSpec:
     return SourceSpec(target_table=target, source_table=name, enabled=enabled,
                       pattern_default=pattern_default, transformation=u_events,
-                      control_column="data_ts", control_slack_minutes=rounding_slack(5), priority=priority)
+                      control_column="data_ts", priority=priority)
 
 
 def src_orders(target: str, enabled=True, priority: int = 0) -> SourceSpec:
     return SourceSpec(target_table=target, source_table="orders", enabled=enabled,
                       transformation=u_orders, control_column="data_ts",
-                      control_slack_minutes=rounding_slack(5), priority=priority)
+                      priority=priority)
 
 
 def src_lineitem(target: str, enabled=True, priority: int = 1) -> SourceSpec:
     return SourceSpec(target_table=target, source_table="lineitem", enabled=enabled,
                       transformation=u_lineitem, control_column="data_ts",
-                      control_slack_minutes=rounding_slack(5), priority=priority)
+                      priority=priority)
 
 
 # ---- registry fixtures: one target per customer, one source per order ---------

@@ -62,9 +62,3 @@ def round_minutes(ts, n: int | Column, base=BASE_2000) -> Column:
     n = n if isinstance(n, Column) else F.lit(int(n))
     k = F.round(minute_diff(_c(base), ts) / n)
     return add_minutes(_c(base), (k * n).cast("int"))
-
-
-def rounding_slack(n: int) -> int:
-    """Upper bound in minutes of |raw - round_minutes(raw, n)| (+1 for the
-    minute truncation), used to push a raw-time range down to the scan."""
-    return n // 2 + 1

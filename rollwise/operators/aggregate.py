@@ -91,34 +91,20 @@ def step_end(step, start: dt.datetime, minutes: int, spark=None) -> Column:
     return ts_lit(row["e"])
 
 
-def raw_slack(df: DataFrame, target: TargetSpec, source: SourceSpec) -> int:
-    """Minutes the raw time may be off the control time: the declared slack
-    and, as the target may floor further, a chunk, or a day for a DATE."""
-    ctl = target.source_of(target.control_column)
-    day = 1440 if isinstance(df.schema[ctl].dataType, T.DateType) else 0
-    return source.control_slack_minutes + max(target.chunk_minutes, day)
-
-
 def in_range(df: DataFrame, target: TargetSpec, source: SourceSpec, lo: dt.datetime,
-             hi: dt.datetime) -> DataFrame:
+             hi: dt.datetime, offsets: tuple[int, int] | None = None) -> DataFrame:
     """Rows whose target control time lies in ``[lo, hi)``.
 
-    A source that names its raw time column also gets a range on it, so the
-    scan can skip files, wider by ``raw_slack``.  Every row of the raw range is held against that bound: a
-    wrong declaration fails the job instead of losing rows.  A row without a raw
-    time is in no chunk, as in the one-chunk form."""
+    ``offsets`` are proven bounds of control minus raw time in microseconds (a
+    zone map has them): the raw time then gets the bound that follows, which
+    reaches the scan."""
     t = time_col(df, target.source_of(target.control_column))
-    inside = (t >= ts_lit(lo)) & (t < ts_lit(hi))
-    if not source.control_column or source.control_slack_minutes is None:
-        return df.where(inside)
+    df = df.where((t >= ts_lit(lo)) & (t < ts_lit(hi)))
+    if offsets is None:
+        return df
     raw = time_col(df, source.control_column)
-    minutes = raw_slack(df, target, source)
-    slack, span = dt.timedelta(minutes=minutes), F.make_dt_interval(mins=F.lit(minutes))
-    near = (raw >= ts_lit(lo - slack)) & (raw < ts_lit(hi + slack))
-    held = F.coalesce((t >= raw - span) & (t <= raw + span), F.lit(True))
-    wrong = F.raise_error(F.lit(f"{source.source_table}: {source.control_column} is more than "
-                                f"{minutes} minutes off the control time; declare a larger slack"))
-    return df.where(near & F.when(held, inside).otherwise(wrong.cast("boolean")))
+    least, most = (dt.timedelta(microseconds=x) for x in offsets)
+    return df.where((raw >= ts_lit(lo - most)) & (raw < ts_lit(hi - least)))
 
 
 def in_chunk(col: Column, start: dt.datetime, minutes: int, step=None, spark=None) -> Column:

@@ -20,6 +20,7 @@ from ..operators.aggregate import (SourcePlan, aggregate_frame, aggregate_union,
                                    projected_frame, require_control, time_col)
 from ..operators.upsert import purge, upsert
 from ..sources.catalog import Catalog, resolve_source
+from ..sources.zones import ZoneMap
 from ..specs import SourceSpec, TargetSpec
 
 
@@ -111,12 +112,14 @@ def chunk_starts(begin: dt.datetime, end: dt.datetime, minutes: int) -> tuple[in
 
 
 def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
-                begin: dt.datetime, end: dt.datetime, mode: str = "enabled") -> Batch:
+                begin: dt.datetime, end: dt.datetime, mode: str = "enabled",
+                zones: ZoneMap | None = None) -> Batch:
     """Aggregate every chunk ``begin, begin + size, ... <= end`` in one job.
 
     Rows are assigned to chunks by the source column that becomes the target's
     control column, so filter, key and later purge agree (fixes Q1).  A source
-    whose mask covers that column is refused."""
+    whose mask covers that column is refused.  With ``zones`` only the files
+    whose control times meet the range are read."""
     target.validate()  # chunks are assigned by the control column, which must be kept
     n, end_excl = chunk_starts(begin, end, target.chunk_minutes)
     _check_additive_step(catalog.spark, target, begin)
@@ -127,7 +130,11 @@ def range_batch(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
         if not plan.accepted or n == 0:
             continue
         require_control(target, plan)
-        df = in_range(resolve_source(catalog, s), target, s, begin, end_excl)
+        view, offsets = catalog, None
+        if zones is not None:
+            found = zones.narrowed(catalog, target, s, begin, end_excl)
+            view, offsets = found.catalog, found.offsets
+        df = in_range(resolve_source(view, s), target, s, begin, end_excl, offsets)
         parts.append((plan, aggregate_frame(df, target, plan)))
         projected[id(plan)] = projected_frame(df, target, plan)
     batch = _combine(target, parts, plans, projected)
@@ -236,7 +243,7 @@ class RunResult:
 def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
                now: dt.datetime, path: str, script_only: bool = False,
                lookback_days: int | None = None, max_chunks: int | None = None,
-               on_progress=None) -> RunResult:
+               on_progress=None, zones: ZoneMap | None = None) -> RunResult:
     """Run every due chunk of one target.
 
     The touched days of the target are replaced by the recomputed batch and
@@ -249,7 +256,10 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     slice with ``batch_microchunk_current`` set to the slice's last chunk (the
     warehouse's progress update), so a failure redoes one slice only.  With
     ``script_only`` nothing is written and the new content is returned lazily
-    (dry run; one slice) and ``target`` stays as it is."""
+    (dry run; one slice) and ``target`` stays as it is.
+
+    ``zones`` (default: beside ``path``) tells which files of a source hold
+    which control times; a run first adds the files that are new."""
     target.validate()
     if script_only:
         target = replace(target)
@@ -270,13 +280,17 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
         if not script_only:
             finish_run(target, live, now)
         return RunResult(True, begin, end, n, None)
+    zones = zones or ZoneMap(catalog.spark, f"{path.rstrip('/')}.zones")
+    if not script_only:
+        for s in live:
+            zones.refresh(catalog, target, s)
     step = dt.timedelta(minutes=target.chunk_minutes)
     per_job = n if (script_only or not max_chunks) else max(1, int(max_chunks))
     new = None
     for k in range(0, n, per_job):
         s_begin = begin + step * k
         s_end = begin + step * (min(n, k + per_job) - 1)
-        new = _replace_range(catalog, target, sources, live, s_begin, s_end, path, script_only)
+        new = _replace_range(catalog, target, sources, live, s_begin, s_end, path, script_only, zones)
         if not script_only:
             target.batch_microchunk_current = s_end
             if on_progress is not None:
@@ -288,12 +302,12 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
 
 def _replace_range(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
                    live: list[SourceSpec], begin: dt.datetime, end: dt.datetime, path: str,
-                   script_only: bool) -> DataFrame:
+                   script_only: bool, zones: ZoneMap) -> DataFrame:
     """One job: recompute chunks ``begin .. end`` and replace them in ``path``."""
     from ..operators.tables import (days_between, enforce_not_null, read_days,
                                     replace_days, target_schema)
     _, end_excl = chunk_starts(begin, end, target.chunk_minutes)
-    batch = range_batch(catalog, target, sources, begin, end)
+    batch = range_batch(catalog, target, sources, begin, end, zones=zones)
     schema = target_schema(target, resolve_source(catalog, live[0]))
     days = days_between(begin.date(), (end_excl - dt.timedelta(microseconds=1)).date())
     midnight = dt.time()

@@ -36,6 +36,7 @@ from ..operators.aggregate import require_control
 from ..operators.tables import conform, enforce_not_null, read_days, replace_days, target_schema
 from ..operators.upsert import update_where, upsert, upsert_registry
 from ..sources.catalog import Catalog
+from ..sources.zones import ZoneMap
 from ..specs import SOURCES_SCHEMA, TARGETS_SCHEMA, SourceSpec, target_from_row
 from . import registry as R
 from .incremental import chunk_batch, finish_run, run_target
@@ -166,27 +167,23 @@ class Registry:
 
     def refresh_availability(self, catalog: Catalog, name: str) -> None:
         """Availability refresh (I9): each source of ``name`` gets the newest
-        control time of its data, floored to the target's chunk grid.  One
-        job: the per-source maxima (partial aggregates) are unioned."""
-        from ..operators.aggregate import raw_slack, time_col
+        control time of its data, floored to the target's chunk grid.  It comes
+        from the source's zone map, so only files that are new are scanned; a
+        source without a map is scanned for its maximum."""
+        from ..operators.aggregate import time_col
         from ..sources.catalog import resolve_source
-        target = self.target_spec(name)
+        target, zones = self.target_spec(name), self.zones(name)
         ctl = target.source_of(target.control_column)
         latest = None
         for s in self.source_specs(name):
-            df = resolve_source(catalog, s)
-            t = time_col(df, ctl)
-            if s.data_availabletime is not None:
-                # Only data at or after the current availability can move it.
-                # The same bound on the raw time column (widened by the slack)
-                # reaches the parquet scan and prunes everything older.
-                df = df.where(t >= F.lit(s.data_availabletime).cast("timestamp_ntz"))
-                if s.control_column and s.control_slack_minutes is not None:
-                    lo = s.data_availabletime - dt.timedelta(minutes=raw_slack(df, target, s))
-                    df = df.where(time_col(df, s.control_column)
-                                  >= F.lit(lo).cast("timestamp_ntz"))
-            m = df.agg(F.max(t).alias("latest_ts")).select(
-                F.lit(s.source_table).alias("source_table"), "latest_ts")
+            m = zones.latest(catalog, target, s) if zones.refresh(catalog, target, s) else None
+            if m is None:
+                df = resolve_source(catalog, s)
+                t = time_col(df, ctl)
+                if s.data_availabletime is not None:  # only later data can move it
+                    df = df.where(t >= F.lit(s.data_availabletime).cast("timestamp_ntz"))
+                m = df.agg(F.max(t).alias("latest_ts"))
+            m = m.select(F.lit(s.source_table).alias("source_table"), "latest_ts")
             latest = m if latest is None else latest.unionByName(m)
         if latest is None:
             return
@@ -230,6 +227,10 @@ class Registry:
             q.awaitTermination()
         return q
 
+    def zones(self, name: str) -> ZoneMap:
+        """Zone maps of the sources of ``name``, kept with the registry."""
+        return ZoneMap(self.spark, f"{self.root}/zones/{name}")
+
     # ---- one target's specs (bounded metadata) -------------------------------------
 
     def target_spec(self, name: str):
@@ -245,9 +246,7 @@ class Registry:
                            transformation=r.transformation, label=r.source_label, id=r.id,
                            priority=int(r.id or 0) if r.priority is None else int(r.priority),
                            data_availabletime=r.data_availabletime,
-                           control_column=r.control_column,
-                           control_slack_minutes=(None if r.control_slack_minutes is None
-                                                  else int(r.control_slack_minutes)))
+                           control_column=r.control_column)
                 for r in rows]
 
     # ---- procedures ----------------------------------------------------------------
@@ -302,7 +301,7 @@ class Registry:
                  .cast("timestamp_ntz")}))
 
         result = run_target(catalog, spec, sources, now, path, script_only=script_only,
-                            max_chunks=max_chunks, on_progress=progress)
+                            max_chunks=max_chunks, on_progress=progress, zones=self.zones(name))
         if not script_only:
             if result.chunks == 0:
                 finish_run(spec, [s for s in sources if s.enabled is True], now)

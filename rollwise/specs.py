@@ -105,7 +105,6 @@ class SourceSpec:
     pattern_default: int = 0            # bits of columns the source lacks
     transformation: Transformation = None
     control_column: str | None = None   # raw time column in the source relation
-    control_slack_minutes: int | None = None  # |raw - aligned| bound, for pruning
     priority: int = 0                   # collision rule between sources (Q5)
     label: str | None = None
     id: int | None = None
@@ -151,10 +150,9 @@ SOURCES_SCHEMA = T.StructType([
     T.StructField("data_availabletime", T.TimestampNTZType()),
     T.StructField("data_checkschedule", T.TimestampNTZType()),
     T.StructField("transformation", T.StringType()),
-    # Optional, ours: the raw time column of the transformed source and a bound
-    # on |raw - aligned| in minutes, so range runs can prune the scan.
+    # Optional, ours: the raw time column of the transformed source, which range
+    # runs bound by what the zone map proves.
     T.StructField("control_column", T.StringType()),
-    T.StructField("control_slack_minutes", T.LongType()),
     # Collision rule between sources (Q5); NULL means registration order.
     T.StructField("priority", T.LongType()),
 ])
@@ -175,7 +173,7 @@ def source_row(s: SourceSpec) -> tuple:
                          "text; a Python function would be lost")
     return (s.id, s.label, s.target_table, s.source_table, s.enabled, s.pattern_default,
             None, s.data_availabletime, None, s.transformation, s.control_column,
-            s.control_slack_minutes, s.priority)
+            s.priority)
 
 
 def target_from_row(r) -> TargetSpec:

@@ -58,13 +58,6 @@ def test_run_starting_at_nine_keeps_late_rows(spark):
     same(got.select(*want.columns), want.where(F.col(ctl).isin(list(days))))
 
 
-def test_too_small_slack_fails_loudly(spark):
-    src = fx.src_events("s")
-    src.control_slack_minutes = -1000  # narrower than the alignment
-    with pytest.raises(Exception, match="larger slack"):
-        run_target(Catalog(spark, SF), daily("s"), [src], dt.datetime(2024, 1, 10), fresh_path(spark, "slack"))
-
-
 def test_empty_first_run(spark):
     cat, path = Catalog(spark, SF), fresh_path(spark, "first")
     none = cat.with_table("events", cat.table("events").where("false"))

@@ -186,18 +186,20 @@ def test_register_specs_round_trip(spark):
 
 
 def test_registry_source_prunes_with_raw_control(spark):
-    """A registry source that names its raw time column gets the pushdown
-    hint: the range job's scan carries a pushed filter on ``ts``."""
+    """A registry source that names its raw time column gets the bound its zone
+    map proves: the range job's scan carries a pushed filter on ``ts``."""
     from rollwise.plans.incremental import range_batch
     reg = Registry(spark, fresh_path(spark, "registry7"))
     t = fx.target_1(name="p1")
     t.batch_processed = dt.datetime(2024, 1, 4)
     reg.register_specs([t], [SourceSpec("p1", "events", True, transformation=U_EVENTS_SQL,
-                                        control_column="data_ts", control_slack_minutes=3)])
+                                        control_column="data_ts")])
     src = reg.source_specs("p1")[0]
-    assert (src.control_column, src.control_slack_minutes) == ("data_ts", 3)
-    b = range_batch(Catalog(spark, SF), reg.target_spec("p1"), [src],
-                    dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 5, 23, 55))
+    assert src.control_column == "data_ts"
+    cat, zones = Catalog(spark, SF), reg.zones("p1")
+    assert zones.refresh(cat, reg.target_spec("p1"), src)
+    b = range_batch(cat, reg.target_spec("p1"), [src],
+                    dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 5, 23, 55), zones=zones)
     plan = b.frame._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
 

@@ -3,26 +3,21 @@
 Built from ``parse_json``/``variant_get``/``from_json`` and higher-order array
 functions, so they run in the JVM.  Use them when every row carries its own
 terms; when rows share a card, the join forms in ``operators.rates`` are
-cheaper (the card is parsed once, not per row).
+cheaper (the card is parsed once, not per row).  The rules themselves are
+stated once, in ``functions.sql``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..operators.rates import MOBILE_ALIASES, OTHER_DEVICE, OTHERS_BLOCKER, OTHERS_KEY
+from .sql import DEVICE_SHARE, REVENUE_SHARE
 
-# The field names of a tier entry in the terms JSON.
-TIER_TYPE = "array<struct<RANGE_LOWER:double,RANGE_UPPER:double,REVENUE_SHARE:double>>"
 
-
-def _is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") \
-        | kind.startswith("DECIMAL")
-
-
-def _key_path(key: Column) -> Column:
-    return F.concat(F.lit('$["'), key, F.lit('"]'))
+def _over(terms: Column, rule: str, **arguments: Column) -> Column:
+    p = F.struct(F.try_parse_json(terms).alias("j"), terms.alias("t"),
+                 *[c.alias(k) for k, c in arguments.items()])
+    return F.get(F.call_function("transform", F.array(p), F.expr(f"p -> {rule}")), F.lit(0))
 
 
 def revenue_share(terms: Column, dim: Column, value: Column) -> Column:
@@ -30,26 +25,12 @@ def revenue_share(terms: Column, dim: Column, value: Column) -> Column:
 
     * a number: that number;
     * a tier array and a value: the first tier with
-      ``lower <= value < upper`` (upper missing or 0 = open), NULL if none;
+      ``lower <= value < upper`` (upper missing or 0 = open; a tier without a
+      lower bound contains nothing), NULL if none;
     * an object: the number at ``upper(dim)``; when that key is absent and no
       ``(Others)`` key exists, the ``(OTHERS)`` number;
     * anything else (or a NULL value with tiers): NULL."""
-    v = F.try_parse_json(terms)
-    kind = F.schema_of_variant(v)
-    tiers = F.try_variant_get(v, "$", TIER_TYPE)
-    first = F.try_element_at(
-        F.filter(tiers, lambda x: (F.coalesce(x["RANGE_LOWER"], F.lit(0.0)) <= value)
-                 & (x["RANGE_UPPER"].isNull() | (x["RANGE_UPPER"] == 0)
-                    | (x["RANGE_UPPER"] > value))), F.lit(1))
-    at = F.try_variant_get(v, _key_path(F.upper(dim)), "variant")
-    at_num = F.when(_is_number(F.schema_of_variant(at)), F.try_variant_get(at, "$", "double"))
-    blocked = F.try_variant_get(v, _key_path(F.lit(OTHERS_BLOCKER)), "variant").isNotNull()
-    others = F.try_variant_get(v, _key_path(F.lit(OTHERS_KEY)), "double")
-    obj = F.when(at.isNotNull(), at_num).when(~blocked, others)
-    return (F.when(_is_number(kind), F.try_variant_get(v, "$", "double"))
-            .when(kind.startswith("ARRAY") & value.isNotNull(), first["REVENUE_SHARE"])
-            .when(kind.startswith("ARRAY"), F.lit(None).cast("double"))
-            .when(kind.startswith("OBJECT"), obj))
+    return _over(terms, REVENUE_SHARE, d=dim.cast("string"), v=value.cast("double"))
 
 
 def device_share(terms: Column, dim: Column) -> Column:
@@ -57,19 +38,4 @@ def device_share(terms: Column, dim: Column) -> Column:
     ``{"item": {"device": [rate, ...]}, ...}``: items in text order, the first
     with a numeric first rate for the folded device; if none (or 0), the first
     numeric ``other`` rate."""
-    d = F.lower(dim)
-    d = F.when(d.isin(*MOBILE_ALIASES), F.lit("mobile")).otherwise(d)
-    number_of = F.try_parse_json(terms)
-    items = F.map_entries(F.from_json(terms, "map<string,string>"))
-
-    def first_rate(key: Column) -> Column:
-        rates = F.transform(items, lambda e: F.try_variant_get(
-            F.try_parse_json(e["value"]), F.concat(_key_path(key), F.lit("[0]")), "variant"))
-        nums = F.filter(rates, lambda x: _is_number(F.schema_of_variant(x)))
-        return F.try_variant_get(F.try_element_at(nums, F.lit(1)), "$", "double")
-
-    dev, oth = first_rate(d), first_rate(F.lit(OTHER_DEVICE))
-    obj = F.when(dev.isNotNull() & (dev != 0), dev).when(oth.isNotNull(), oth).otherwise(dev)
-    kind = F.schema_of_variant(number_of)
-    return (F.when(_is_number(kind), F.try_variant_get(number_of, "$", "double"))
-            .when(kind.startswith("OBJECT"), obj))
+    return _over(terms, DEVICE_SHARE, d=dim.cast("string"))

@@ -20,8 +20,68 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-_NUM = ("(schema_of_variant({v}) IN ('BIGINT','INT','SMALLINT','TINYINT','DOUBLE','FLOAT') "
-        "OR schema_of_variant({v}) LIKE 'DECIMAL%')")
+from ..operators.rates import MOBILE_ALIASES, OTHER_DEVICE, OTHERS_BLOCKER, OTHERS_KEY
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _let(values: str, name: str, body: str) -> str:
+    """``body`` with the struct of ``values`` under a name, computed once."""
+    return f"get(transform(array(named_struct({values})), {name} -> {body}), 0)"
+
+
+def _is_number(kind: str) -> str:
+    """Whether the type name of a variant is that of a JSON number."""
+    return f"({kind} IN ('BIGINT', 'DOUBLE', 'INT', 'SMALLINT', 'TINYINT', 'FLOAT') OR {kind} LIKE 'DECIMAL%')"
+
+
+def _number(v: str) -> str:
+    """The variant's value if it is a JSON number, else NULL."""
+    value = _let(f"'n', {v}, 'k', schema_of_variant({v})", "z",
+                 f"IF({_is_number('z.k')}, try_variant_get(z.n, '$', 'double'), CAST(NULL AS DOUBLE))")
+    return value
+
+
+# Rates from terms, over a struct ``p`` of the arguments: the parsed terms
+# ``j``, their text ``t``, the dim ``d`` and the value ``v``.  Both the SQL
+# functions and the Column functions are made of these.  Objects are read as
+# maps, so any key is looked up as it stands.
+# The field names of a tier entry in the terms JSON.
+_TIERS = "try_variant_get(p.j, '$', 'array<map<string,variant>>')"
+_IN_TIER = ("map_contains_key(x, 'RANGE_LOWER') "
+            "AND coalesce(try_variant_get(try_element_at(x, 'RANGE_LOWER'), '$', 'double'), 0D) <= p.v "
+            "AND (coalesce(try_variant_get(try_element_at(x, 'RANGE_UPPER'), '$', 'double'), 0D) = 0D "
+            "OR try_variant_get(try_element_at(x, 'RANGE_UPPER'), '$', 'double') > p.v)")
+_CATEGORY = ("CASE WHEN coalesce(map_contains_key(o.m, upper(p.d)), false) THEN "
+             + _number("try_element_at(o.m, upper(p.d))")
+             + f" WHEN NOT map_contains_key(o.m, {_text(OTHERS_BLOCKER)}) THEN "
+             f"try_variant_get(try_element_at(o.m, {_text(OTHERS_KEY)}), '$', 'double') END")
+REVENUE_SHARE = _let("'k', schema_of_variant(p.j)", "k",
+    f"CASE WHEN {_is_number('k.k')} THEN try_variant_get(p.j, '$', 'double') "
+    "WHEN k.k LIKE 'ARRAY%' THEN IF(p.v IS NULL, CAST(NULL AS DOUBLE), "
+    f"try_variant_get(try_element_at(try_element_at(filter({_TIERS}, x -> {_IN_TIER}), 1), 'REVENUE_SHARE'), "
+    "'$', 'double')) WHEN k.k LIKE 'OBJECT%' THEN "
+    + _let("'m', try_variant_get(p.j, '$', 'map<string,variant>')", "o", _CATEGORY) + " END")
+
+_DEVICE = f"IF(lower(p.d) IN ({', '.join(map(_text, MOBILE_ALIASES))}), 'mobile', lower(p.d))"
+
+
+def _first_rate(key: str) -> str:
+    """The first numeric rate of a device, items in the order of the text."""
+    rate = (f"try_variant_get(try_element_at(try_variant_get(try_parse_json(e.value), '$', 'map<string,variant>'), "
+            f"{key}), '$[0]', 'variant')")
+    return (f"try_element_at(filter(transform(map_entries(from_json(p.t, 'map<string,string>')), e -> {_number(rate)}), "
+            "x -> x IS NOT NULL), 1)")
+
+
+DEVICE_SHARE = _let("'k', schema_of_variant(p.j)", "k",
+    f"CASE WHEN {_is_number('k.k')} THEN try_variant_get(p.j, '$', 'double') "
+    "WHEN k.k LIKE 'OBJECT%' THEN "
+    + _let(f"'dev', {_first_rate(_DEVICE)}, 'oth', {_first_rate(_text(OTHER_DEVICE))}", "s",
+           "CASE WHEN s.dev IS NOT NULL AND s.dev <> 0 THEN s.dev WHEN s.oth IS NOT NULL THEN s.oth ELSE s.dev END")
+    + " END")
 
 FUNCTIONS = {
     "data_pattern_flags": (
@@ -51,37 +111,10 @@ FUNCTIONS = {
         "map_from_arrays(CAST(array() AS ARRAY<STRING>), CAST(array() AS ARRAY<STRING>)))"),
     "revenue_share": (
         "terms STRING, d STRING, v DOUBLE", "DOUBLE",
-        "CASE WHEN " + _NUM.format(v="try_parse_json(terms)") + " THEN "
-        "try_variant_get(try_parse_json(terms), '$', 'double') "
-        "WHEN schema_of_variant(try_parse_json(terms)) LIKE 'ARRAY%' THEN "
-        "IF(v IS NULL, CAST(NULL AS DOUBLE), try_element_at(filter(try_variant_get("
-        "try_parse_json(terms), '$', "
-        "'array<struct<RANGE_LOWER:double,RANGE_UPPER:double,REVENUE_SHARE:double>>'), "
-        "x -> coalesce(x.RANGE_LOWER, 0D) <= v AND (x.RANGE_UPPER IS NULL OR x.RANGE_UPPER = 0 "
-        "OR x.RANGE_UPPER > v)), 1).REVENUE_SHARE) "
-        "WHEN schema_of_variant(try_parse_json(terms)) LIKE 'OBJECT%' THEN "
-        "CASE WHEN try_variant_get(try_parse_json(terms), concat('$[\"', upper(d), '\"]'), "
-        "'variant') IS NOT NULL THEN IF(" + _NUM.format(
-            v="try_variant_get(try_parse_json(terms), concat('$[\"', upper(d), '\"]'), 'variant')")
-        + ", try_variant_get(try_parse_json(terms), concat('$[\"', upper(d), '\"]'), 'double'), "
-        "CAST(NULL AS DOUBLE)) "
-        "WHEN try_variant_get(try_parse_json(terms), '$[\"(Others)\"]', 'variant') IS NULL THEN "
-        "try_variant_get(try_parse_json(terms), '$[\"(OTHERS)\"]', 'double') END END"),
+        _let("'j', try_parse_json(terms), 't', terms, 'd', d, 'v', v", "p", REVENUE_SHARE)),
     "revenue_share_device": (
         "terms STRING, d STRING", "DOUBLE",
-        "CASE WHEN " + _NUM.format(v="try_parse_json(terms)") + " THEN "
-        "try_variant_get(try_parse_json(terms), '$', 'double') "
-        "WHEN schema_of_variant(try_parse_json(terms)) LIKE 'OBJECT%' THEN "
-        "aggregate(array(struct("
-        "try_variant_get(try_element_at(filter(transform(map_entries(from_json(terms, "
-        "'map<string,string>')), e -> try_variant_get(try_parse_json(e.value), concat('$[\"', "
-        "IF(lower(d) IN ('phone', 'smart phones'), 'mobile', lower(d)), '\"][0]'), 'variant')), "
-        "x -> " + _NUM.format(v="x") + "), 1), '$', 'double') AS dev, "
-        "try_variant_get(try_element_at(filter(transform(map_entries(from_json(terms, "
-        "'map<string,string>')), e -> try_variant_get(try_parse_json(e.value), "
-        "'$[\"other\"][0]', 'variant')), x -> " + _NUM.format(v="x") + "), 1), '$', 'double') "
-        "AS oth)), CAST(NULL AS DOUBLE), (acc, s) -> CASE WHEN s.dev IS NOT NULL AND s.dev <> 0 "
-        "THEN s.dev WHEN s.oth IS NOT NULL THEN s.oth ELSE s.dev END) END"),
+        _let("'j', try_parse_json(terms), 't', terms, 'd', d", "p", DEVICE_SHARE)),
 }
 
 

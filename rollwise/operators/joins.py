@@ -1,25 +1,22 @@
-"""Joins whose broadcast side is checked, with a shuffled join beyond the bound.
+"""A derived side of a join, written once so that the planner knows its size.
 
-Catalyst's automatic broadcast uses size *estimates*. For registry tables
-(wide rows: arrays of names), an estimate can be far from the in-memory size.
-``sized_join`` counts the small side first (a cheap job over metadata). Under
-the bound it is broadcast. Above it the join is pinned to a sort-merge join,
-so a wrong estimate can never broadcast a large side.
+Catalyst chooses between broadcast and shuffled joins by size.  Of a derived
+side (an aggregate, a join) it has a guess only, and counting the side first
+would run it twice.  ``measured`` writes it to the shared folder and reads it
+back: it runs once, the planner sees the bytes it really has, a lost executor
+recomputes nothing, and a plain join then takes the form that fits, with AQE
+splitting skewed partitions where it is shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-# Registry rows are about 1 KB; 100,000 of them stay well under the
-# broadcast size a driver and executors handle comfortably.
-MAX_BROADCAST_ROWS = 100_000
+from ..session import fresh_path
 
 
-def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``big.join(small, on, how)``: broadcast ``small`` if its row count is
-    within ``max_rows``, else a shuffled sort-merge join."""
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small.hint("shuffle_merge"), on, how)
+def measured(df: DataFrame, name: str = "side") -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

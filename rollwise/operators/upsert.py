@@ -33,8 +33,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], measures: list[
 
     ``keys`` are target column names; ``key_map`` maps them to batch names
     when they differ.  Returns the full new content with the target's schema.
-    Keys are unique on both sides after aggregation, so the full outer join
-    is 1:1 and cannot skew on a hot key."""
+
+    The batch has one row per key; the target may have many (a batch coarser
+    than the target's rows updates them all).  So the update is a left join
+    on the target, whose partitions AQE can split when a key holds much of
+    the table, and the insert a left anti join against the target's distinct
+    keys, which partial aggregation brings down to one row a key and task."""
     key_map = key_map or {}
     tcols = target.columns
     types = dict((f.name, f.dataType) for f in target.schema.fields)
@@ -45,9 +49,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], measures: list[
             return norm_key(col)
         return col.cast(types[name])
 
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in tcols],
-                      *[key_expr(k, k).alias(f"tk{i}") for i, k in enumerate(keys)],
-                      F.lit(True).alias("_in_t"))
+    t_keys = [key_expr(k, k).alias(f"tk{i}") for i, k in enumerate(keys)]
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in tcols], *t_keys)
     bcols = [key_map.get(k, k) for k in keys] + [m for m in measures]
     b = batch.select(*[F.col(c).alias(f"b_{c}") for c in dict.fromkeys(bcols)],
                      *[key_expr(key_map.get(k, k), k).alias(f"bk{i}")
@@ -56,21 +59,19 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], measures: list[
     if not keys:
         # All dims masked (Q18): the batch is one global row, and an empty ON
         # clause matches every target row: all of them take its measures.
+        t_keys = [F.lit(1).alias("tk0")]
         t, b = t.withColumn("tk0", F.lit(1)), b.withColumn("bk0", F.lit(1))
     cond = [F.col(f"tk{i}").eqNullSafe(F.col(f"bk{i}")) for i in range(max(1, len(keys)))]
-    j = t.join(b, on=cond, how="full_outer")
-    in_t, in_b = F.col("_in_t").isNotNull(), F.col("_in_b").isNotNull()
-    out = []
-    for c in tcols:
-        if c in measures:
-            v = F.when(in_b, F.col(f"b_{c}").cast(types[c])).otherwise(F.col(f"t_{c}"))
-        elif c in keys:
-            v = F.when(in_t, F.col(f"t_{c}")).otherwise(
-                F.col(f"b_{key_map.get(c, c)}").cast(types[c]))
-        else:
-            v = F.when(in_t, F.col(f"t_{c}"))
-        out.append(v.alias(c))
-    return j.select(*out)
+    hit = F.col("_in_b").isNotNull()
+    updated = t.join(b, on=cond, how="left").select(*[
+        (F.when(hit, F.col(f"b_{c}").cast(types[c])).otherwise(F.col(f"t_{c}")) if c in measures
+         else F.col(f"t_{c}")).alias(c) for c in tcols])
+    present = target.select(*t_keys).distinct()
+    inserted = b.join(present, on=cond, how="left_anti").select(*[
+        (F.col(f"b_{c}").cast(types[c]) if c in measures
+         else F.col(f"b_{key_map.get(c, c)}").cast(types[c]) if c in keys
+         else F.lit(None).cast(types[c])).alias(c) for c in tcols])
+    return updated.unionByName(inserted)
 
 
 def range_predicate(col: Column, start: dt.datetime, minutes: int) -> Column:
@@ -114,11 +115,11 @@ def update_from(df: DataFrame, changes: DataFrame, on: list[str],
     """``UPDATE df SET c = changes.v FROM changes WHERE df.k = changes.k``.
 
     ``changes`` must have at most one row per key (aggregate it first); the
-    left join keeps every base row and its partitioning."""
-    from .joins import sized_join
+    left join keeps every base row, and AQE picks its form from the sizes
+    that the shuffled sides turn out to have.  No side runs before it."""
     ch = changes.select(*on, *[F.col(v).alias(f"_new_{c}") for c, v in assignments.items()],
                         F.lit(True).alias("_hit"))
-    j = sized_join(df, ch, on, "left")
+    j = df.join(ch, on, "left")
     cols = []
     for c in df.columns:
         if c in assignments:
@@ -180,7 +181,9 @@ def upsert_registry(current: DataFrame, incoming: DataFrame, keys: list[str],
         else:
             cols.append(F.when(F.col("_in").isNotNull(), F.col(c))
                         .otherwise(F.col(f"c_{c}")).alias(c))
-    merged = j.select(*cols, F.col(f"c_{id_col}").isNull().alias("_new"))
+    from .joins import measured
+    # Written: the old rows and the new ones are both read from one join.
+    merged = measured(j.select(*cols, F.col(f"c_{id_col}").isNull().alias("_new")), "registry")
     old = merged.where(~F.col("_new")).drop("_new")
     new = merged.where(F.col("_new")).drop("_new", id_col)
     # The current maximum id is one scalar; new ids continue after it.

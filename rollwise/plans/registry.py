@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.pattern import mapping_sources
 from ..functions.timegrid import EPOCH, add_minutes, floor_minutes, minute_diff, trunc, ts_lit
-from ..operators.joins import sized_join
 from ..operators.upsert import update_from, update_where
 
 CHUNK_BLOCK = 4096  # chunks per generated array; bounds the per-row array size
@@ -41,9 +40,9 @@ def effective_sources(targets: DataFrame, sources: DataFrame, mode: str | None =
     t = targets.select("target_table", "batch_control_column", "batch_control_size",
                        "batch_control_next", "batch_schedule_type", "groupby_pattern",
                        "groupby_flexible")
-    # One row per target: broadcast when the registry is small, else shuffled.
-    j = sized_join(s.select("target_table", "source_table", "source_enabled", "pattern_default",
-                            "transformation"), t, "target_table")
+    # One row per target; a target with many sources is a skewed key that AQE splits.
+    j = s.select("target_table", "source_table", "source_enabled", "pattern_default",
+                 "transformation").join(t, "target_table")
     eff = F.col("groupby_pattern").bitwiseOR(F.coalesce(F.col("pattern_default"), F.lit(0)))
     return (j.withColumn("effective_pattern", eff)
             .withColumn("compatible",
@@ -112,7 +111,7 @@ def watermark_candidates(targets: DataFrame, sources: DataFrame) -> DataFrame:
            .agg(F.min("data_availabletime").alias("_rw_min_avail"),
                 F.max(F.col("data_availabletime").isNull().cast("int")).alias("_rw_missing")))
     t = targets.select("target_table", "batch_processed")
-    j = sized_join(t, agg, "target_table")
+    j = t.join(agg, "target_table")
     new = F.when(F.col("_rw_missing") == 1,
                  F.least(F.col("_rw_min_avail"), F.col("batch_processed"))) \
         .otherwise(F.col("_rw_min_avail"))
@@ -134,7 +133,7 @@ def advance_watermark(targets: DataFrame, sources: DataFrame,
     if which is None:
         return update_where(upd, F.lit(True), clear)
     flag = which.select("target_table").distinct().withColumn("_rw_sel", F.lit(True))
-    j = sized_join(upd, flag, "target_table", "left")
+    j = upd.join(flag, "target_table", "left")
     return update_where(j, F.col("_rw_sel"), clear).drop("_rw_sel").select(*targets.columns)
 
 
@@ -143,7 +142,7 @@ def start_run(targets: DataFrame, due: DataFrame, now) -> DataFrame:
     last schedule = now, for the due targets only."""
     d = due.select("target_table", F.col("batch_loop_end").alias("_rw_end"),
                    F.lit(True).alias("_rw_due"))
-    j = sized_join(targets, d, "target_table", "left")
+    j = targets.join(d, "target_table", "left")
     out = update_where(j, F.col("_rw_due"), {
         "batch_processing": F.col("_rw_end"),
         "batch_schedule_last": _now(now)})
@@ -166,8 +165,7 @@ def source_availability(sources: DataFrame, latest: DataFrame, targets: DataFram
     ``groupBy(...).agg(max(...))``; map-side partial aggregation keeps a hot
     source cheap).  Sources without data keep their value."""
     sizes = targets.select("target_table", "batch_control_size")
-    upd = (sized_join(latest, sources.select("target_table", source_key), source_key)
-           .transform(lambda df: sized_join(df, sizes, "target_table"))
+    upd = (sources.select("target_table", source_key).join(latest, source_key).join(sizes, "target_table")
            .select("target_table", source_key,
                    floor_minutes(F.col("latest_ts"), F.col("batch_control_size").cast("int"),
                                  EPOCH).alias("_rw_avail")))

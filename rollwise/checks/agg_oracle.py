@@ -81,6 +81,13 @@ SQL = {
                       "('purchase', 'P', 3.0), ('signup', 'S', 2.0)) AS v(event_type, code, weight) "
                       "ON v.event_type = e.event_type"),
     "merge_upsert": UPSERT_BASE + _merge("tgt"),
+    "coarse_upsert": (
+        "WITH b AS (SELECT CASE l_returnflag WHEN 'A' THEN 'Z' WHEN 'R' THEN '' ELSE l_returnflag END AS flag, "
+        "CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty, count(*) AS n FROM lineitem GROUP BY 1) "
+        "SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'R') AS flag, l_linestatus, "
+        "CASE WHEN b.n IS NULL THEN CAST(l_quantity AS BIGINT) ELSE b.qty END AS qty, coalesce(b.n, 1) AS n "
+        "FROM lineitem LEFT JOIN b ON b.flag = coalesce(nullif(l_returnflag, 'R'), '') "
+        "UNION ALL SELECT NULL, NULL, flag, NULL, qty, n FROM b WHERE flag = 'Z'"),
     "purge_range": (UPSERT_BASE + "SELECT data_dt, data_a1, s1 AS vsum_i1, c2 AS vcnt_i2, "
                     "CAST(s3 AS DOUBLE) / 100 AS vsum_d1, CAST(a4 AS DOUBLE) / 100 AS vavg_d2 "
                     "FROM kept"),

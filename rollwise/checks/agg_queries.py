@@ -248,6 +248,21 @@ def q_replace_chunk(spark, sf_dir):
                                 dt.datetime(2024, 1, 13)))
 
 
+def q_coarse_upsert(spark, sf_dir):
+    """A batch coarser than the target: every lineitem row is a target row,
+    the batch has one row per return flag (each a third of the table or
+    more) and overwrites the measures of all rows of its flag; flag A is
+    not in the batch, flag Z not in the target (M1, J2 as 1:N)."""
+    li = catalog(spark, sf_dir).table("lineitem")
+    target = li.select("l_orderkey", "l_linenumber", F.nullif("l_returnflag", F.lit("R")).alias("flag"),
+                       "l_linestatus", F.col("l_quantity").cast("bigint").alias("qty"),
+                       F.lit(1).cast("bigint").alias("n"))
+    flag = F.col("l_returnflag")
+    batch = (li.groupBy(F.when(flag == "A", "Z").when(flag == "R", "").otherwise(flag).alias("flag"))
+             .agg(F.nullif(F.sum(F.col("l_quantity").cast("bigint")), F.lit(0)).alias("qty"), F.count("*").alias("n")))
+    return upsert(target, batch, ["flag"], ["qty", "n"])
+
+
 # ---- row patterns ----------------------------------------------------------------
 
 def q_pattern_rows(spark, sf_dir):
@@ -281,6 +296,7 @@ QUERIES = {
     "copy_columns": q_copy_columns,
     "inline_values": q_inline_values,
     "merge_upsert": q_merge_upsert,
+    "coarse_upsert": q_coarse_upsert,
     "purge_range": q_purge_range,
     "replace_chunk": q_replace_chunk,
     "pattern_rows": q_pattern_rows,

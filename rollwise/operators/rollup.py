@@ -10,8 +10,8 @@ key follows when the coarser mask holds all bits of the finer one, as
 merged (COUNT DISTINCT, free expressions) is aggregated on its own, so its
 distinct values never multiply the rows of the others.
 
-The branches share the source's scan columns; where a parent's aggregate is
-both an answer and the input of a child, Spark reuses its exchange.
+A parent's states, both an answer and the input of its children, are written
+once to the shared folder.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..specs import SourceSpec, TargetSpec
 from .aggregate import aggregate_exprs, key_exprs, plan_source
+from .joins import measured
 
 # One mergeable aggregate call within a template; the rest of the template is
 # applied to its result.
@@ -136,12 +137,15 @@ def rollup_targets(df: DataFrame, targets: list[TargetSpec], source: SourceSpec,
     dims = list(dict.fromkeys(d for t in targets for d in t.dims[0]))
     measures = list(dict.fromkeys(m for t in targets for m in t.measures[0]))
     parts, kept = {}, set()
-    for n in lattice(df, targets, source, names):
+    nodes = lattice(df, targets, source, names)
+    for n in nodes:
         if n.measures is None:
             rows = df.groupBy(*n.exprs).agg(*aggregate_exprs(n.target))
             values = {m: F.col(m) for m in n.target.measures[0]}
         else:
             rows = n.frame = _aggregated(df, n)
+            if any(c.parent is n for c in nodes):  # an answer and an input: written, so it runs once
+                rows = n.frame = measured(rows, "states")
             values = {m: x.value() for m, x in n.measures.items()}
         kept |= set(n.keys)
         parts[n.name] = rows.select(F.lit(n.name).alias("target_table"), *n.keys, *[v.alias(m) for m, v in values.items()])

@@ -98,16 +98,21 @@ class ZoneMap:
             return False
         folder = self._folder(resolved, target, source)
         known = self._known(folder)
-        fresh = listing.join(known.select(*_FILE), _FILE, "left_anti").collect()  # a row per new file
-        if fresh:
-            if known.limit(1).count():
-                resolved = resolve_source(self._only(catalog, source.source_table, [r.file for r in fresh]), source)
+        aliens = known.where("alien").select(*_FILE, F.lit(True).alias("alien")).limit(1)
+        found = (listing.join(known.select(*_FILE), _FILE, "left_anti").withColumn("alien", F.lit(False))
+                 .unionByName(aliens).collect())  # a row per new file
+        if any(r.alien for r in found):
+            return False
+        if fresh := [(r.file, r.size, r.modified) for r in found]:
+            if listing.count() > len(fresh):
+                resolved = resolve_source(self._only(catalog, source.source_table, [f for f, _, _ in fresh]), source)
             rows = self.spark.createDataFrame(fresh, "file string, size bigint, modified timestamp")
             zones = self._zones(resolved, target, source)
             (rows.join(zones.withColumn("_zone", F.lit(True)), "file", "full_outer")
              .select(*_FILE, "lo", "hi", "off_lo", "off_hi", "no_raw",
                      F.col("size").isNull().alias("alien")).coalesce(1).write.mode("append").parquet(folder))
-        return self._known(folder).where("alien").limit(1).count() == 0
+            return self._known(folder).where("alien").limit(1).count() == 0
+        return True
 
     @staticmethod
     def _zones(resolved: DataFrame, target: TargetSpec, source: SourceSpec) -> DataFrame:
@@ -125,18 +130,18 @@ class ZoneMap:
                 .agg(F.min(t).alias("lo"), F.max(t).alias("hi"), *offsets))
 
     def _current(self, catalog: Catalog, target: TargetSpec, source: SourceSpec) -> DataFrame | None:
-        """Listed files with their zones (``lo`` and ``hi`` null, ``alien`` null: not known)."""
+        """Listed files with their zones (``seen`` null: not known), and a row
+        with ``alien`` when the map proves nothing."""
         base = catalog.table(source.source_table)
         listing, resolved = self._listing(base), resolve_source(catalog, source)
         if listing is None or not self._read_once(base, resolved):
             return None
         known = self._known(self._folder(resolved, target, source))
-        if known.where("alien").limit(1).count():
-            return None
-        zones = known.groupBy(*_FILE).agg(  # two refreshes at a time may add a file twice
+        zones = known.where("not alien").groupBy(*_FILE).agg(  # two refreshes at a time may add a file twice
             F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("off_lo").alias("off_lo"),
             F.max("off_hi").alias("off_hi"), F.max("no_raw").alias("no_raw"), F.lit(True).alias("seen"))
-        return listing.join(zones, _FILE, "left")
+        return listing.join(zones, _FILE, "left").withColumn("alien", F.lit(False)).unionByName(
+            known.where("alien").limit(1).select("alien"), allowMissingColumns=True)
 
     def narrowed(self, catalog: Catalog, target: TargetSpec, source: SourceSpec,
                  lo: dt.datetime, hi: dt.datetime) -> Narrowed:
@@ -146,8 +151,10 @@ class ZoneMap:
         if current is None:
             return Narrowed(catalog, None, None)
         meets = (F.col("hi") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("lo") < F.lit(hi).cast("timestamp_ntz"))
-        rows = current.where(F.col("seen").isNull() | meets).select(
-            "file", "off_lo", "off_hi", "no_raw").collect()  # a row per file to read
+        rows = current.where(F.col("alien") | F.col("seen").isNull() | meets).select(
+            "file", "off_lo", "off_hi", "no_raw", "alien").collect()  # a row per file to read
+        if any(r.alien for r in rows):
+            return Narrowed(catalog, None, None)
         proven = all(r.off_lo is not None and r.no_raw == 0 for r in rows) and rows
         offsets = (min(r.off_lo for r in rows), max(r.off_hi for r in rows)) if proven else None
         return Narrowed(self._only(catalog, source.source_table, [r.file for r in rows]), offsets, len(rows))
@@ -157,5 +164,5 @@ class ZoneMap:
         None: the source has no (complete) map."""
         current = self._current(catalog, target, source)
         if current is None or current.where("seen is null").limit(1).count():
-            return None
+            return None  # an alien row is not seen either
         return current.agg(F.max("hi").alias("latest_ts"))

@@ -288,8 +288,10 @@ def _utf8_text(data: bytes) -> bytes:
 
 
 def encoded(docs: DataFrame, path: str, *carried: str, keep_ids: bool = False) -> DataFrame:
-    """carried columns, n_tokens, ids_sha256, decoded_sha256 (and ids) of each text."""
+    """carried columns, n_tokens, ids_sha256, decoded_sha256 (and ids) of each
+    text; a carried column of one of these names is left out."""
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+    carried = [c for c in carried if c not in ("n_tokens", "ids_sha256", "decoded_sha256", *(("ids",) if keep_ids else ()))]
     fields = [f for f in docs.select(*carried).schema]
     vocab = Vocabulary(path)
 

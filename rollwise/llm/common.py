@@ -7,7 +7,7 @@ follows the slice, not the Arrow batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,18 @@ def removed(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: The columns of documents that operators read and pass on by name.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def beside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], core: tuple[str, ...] = DOCUMENT) -> DataFrame:
+    """``stage(docs)`` while all columns but ``core`` bear other names, so none
+    clashes with a column that the stage makes; returns the columns of ``docs``."""
+    own = [c if c in core else f"_beside{i}" for i, c in enumerate(docs.columns)]
+    out = stage(docs.select(*[docs[f"`{c}`"].alias(a) for c, a in zip(docs.columns, own)]))
+    return out.select(*[F.col(a).alias(c) for c, a in zip(docs.columns, own)])
+
+
 def text_or_empty(col: Column | str = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -8,7 +8,8 @@ task and texts are scored as sparse count rows times that matrix, in numpy.
 Letters are lower-cased, every other character is a boundary sign.
 A null text, or one without letters, is ``und`` with score 0; so is every
 text when nothing can be learned.  Rows with null lang teach nothing.  The
-score is the posterior of the language named.  Equal texts get equal rows.
+score is the posterior of the language named; of equal posteriors the first
+language by name.  Equal texts get equal rows.
 Only doc_id, text and lang of the input are read.
 """
 
@@ -22,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollwise.llm.common import slices, utf8
+from rollwise.llm.common import beside, slices, utf8
 
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3, 4)
@@ -31,16 +32,17 @@ SMOOTHING = 0.5
 LEAST_SCORE = 0.5
 
 
+def _letter(point: int) -> int:
+    """Lower-case code point of a letter, 0 of any other character."""
+    c = chr(point) if point < 0x110000 else ""
+    low = c.lower()
+    return 0 if not c.isalpha() else ord(low) if len(low) == 1 else point
+
+
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Lower-case code point of each letter of the basic plane, else 0."""
-    out = np.zeros(1 << 16, np.uint32)
-    for i in range(1 << 16):
-        c = chr(i)
-        if c.isalpha():
-            low = c.lower()
-            out[i] = ord(low) if len(low) == 1 else i
-    return out
+    """``_letter`` of the basic plane."""
+    return np.array([_letter(i) for i in range(1 << 16)], np.uint32)
 
 
 def letters_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +51,9 @@ def letters_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     table = _letters()
     x = table[np.minimum(points, len(table) - 1)]
     if len(points) and points.max() >= len(table):
-        x = np.where(points < len(table), x, points)
+        beyond = np.flatnonzero(points >= len(table))
+        each, where = np.unique(points[beyond], return_inverse=True)
+        x[beyond] = np.array([_letter(int(p)) for p in each], np.uint32)[where]
     return x, np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[off]
 
 
@@ -166,8 +170,9 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose language is recognised."""
+    """Rows of ``docs`` whose language is recognised; other columns, of any
+    names, pass."""
     out = held_out(4, 2)
     model = train(docs.where(~out & F.col("doc_id").isNotNull()).select("text", "lang"))
-    kept = predict(docs, model, *[c for c in docs.columns])
-    return kept.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    return beside(docs, lambda rows: predict(rows, model, *rows.columns).where(
+        (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)))

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollwise.llm.common import saved
+from rollwise.llm.common import beside, saved
 
 MAX_CELLS, MAX_CHARS = 100_000, 1 << 25
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 1.0}
@@ -249,6 +249,10 @@ def mix(docs: DataFrame, weights: dict[str, dict[str | None, float]] | None = No
 
 
 def sampled(docs: DataFrame, weights: dict[str, dict[str | None, float]] | None = None, keep: float = KEEP) -> DataFrame:
-    """The documents kept, with their own columns."""
-    rows = placed(docs)
-    return _judged(rows, *cells(rows, weights, keep)).where(F.col("_u") < F.col("probability")).select(*docs.columns)
+    """The documents kept, with their own columns, of any names."""
+
+    def drawn(docs: DataFrame) -> DataFrame:
+        rows = placed(docs)
+        return _judged(rows, *cells(rows, weights, keep)).where(F.col("_u") < F.col("probability"))
+
+    return beside(docs, drawn)

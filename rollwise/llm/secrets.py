@@ -7,10 +7,14 @@ capitals, distinct characters, letter trigrams found in the dictionary (those
 common in the corpus's own long alphabetic words), words of the path (the
 source) and the words before and after.
 *Labelled findings* train the forest: given ones (text key, position, label),
-or findings labelled by plain rules, an assignment to a credential's name
-against words of letters only and figures only.  Each is seen twice, once
-without its neighbours, so that a bare secret is known by its characters.
+or findings labelled by plain rules.  Secrets are mixed characters assigned to
+a credential's name, and tokens of a published credential format.  Others are
+words of letters or figures only, and what is named by nothing and looks like
+a digest, a UUID, a path, a version or encoded data.  Each is seen twice more
+without its neighbours: as itself, which is then no secret (characters alone
+don't tell a key from a digest), and as one of a published format, which is.
 At most ``TRAIN_ROWS`` findings are used, the smallest by hash.
+Equal scores at ``CUT`` are secrets.
 
 DataFrame functions and Spark's own forest only.  Null and empty texts have
 no findings; repeated rows have theirs each.  Without findings of both kinds
@@ -25,7 +29,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollwise.llm.common import bind, saved, words_col
+from rollwise.llm.common import beside, bind, saved, words_col
 
 LEAST = 16
 TRAIN_ROWS = 20_000
@@ -45,7 +49,14 @@ VALUES = (r"""\\+"([^"\\\n]++)\\+\"""" + r"""|"((?:[^"\\\n]|\\.)++)\"""" + r"""|
 ASSIGNED = f"{HEAD}(?:{VALUES})"
 MASK = "[SECRET]"
 FEATURES = ("length", "changes", "digits", "capitals", "distinct", "coverage", "hexadecimal", "example_path", "named", "assigned",
-            "quoted", "example_word")
+            "quoted", "example_word", "format")
+#: Published formats of credentials.
+FORMATS = (r"^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_\-]{20,}|xox[abprs]-[A-Za-z0-9\-]{10,}|"
+           r"AIza[0-9A-Za-z_\-]{35}|sk-[A-Za-z0-9_\-]{20,}|sk_live_[A-Za-z0-9]{16,}|"
+           r"eyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+)$")
+#: What mixed characters without a credential's name mostly are: digests, UUIDs, paths, versions, encoded data.
+HARMLESS = (r"^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})$|"
+            r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|/[^/]*/|[A-Za-z][._\-]v?\d+\.\d+|^.{200}")
 
 
 def findings(docs: DataFrame) -> DataFrame:
@@ -133,13 +144,15 @@ def featured(found: DataFrame, known: list[int]) -> DataFrame:
         "named": around.rlike(NAMES).cast("double"),
         "assigned": ((F.col("run") < 0) | text.rlike("[=:]") | F.col("word").rlike(r"[A-Za-z]\s*[=:]\s*[\"']?")).cast("double"),
         "quoted": F.col("word").rlike("[\"'`]").cast("double"),
-        "example_word": F.concat_ws(" ", "before", "after").rlike(EXAMPLES).cast("double")})
+        "example_word": F.concat_ws(" ", "before", "after").rlike(EXAMPLES).cast("double"),
+        "format": token.rlike(FORMATS).cast("double")})
 
 
 def rule_label() -> Column:
     """1, 0 or null (the rules don't tell) of a featured finding."""
     mixed = F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")
-    return (F.when(mixed & (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("example_word") == 0), 1.0)
+    return (F.when((F.col("format") == 1) | (mixed & (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("example_word") == 0)), 1.0)
+            .when((F.col("named") == 0) & F.col("token").rlike(HARMLESS), 0.0)
             .when(F.col("token").rlike(r"^[A-Za-z.\-_=+/]+$") | F.col("token").rlike(r"^[0-9.\-_=+/]+$"), 0.0))
 
 
@@ -152,7 +165,9 @@ def forest(rows: DataFrame):
     kinds = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(kinds) < 2:
         return None
-    alone = sample.withColumns({c: F.lit(0.0) for c in ("named", "assigned", "quoted", "example_word")})
+    bare = sample.withColumns({c: F.lit(0.0) for c in ("named", "assigned", "quoted", "example_word")})
+    alone = bare.withColumns({"format": F.lit(0.0), "label": F.lit(0.0)}).unionByName(
+        bare.where("label = 1").withColumn("format", F.lit(1.0)))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxBins=64).fit(
         vectors.transform(sample.unionByName(alone).select("label", *FEATURES)))
@@ -181,6 +196,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in text replaced by ``MASK``; no row goes."""
+    return beside(docs, _masked)
+
+
+def _masked(docs: DataFrame) -> DataFrame:
     long_first = lambda name: F.array_sort(name, lambda a, b: F.length(b) - F.length(a))
     of = lambda run: F.collect_set(F.when(run, F.col("token")))
     secrets = (scan(docs).where("is_secret").groupBy("key").agg(of(F.col("run") >= 0).alias("_tokens"), of(F.col("run") < 0).alias("_values"))

@@ -36,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rollwise.llm.common import U64, mix64, saved, slices, stream, utf8, word_hashes
+from rollwise.llm.common import U64, beside, mix64, removed, saved, slices, stream, utf8, word_hashes
 
 COORDS = 32
 MATCHES = 14
@@ -157,7 +157,7 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links among candidate pairs: first sizes and the collision count of the
+    """Written links among candidate pairs: first sizes and the collision count of the
     whole signatures (the lists that were skipped), then the full sets."""
     known = nodes.select("node", "n", "tokens")
     hits = F.size(F.filter(F.zip_with("at", "bt", lambda x, y: x == y), lambda z: z))
@@ -167,8 +167,10 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int,
                  .select("a", "b"), "near")
     ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
     sets = _full_sets(texts, nodes.select("node", "doc_id").join(ends, "node", "left_semi"), width)
-    return _similar(near.join(sets.select(F.col("node").alias("a"), F.col("members").alias("am")), "a")
-                    .join(sets.select(F.col("node").alias("b"), F.col("members").alias("bm")), "b"), percent)
+    links = saved(_similar(near.join(sets.select(F.col("node").alias("a"), F.col("members").alias("am")), "a")
+                           .join(sets.select(F.col("node").alias("b"), F.col("members").alias("bm")), "b"), percent), "links")
+    removed(near, sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -179,7 +181,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = saved(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
                  "edges")
-    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels")
+    labels = last = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels")
     while True:
         step = (both.join(labels.select(F.col("node").alias("b"), F.col("root").alias("r")), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
@@ -188,8 +190,10 @@ def components(edges: DataFrame) -> DataFrame:
         new = saved(step.join(up, "r", "left")
                     .select("node", F.least("r", F.coalesce("up", "r")).alias("root"), "old"), "labels")
         moved = new.where(F.col("root") != F.col("old")).limit(1).count()
-        labels = new.select("node", "root")
+        removed(last)
+        labels, last = new.select("node", "root"), new
         if not moved:
+            removed(both)
             return labels
 
 
@@ -285,7 +289,7 @@ def _compare_block(percent: int):
 
 
 def _rest(lists: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """All cross-component pairs of the open lists, block against block: first
+    """Written links of all cross-component pairs of the open lists, block against block: first
     by signatures, which leaves few nodes, then these by full sets."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("int")
@@ -297,8 +301,10 @@ def _rest(lists: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, perc
     left = saved(dealt.join(known, "node").groupBy("token", "lo", "hi")
                  .applyInArrow(_candidates(percent), "token long, lo int, hi int, node long, side int"), "left")
     sets = _full_sets(texts, nodes.select("node", "doc_id").join(left.select("node"), "node", "left_semi"), width)
-    return (left.join(known, "node").join(sets, "node").groupBy("token", "lo", "hi")
-            .applyInArrow(_compare_block(percent), "a long, b long"))
+    links = saved(left.join(known, "node").join(sets, "node").groupBy("token", "lo", "hi")
+                  .applyInArrow(_compare_block(percent), "a long, b long"), "links")
+    removed(left, sets)
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -310,11 +316,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = (sigs.where("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")))
     nodes = saved(nodes, "nodes")
+    # What later steps read of all documents is narrow; wide tables go once they are read.
+    rows = saved(sigs.select("doc_id", "text_key", "n", "node"), "rows")
+    removed(sigs)
 
-    core = saved(_core(nodes.select("node", F.explode("tokens").alias("token"))), "core")
-    core = saved(_core(core.select("node", F.explode("shared").alias("token"))), "core")
+    first = saved(_core(nodes.select("node", F.explode("tokens").alias("token"))), "core")
+    core = saved(_core(first.select("node", F.explode("shared").alias("token"))), "core")
+    removed(first)
     posted = core.select("node", F.slice("shared", F.lit(1), F.size("shared") - (MATCHES - 1)).alias("prefix"))
     involved = saved(nodes.join(posted, "node"), "involved")
+    held = saved(nodes.select("node", "doc_id"), "held")
+    removed(core, nodes)
     lists = (involved.select("node", F.explode("prefix").alias("token"))
              .withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1"))
     lists = saved(lists, "lists")
@@ -325,16 +337,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         led = saved(lists.join(tops, "token"), "led")
         pairs = (led.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
                  .distinct())
-        found = saved(_confirmed(pairs, involved, texts, width, percent), "links")
+        found = _confirmed(pairs, involved, texts, width, percent)
         links = found if links is None else links.union(found).distinct()
         roots = _merge(roots, found)
-        lists = saved(_open_lists(led.where("node <> leader").drop("leader"), roots), "lists")
-    roots = _merge(roots, saved(_rest(lists, involved, texts, width, percent), "links"))
+        done, lists = lists, saved(_open_lists(led.where("node <> leader").drop("leader"), roots), "lists")
+        removed(done, led)
+    roots = _merge(roots, _rest(lists, involved, texts, width, percent))
+    removed(lists, involved)
 
-    least = (roots.join(nodes.select("node", "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    of_node = (nodes.select("node", F.col("doc_id").alias("own")).join(roots, "node", "left").join(least, "root", "left")
+    least = (roots.join(held, "node").groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    of_node = (held.select("node", F.col("doc_id").alias("own")).join(roots, "node", "left").join(least, "root", "left")
                .select("node", F.coalesce("component_id", "own").alias("component_id")))
-    out = sigs.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "node").join(of_node, "node", "left")
+    out = rows.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "node").join(of_node, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")
@@ -347,6 +361,10 @@ def without_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     doc_id, of rows that share it the one of least text hash.  Rows without
     doc_id stay unless their texts are near another's; rows alike in doc_id
     and text are one."""
+    return beside(docs, lambda rows: _without_duplicates(rows, width, percent))
+
+
+def _without_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     judged = near_duplicates(docs, width, percent).where("kept")
     one = F.min("text_key").over(Window.partitionBy("component_id", F.when(F.col("component_id").isNull(), F.col("text_key"))))
     chosen = (judged.withColumn("one", one).where("text_key = one")

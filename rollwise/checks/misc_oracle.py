@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..sources import generator
 from .fixtures import CATEGORY_JSON, NESTED_A, NESTED_B, TIER_JSON
 from .oracle import KEYS_2
 from .sqlparts import measures_1, u_events_sql
@@ -17,7 +18,41 @@ def _round_grid(n: int) -> str:
             f"TIMESTAMP '2000-01-01 00:00:00', ts) / {n}) * {n} AS BIGINT))")
 
 
+
+def _mixed(row: str, seed: int) -> str:
+    """The generator's mix, step by step."""
+    prime, (a, *rest) = generator.PRIME, generator.MULTIPLIERS
+    x = f"((({row}) * {a} + {seed * 7919 + 12345}) % {prime})"
+    for m in rest:
+        x = f"((({x} % 65536) * 32768 + {x} // 65536) * {m} + {seed}) % {prime}"
+        x = f"({x})"
+    return x
+
+
+def _uniform(seed: int, low: int, high: int, row: str = "r") -> str:
+    return f"({low} + {_mixed(row, seed)} % {high - low + 1})"
+
+
+def _letters(seed: int, length: str) -> str:
+    return (f"substr(array_to_string(list_transform(range(1, 27), lambda k: chr(CAST(97 + {_mixed('r * 32 + k', seed)} % 26 AS INTEGER))), ''), "
+            f"1, CAST({length} AS INTEGER))")
+
+
+SYNTH = f"""
+WITH g AS (SELECT r AS row_no, TIMESTAMP '2024-01-31 00:00:00' - to_minutes({_uniform(1, 1, 50000)}) AS data_ts,
+  CAST(1 AS BIGINT) AS data_i1, {_uniform(11, 0, 15)} AS data_i2, nullif({_uniform(111, 0, 15)}, 0) AS data_i3,
+  {_letters(2, _uniform(22, 1, 10))} AS data_a1, {_letters(3, _uniform(33, 0, 9))} AS data_a2,
+  nullif({_letters(4, _uniform(44, 0, 10))}, '') AS data_a3, {_uniform(10, 0, 50)} AS value_i1,
+  CAST({_uniform(15, 0, 1500)} AS DOUBLE) / 10 AS value_d1
+  FROM range((SELECT count(*) FROM events)) AS t(r))
+SELECT CAST((CASE WHEN hour(data_ts) = 0 THEN 128 ELSE 0 END)
+  + (CASE WHEN data_i2 = 0 THEN 16 ELSE 0 END) + (CASE WHEN data_i3 IS NULL THEN 8 ELSE 0 END)
+  + (CASE WHEN data_a1 = '' THEN 4 ELSE 0 END) + (CASE WHEN data_a2 = '' THEN 2 ELSE 0 END)
+  + (CASE WHEN data_a3 IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS data_pt, * FROM g
+"""
+
 SQL = {
+    "synth_source": SYNTH,
     "tier_rate_join": (
         "SELECT l.l_orderkey, l.l_linenumber, l.l_extendedprice, "
         f"(SELECT CAST(arg_min(rate, tier_no) AS DOUBLE) FROM {TIERS} WHERE t.lo <= "

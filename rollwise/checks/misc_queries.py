@@ -12,6 +12,7 @@ from ..functions.timegrid import (BASE_2000, EPOCH, add_minutes, floor_minutes,
                                   round_minutes, trunc, ts_lit)
 from ..operators.rates import category_rate_join, device_rate_join, tier_rate_join
 from ..session import fresh_path
+from ..sources import generator
 from ..sources.catalog import inline_values
 from ..sources.unified import u_events
 from ..streaming.continuous import run_stream
@@ -162,29 +163,20 @@ def q_null_scalars(spark, sf_dir):
 
 # ---- generated source and continuous load -------------------------------------------
 
-def _u(seed: int, col="event_id"):
-    return F.xxhash64(F.col(col), F.lit(seed))
-
-
 def q_synth_source(spark, sf_dir):
-    """One demo-source row per events row (S4, F18), seeded by key so a
-    recomputed partition gives the same rows; pattern set before the write
-    (P13); written as a replaced table, clustered by pattern (S5, O2)."""
-    ev = catalog(spark, sf_dir).table("events").select("event_id", "ts")
-    base = ev.select(
-        F.timestamp_add("MINUTE", -(F.pmod(_u(1), F.lit(50000)) + 1), F.col("ts"))
-        .alias("data_ts"),
-        F.lit(1).cast("bigint").alias("data_i1"),
-        F.pmod(_u(11), F.lit(16)).alias("data_i2"),
-        F.nullif(F.pmod(_u(111), F.lit(16)), F.lit(0)).alias("data_i3"),
-        F.substring(F.sha2(F.col("event_id").cast("string"), 256), 1,
-                    (F.pmod(_u(2), F.lit(10)) + 1).cast("int")).alias("data_a1"),
-        F.substring(F.sha2(F.col("event_id").cast("string"), 224), 1,
-                    F.pmod(_u(3), F.lit(10)).cast("int")).alias("data_a2"),
-        F.nullif(F.substring(F.sha2(F.col("event_id").cast("string"), 384), 1,
-                             F.pmod(_u(4), F.lit(11)).cast("int")), F.lit("")).alias("data_a3"),
-        F.pmod(_u(10), F.lit(51)).alias("value_i1"),
-        (F.pmod(_u(15), F.lit(1501)) / 10).alias("value_d1"))
+    """The demo source (S4, F18): as many generated rows as ``events`` has,
+    each value a hash of the row's number; pattern set before the write
+    (P13); written as a replaced table (S5) in order of pattern and time
+    within its files (O2).  The table is written twice: the second replaces."""
+    row = F.col("row_no")
+    base = generator.rows(spark, catalog(spark, sf_dir).table("events")).select(
+        "row_no", add_minutes(ts_lit(dt.datetime(2024, 1, 31)), (-generator.uniform(row, 1, 1, 50000)).cast("int")).alias("data_ts"),
+        F.lit(1).cast("bigint").alias("data_i1"), generator.uniform(row, 11, 0, 15).alias("data_i2"),
+        F.nullif(generator.uniform(row, 111, 0, 15), F.lit(0)).alias("data_i3"),
+        generator.text(row, 2, generator.uniform(row, 22, 1, 10)).alias("data_a1"),
+        generator.text(row, 3, generator.uniform(row, 33, 0, 9)).alias("data_a2"),
+        F.nullif(generator.text(row, 4, generator.uniform(row, 44, 0, 10)), F.lit("")).alias("data_a3"),
+        generator.uniform(row, 10, 0, 50).alias("value_i1"), (generator.uniform(row, 15, 0, 1500) / 10).alias("value_d1"))
     named = base.select(F.lit("synth_source").alias("data_name"), "*")
     pattern = row_pattern(named, [(F.lit(1), T.IntegerType()), "data_name",
                                   (F.to_date("data_ts"), T.DateType()),
@@ -192,7 +184,8 @@ def q_synth_source(spark, sf_dir):
                                   "data_i2", "data_i3", "data_a1", "data_a2", "data_a3"])
     out = named.select(pattern.alias("data_pt"), *base.columns)
     path = fresh_path(spark, "synth_source")
-    out.sortWithinPartitions("data_pt", "data_ts").write.mode("overwrite").parquet(path)
+    for part in (out.where("row_no < 10"), out):
+        part.repartitionByRange("data_pt", "data_ts").sortWithinPartitions("data_pt", "data_ts").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -54,6 +54,12 @@ SQL = {
                             "DATE '2024-01-20' AND data_date < DATE '2024-01-31' GROUP BY ALL"),
     "incremental_run": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "
                         "DATE '2024-01-05' AND data_date < DATE '2024-02-01' GROUP BY ALL"),
+    "preview_range": (
+        "SELECT 'preview_daily' AS target_table, d.c AS chunk_start, s.source_table, CAST(s.mask AS BIGINT) AS effective_mask, "
+        "s.accepted, CASE WHEN s.source_table = 'events' THEN (SELECT count(*) FROM events WHERE CAST(ts AS DATE) = CAST(d.c AS DATE)) "
+        "WHEN s.source_table = 'lineitem' THEN (SELECT count(*) FROM lineitem WHERE CAST(l_shipdate AS DATE) = CAST(d.c AS DATE)) "
+        "ELSE 0 END AS n_rows FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-30', to_days(1))) AS c) d, "
+        "(VALUES ('events', 1728, true), ('orders', 1732, false), ('lineitem', 1728, true)) AS s(source_table, mask, accepted)"),
     "late_row_range": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "
                        "DATE '2024-01-05' AND data_date < DATE '2024-02-01' GROUP BY ALL"),
     "rerun_after_source_delete": (f"SELECT {KEYS_2}, {measures_1(True)} FROM {U} WHERE data_date >= "

@@ -136,6 +136,17 @@ def u_events_late(df):
         "data_ts", F.when(F.col("event_id") % 101 == 0, early).otherwise(F.col("data_ts"))).drop("event_id")
 
 
+def q_preview_range(spark, sf_dir):
+    """Dry run of a due range: each daily chunk of January with each source's
+    decision and rows; orders are coarser than the target takes (S9)."""
+    from ..plans.incremental import preview_range
+    t = fx.target_2(name="preview_daily")
+    t.groupby_flexible, t.batch_processed = False, dt.datetime(2024, 1, 2)
+    sources = [fx.src_events(t.target_table), fx.src_orders(t.target_table), fx.src_lineitem(t.target_table)]
+    sources[1].pattern_default = 4
+    return preview_range(catalog(spark, sf_dir), t, sources, dt.datetime(2024, 1, 31, 9), complete_only=True)
+
+
 def q_late_row_range(spark, sf_dir):
     """Daily target over events in 8 files by time, some rows 19 days off
     their raw time: two runs by the zone map, the files of the second half
@@ -286,6 +297,7 @@ QUERIES = {
     "sliding_reaggregate": q_sliding_reaggregate,
     "incremental_run": q_incremental_run,
     "late_row_range": q_late_row_range,
+    "preview_range": q_preview_range,
     "rerun_after_source_delete": q_rerun_after_source_delete,
     "demo_workflow": q_demo_workflow,
     "mixed_granularity": q_mixed_granularity,

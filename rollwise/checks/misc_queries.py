@@ -190,15 +190,20 @@ def q_synth_source(spark, sf_dir):
 
 
 def q_stream_summary(spark, sf_dir):
-    """Continuous load of the daily target from the events file, run with an
-    available-now trigger; returns the target table it maintains."""
+    """Continuous load of the daily target from an inbox of files, run with an
+    available-now trigger as they arrive: the first half of the events, then
+    the rest with late rows of two days far apart, whose chunks are found
+    by the index; returns the target table it maintains."""
     t = fx.target_2(name="stream_daily")
     src = fx.src_events(t.target_table)
-    cat = catalog(spark, sf_dir)
-    events = cat.table("events")
+    events = catalog(spark, sf_dir).table("events")
+    inbox = fresh_path(spark, "stream_inbox")
     path, ckpt = fresh_path(spark, "stream_daily"), fresh_path(spark, "stream_ckpt")
-    q = run_stream(spark, f"{sf_dir}/events.parquet", events.schema, t, src, None, path, ckpt)
-    q.awaitTermination()
+    late = F.to_date("ts").isin(dt.date(2024, 1, 3), dt.date(2024, 1, 12)) & (F.col("event_id") % 20 == 0)
+    first = (F.col("ts") < F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")) & ~late
+    for part in (first, ~F.coalesce(first, F.lit(False))):
+        events.where(part).repartitionByRange(4, "ts").write.mode("append").parquet(inbox)
+        run_stream(spark, inbox, events.schema, t, src, None, path, ckpt).awaitTermination()
     return finish(spark.read.parquet(path).drop("control_day"))
 
 

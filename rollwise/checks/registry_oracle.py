@@ -66,6 +66,15 @@ SQL = {
     "chunk_list": (f"SELECT target_table, unnest(generate_series(batch_loop_begin, batch_loop_end, "
                    f"to_minutes(batch_control_size))) AS chunk_start FROM {DUE} "
                    "WHERE batch_loop_begin <= batch_loop_end"),
+    "complete_chunks": (
+        "WITH s AS (SELECT target_table, source_enabled, CASE WHEN id % 11 <> 0 THEN TIMESTAMP '2024-01-01 00:00:00' + "
+        f"to_minutes(CAST(id * 37 % 20000 AS BIGINT)) END AS avail FROM {SOURCES_GEN} WHERE source_enabled), "
+        "cap AS (SELECT d.target_table, min(coalesce(s.avail, d.batch_processed)) AS c "
+        f"FROM {DUE} d JOIN s USING (target_table) GROUP BY 1), "
+        f"held AS (SELECT d.*, least(batch_loop_end, {NOW_SQL} - to_minutes(batch_control_size), "
+        f"coalesce(c, batch_processed)) AS e FROM {DUE} d LEFT JOIN cap USING (target_table)) "
+        "SELECT target_table, unnest(generate_series(batch_loop_begin, e, to_minutes(batch_control_size))) AS chunk_start "
+        "FROM held WHERE batch_loop_begin <= e"),
     "advance_watermark": (f"SELECT t.target_table, coalesce(w.np, t.batch_processed) AS "
                           "batch_processed, CAST(NULL AS TIMESTAMP) AS batch_processing, "
                           "CAST(NULL AS TIMESTAMP) AS batch_microchunk_current "

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.pattern import (column_map, flags_pattern, kept_names, mapping_sources,
                                  mapping_targets, names_pattern)
+from ..functions.timegrid import add_minutes, ts_lit
 from ..operators.upsert import upsert_registry
 from ..plans import registry as R
 from . import fixtures as fx
@@ -59,6 +60,15 @@ def q_chunk_list(spark, sf_dir):
     return R.chunk_list(R.due_targets(t, fx.NOW)).select("target_table", "chunk_start")
 
 
+def q_complete_chunks(spark, sf_dir):
+    """The due chunks that have ended and that all live sources cover."""
+    _, t, s = _reg(spark, sf_dir)
+    s = s.withColumn("data_availabletime", F.when(F.col("id") % 11 != 0, add_minutes(
+        ts_lit(fx.GEN_BASE), (F.col("id") * 37 % 20000).cast("int"))))
+    held = R.covered_bounds(R.due_targets(t, fx.NOW), s, fx.NOW)
+    return R.chunk_list(held).select("target_table", "chunk_start")
+
+
 def q_advance_watermark(spark, sf_dir):
     _, t, s = _reg(spark, sf_dir)
     return R.advance_watermark(t, s).select("target_table", "batch_processed",
@@ -190,6 +200,7 @@ QUERIES = {
     "granularity_gate": q_granularity_gate,
     "due_targets": q_due_targets,
     "chunk_list": q_chunk_list,
+    "complete_chunks": q_complete_chunks,
     "advance_watermark": q_advance_watermark,
     "state_after_run": q_state_after_run,
     "source_availability": q_source_availability,

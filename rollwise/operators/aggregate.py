@@ -164,17 +164,27 @@ def projected_frame(df: DataFrame, target: TargetSpec, plan: SourcePlan) -> Data
                      *[F.col(c) for c in dict.fromkeys(target.measures[1])])
 
 
-def aggregate_union(projected: list[DataFrame], target: TargetSpec,
+def aggregate_union(projected: list[tuple[int, DataFrame]], target: TargetSpec,
                     keys: list[str]) -> DataFrame:
-    """One aggregation over the union of several sources' projected rows.
-
-    Only valid when the keys tell the sources apart (a declared source dim):
-    then it equals aggregating each source and unioning, with one shuffle
-    for all sources instead of one per source."""
-    u = projected[0]
-    for df in projected[1:]:
-        u = u.unionByName(df, allowMissingColumns=True)
-    return u.groupBy(*keys).agg(*aggregate_exprs(target))
+    """One aggregation over the union of several sources' projected rows, given
+    with their priority ranks.
+
+    A declared source dim should tell the sources apart, but is not believed:
+    the rank is a key of the aggregation, so rows of two sources never add
+    up.  Where they share a key, the higher rank's row stays; that choice
+    runs over aggregated rows only."""
+    u = None
+    for rank, df in projected:
+        tagged = df.withColumn("_rw_prio", F.lit(rank))
+        u = tagged if u is None else u.unionByName(tagged, allowMissingColumns=True)
+    return _highest(u.groupBy(*keys, "_rw_prio").agg(*aggregate_exprs(target)), keys, target.measures[0])
+
+
+def _highest(tagged: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Of rows with equal keys the one of the highest ``_rw_prio``."""
+    best = F.max_by(F.struct(*[F.col(m) for m in measures]), F.col("_rw_prio")).alias("_rw_m")
+    out = tagged.groupBy(*keys).agg(best) if keys else tagged.agg(best)
+    return out.select(*keys, *[F.col("_rw_m")[m].alias(m) for m in measures])
 
 
 def combine_sources(parts: list[tuple[int, DataFrame]], keys: list[str],
@@ -190,9 +200,4 @@ def combine_sources(parts: list[tuple[int, DataFrame]], keys: list[str],
     u = tagged[0]
     for df in tagged[1:]:
         u = u.unionByName(df, allowMissingColumns=True)
-    best = F.max_by(F.struct(*[F.col(m) for m in measures]), F.col("_rw_prio")).alias("_rw_m")
-    if keys:
-        out = u.groupBy(*keys).agg(best)
-    else:
-        out = u.agg(best)
-    return out.select(*keys, *[F.col("_rw_m")[m].alias(m) for m in measures])
+    return _highest(u, keys, measures)

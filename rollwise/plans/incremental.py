@@ -67,16 +67,16 @@ def _combine(target: TargetSpec, parts: list[tuple[SourcePlan, DataFrame]],
         return Batch(None, plans, parts)
     b = Batch(None, plans, parts)
     measures = target.measures[0]
+    # Priority first, then position: ranks keep that order for any number of sources.
+    order = sorted(range(len(parts)), key=lambda i: (parts[i][0].source.priority, i))
+    ranks = {i: r for r, i in enumerate(order)}
     if len(parts) > 1 and target.source_dim and all(target.source_dim in p.keys
                                                     for p, _ in parts):
-        # Each source has its own values of the source dim, so keys of two
-        # sources never collide: aggregate the union of their rows once (one
-        # shuffle for all sources, no tie-break).
-        b.frame = aggregate_union([projected[id(p)] for p, _ in parts], target, b.keys)
+        # Each source should have its own values of the source dim: the union
+        # of their rows is aggregated once, one shuffle for all sources.
+        b.frame = aggregate_union([(ranks[i], projected[id(p)]) for i, (p, _) in enumerate(parts)], target, b.keys)
         return b
-    # Priority first, then position: ranks keep that order for any number of sources.
-    order = sorted(range(len(parts)), key=lambda i: (parts[i][0].source.priority, i))
-    b.frame = combine_sources([(order.index(i), df) for i, (_, df) in enumerate(parts)],
+    b.frame = combine_sources([(ranks[i], df) for i, (_, df) in enumerate(parts)],
                               b.keys, measures)
     return b
 
@@ -203,6 +203,42 @@ def preview(batch: Batch, spark) -> DataFrame:
     return rows if rows is not None else spark.createDataFrame([], schema)
 
 
+def preview_range(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
+                  now: dt.datetime, mode: str = "enabled", complete_only: bool = False,
+                  capped: bool = False) -> DataFrame:
+    """Dry run of a due range (S9): every chunk with every source's decision and
+    the source rows it would read; nothing is written.
+
+    One row per chunk and selected source: effective mask, whether the gate
+    accepts the source, rows of the chunk (0 for a rejected one).  The counts
+    of all sources and chunks come from one aggregate."""
+    spark, size = catalog.spark, int(target.chunk_minutes)
+    begin, end = plan_bounds(target, now)
+    chosen = select_sources(sources, target, mode)
+    n, end_excl = chunk_starts(begin, hold_back(target, chosen, now, end, complete_only, capped), size)
+    plans = [plan_source(target, s) for s in chosen]
+    decisions = F.array(*[F.struct(F.lit(p.source.source_table).alias("source_table"),
+                                   F.lit(int(p.effective_mask)).cast("bigint").alias("effective_mask"),
+                                   F.lit(p.accepted).alias("accepted")) for p in plans]).cast(
+        "array<struct<source_table:string,effective_mask:bigint,accepted:boolean>>")
+    chunks = spark.range(n).select(F.lit(target.target_table).alias("target_table"), F.col("id").alias("_k"), F.timestamp_add(
+        "MINUTE", (F.col("id") * size).cast("int"), ts_lit(begin)).alias("chunk_start"))
+    rows = chunks.select("target_table", "_k", "chunk_start", F.inline(decisions))
+    seen = spark.createDataFrame([], "source_table string, _k bigint")
+    for p in plans:
+        if p.accepted and n:
+            require_control(target, p)
+            df = in_range(resolve_source(catalog, p.source), target, p.source, begin, end_excl)
+            at = F.timestamp_diff("MICROSECOND", ts_lit(begin), time_col(df, target.source_of(target.control_column)))
+            width = F.lit(size * 60_000_000)
+            seen = seen.unionByName(df.select(F.lit(p.source.source_table).alias("source_table"),
+                                              ((at - F.pmod(at, width)) / width).cast("bigint").alias("_k")))
+    counts = seen.groupBy("source_table", "_k").agg(F.count("*").alias("n_rows"))
+    return rows.join(counts, ["source_table", "_k"], "left").select(
+        "target_table", "chunk_start", "source_table", "effective_mask", "accepted",
+        F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"))
+
+
 def plan_bounds(target: TargetSpec, now: dt.datetime) -> tuple[dt.datetime, dt.datetime]:
     """Chunk range of one target (the single-spec form of ``registry.loop_bounds``)."""
     size = int(target.chunk_minutes)
@@ -243,7 +279,8 @@ class RunResult:
 def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
                now: dt.datetime, path: str, script_only: bool = False,
                lookback_days: int | None = None, max_chunks: int | None = None,
-               on_progress=None, zones: ZoneMap | None = None) -> RunResult:
+               on_progress=None, zones: ZoneMap | None = None,
+               complete_only: bool = False, capped: bool = False) -> RunResult:
     """Run every due chunk of one target.
 
     The touched days of the target are replaced by the recomputed batch and
@@ -259,7 +296,11 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     (dry run; one slice) and ``target`` stays as it is.
 
     ``zones`` (default: beside ``path``) tells which files of a source hold
-    which control times; a run first adds the files that are new."""
+    which control times; a run first adds the files that are new.
+
+    ``complete_only`` leaves out chunks that have not ended by ``now``, ``capped``
+    those beyond the earliest availability of the live sources; processed then
+    moves to the last chunk run, so what was left out comes later."""
     target.validate()
     if script_only:
         target = replace(target)
@@ -272,10 +313,12 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
     if not is_due(target, now):
         return RunResult(False)
     begin, end = plan_bounds(target, now)
+    live = select_sources(sources, target)
+    held = complete_only or capped
+    end = hold_back(target, live, now, end, complete_only, capped)
     n, _ = chunk_starts(begin, end, target.chunk_minutes)
     if n == 0:
         return RunResult(True, begin, end, 0)
-    live = select_sources(sources, target)
     if not live:  # nothing to load (Q13): write nothing, but release the lock
         if not script_only:
             finish_run(target, live, now)
@@ -296,7 +339,8 @@ def run_target(catalog: Catalog, target: TargetSpec, sources: list[SourceSpec],
             if on_progress is not None:
                 on_progress(target)
     if not script_only:
-        finish_run(target, live, now)  # only after every write succeeded (Q9)
+        # Only after every write succeeded (Q9).
+        finish_run(target, live, now, begin + step * (n - 1) if held else None)
     return RunResult(True, begin, end, n, new)
 
 
@@ -329,13 +373,27 @@ def _replace_range(catalog: Catalog, target: TargetSpec, sources: list[SourceSpe
     return new
 
 
-def finish_run(target: TargetSpec, live: list[SourceSpec], now: dt.datetime) -> None:
+def hold_back(target: TargetSpec, live: list[SourceSpec], now: dt.datetime, end: dt.datetime,
+              complete_only: bool, capped: bool) -> dt.datetime:
+    """The single-spec form of ``registry.covered_bounds``."""
+    if complete_only:
+        end = min(end, now - dt.timedelta(minutes=target.chunk_minutes))
+    if capped:
+        end = min([end, *[s.data_availabletime or target.batch_processed for s in live]])
+    return end
+
+
+def finish_run(target: TargetSpec, live: list[SourceSpec], now: dt.datetime,
+               last: dt.datetime | None = None) -> None:
     """State after a successful run of one target (I7, I8): processed moves to
     the earliest availability of its live sources (a source without one holds
-    it at the old value); the lock and the current chunk are cleared."""
+    it at the old value), but not beyond ``last`` (the last chunk of a run
+    that left some out); the lock and the current chunk are cleared."""
     if live:
         target.batch_processed = min(s.data_availabletime or target.batch_processed
                                      for s in live)
+        if last is not None:
+            target.batch_processed = min(target.batch_processed, last)
     target.batch_processing = None
     target.batch_microchunk_current = None
     target.batch_schedule_last = now

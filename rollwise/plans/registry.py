@@ -79,6 +79,24 @@ def due_targets(targets: DataFrame, now) -> DataFrame:
     return b.where(F.col("batch_processing").isNull() | F.coalesce(stale, F.lit(False)))
 
 
+def covered_bounds(bounds: DataFrame, sources: DataFrame, now, complete_only: bool = True,
+                   capped: bool = True) -> DataFrame:
+    """``loop_bounds`` held back to chunks that are finished (``complete_only``:
+    start + size <= now, Q10) and that every live source has data for
+    (``capped``: start <= the earliest availability of its live sources, Q11).
+    A source without availability, or a target without live sources, holds
+    the range at the processed time.  The default runs do neither."""
+    end = [F.col("batch_loop_end")]
+    if complete_only:
+        end.append(add_minutes(_now(now), (-F.col("batch_control_size")).cast("int")))
+    if capped:
+        cap = watermark_candidates(bounds, sources).withColumnRenamed("new_processed", "_rw_cap")
+        bounds = bounds.join(cap, "target_table", "left")
+        end.append(F.coalesce("_rw_cap", "batch_processed"))
+    held = F.least(*end) if len(end) > 1 else end[0]
+    return bounds.withColumn("batch_loop_end", held).drop("_rw_cap")
+
+
 def chunk_list(bounds: DataFrame) -> DataFrame:
     """One row per chunk start: begin, begin + size, ... <= end.
 

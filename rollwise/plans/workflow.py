@@ -274,7 +274,8 @@ class Registry:
         return frame
 
     def aggregate_due(self, catalog: Catalog, name: str, now: dt.datetime, path: str,
-                      script_only: bool = False, max_chunks: int | None = None):
+                      script_only: bool = False, max_chunks: int | None = None,
+                      complete_only: bool = False, capped: bool = False):
         """Every due chunk of one target in one job.  Lock (processing = end,
         last schedule = now) is committed first; processed advances after the
         write (a failed job leaves the lock, and the target is retried once
@@ -301,9 +302,10 @@ class Registry:
                  .cast("timestamp_ntz")}))
 
         result = run_target(catalog, spec, sources, now, path, script_only=script_only,
-                            max_chunks=max_chunks, on_progress=progress, zones=self.zones(name))
+                            max_chunks=max_chunks, on_progress=progress, zones=self.zones(name),
+                            complete_only=complete_only, capped=capped)
         if not script_only:
-            if result.chunks == 0:
+            if result.chunks == 0 and not (complete_only or capped):
                 finish_run(spec, [s for s in sources if s.enabled is True], now)
             self._change("targets", TARGETS_SCHEMA, lambda rows: update_where(rows, F.col("target_table") == F.lit(name), {
                 "batch_processed": F.lit(spec.batch_processed).cast("timestamp_ntz"),

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.timegrid import EPOCH, floor_minutes
 from ..operators.aggregate import aggregate_frame, in_range, plan_source, require_control, time_col
 from ..operators.tables import conform, enforce_not_null, read_days, replace_days, target_schema
+from ..sources.zones import ZoneMap
 from ..specs import SourceSpec, TargetSpec
 
 
@@ -30,9 +31,12 @@ def _chunk(df: DataFrame, target: TargetSpec) -> DataFrame:
     return df.withColumn("_rw_chunk", floor_minutes(ctl, target.chunk_minutes, EPOCH))
 
 
-def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
+def refresh_chunks(spark: SparkSession, micro: DataFrame,
+                   full: DataFrame | Callable[[DataFrame], DataFrame],
                    target: TargetSpec, source: SourceSpec, path: str) -> None:
-    """Recompute the chunks a micro-batch touched and replace them in ``path``."""
+    """Recompute the chunks a micro-batch touched and replace them in ``path``.
+    ``full`` is the transformed source, or a function of the touched chunks
+    (``_rw_chunk``) that gives the part of it that holds them."""
     plan = plan_source(target, source)
     if not plan.accepted:
         return  # granularity gate, as in the scheduled run
@@ -42,6 +46,8 @@ def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
     span = touched.agg(F.min("_rw_chunk").alias("lo"), F.max("_rw_chunk").alias("hi")).first()
     if span["lo"] is None:
         return  # an empty micro-batch touches nothing
+    if callable(full):
+        full = full(touched)
     size = target.chunk_minutes
     rows = _chunk(in_range(full, target, source, span["lo"], span["hi"] + dt.timedelta(minutes=size)),
                   target).join(touched, "_rw_chunk", "left_semi")
@@ -61,6 +67,30 @@ def refresh_chunks(spark: SparkSession, micro: DataFrame, full: DataFrame,
     replace_days(new.checkpoint(eager=True), path, target.control_column, days)
 
 
+class ChunkIndex:
+    """Which chunks each file of the inbox holds: rows (file, _rw_chunk), added
+    by the micro-batch that brings the file, so no file is read for it twice.
+    A micro-batch then reads the files of its chunks, however far apart."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def add(self, micro: DataFrame, target: TargetSpec, source: SourceSpec, epoch: int) -> None:
+        """A replayed micro-batch overwrites its own rows."""
+        name = F.regexp_replace(F.input_file_name(), "^file:/+", "file:/")  # as in the metadata column
+        (_chunk(_transform(micro, source), target).select(name.alias("file"), "_rw_chunk").distinct()
+         .write.mode("overwrite").parquet(f"{self.root}/batch-{int(epoch)}"))
+
+    def files(self, touched: DataFrame) -> list[str] | None:
+        """The files that hold a touched chunk; None: rows of unknown files
+        (made by a shuffle in the transformation), so all must be read."""
+        index = self.spark.read.schema("file string, _rw_chunk timestamp_ntz").option(
+            "recursiveFileLookup", "true").parquet(self.root)
+        found = [r.file for r in index.join(touched, "_rw_chunk", "left_semi").select("file").union(
+            index.where("file = ''").select("file").limit(1)).distinct().collect()]
+        return None if "" in found else found
+
+
 def _transform(micro: DataFrame, source: SourceSpec) -> DataFrame:
     """The source's transformation applied to one micro-batch.  SQL text runs
     against the micro-batch registered under the source table's name, in the
@@ -95,8 +125,9 @@ def run_stream(spark: SparkSession, source_glob: str, schema, target: TargetSpec
     file present and stops (what a scheduler runs each hour).
 
     ``full`` is the whole source.  None reads the inbox again in each
-    micro-batch (with the source's transformation), a function is called in each
-    micro-batch, so files that arrive later are seen.  A DataFrame keeps the
+    micro-batch (with the source's transformation), by an index kept beside the
+    checkpoint only the files that hold a touched chunk; a function is called
+    in each micro-batch, so files that arrive later are seen.  A DataFrame keeps the
     file list it was made with: give one only for a source that is complete.
     The transformation is applied to each micro-batch (SQL text sees it under
     the source table's name)."""
@@ -105,12 +136,22 @@ def run_stream(spark: SparkSession, source_glob: str, schema, target: TargetSpec
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
-    def refresh(micro: DataFrame, _epoch: int) -> None:
-        if full is None:
-            whole = _transform(micro.sparkSession.read.schema(schema).parquet(files), source)
-        else:
-            whole = full() if callable(full) else full
-        refresh_chunks(micro.sparkSession if full is None else spark, micro, whole, target, source, path)
+    def inbox(session: SparkSession, touched: DataFrame) -> DataFrame:
+        base = session.read.schema(schema).parquet(files)
+        whole = _transform(base, source)
+        held = ChunkIndex(session, f"{checkpoint.rstrip('/')}.chunks").files(touched)
+        if held is None or not ZoneMap._read_once(base, whole):
+            return whole
+        return _transform(base.where(F.col("_metadata.file_path").isin(held) if held else F.lit(False)), source)
+
+    def refresh(micro: DataFrame, epoch: int) -> None:
+        session = micro.sparkSession
+        if full is not None:
+            refresh_chunks(spark, micro, full() if callable(full) else full, target, source, path)
+            return
+        if plan_source(target, source).accepted:
+            ChunkIndex(session, f"{checkpoint.rstrip('/')}.chunks").add(micro, target, source, epoch)
+        refresh_chunks(session, micro, lambda touched: inbox(session, touched), target, source, path)
 
     w = reader.parquet(files).writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -67,8 +67,8 @@ def _key(level: Column, at: Column) -> Column:
 
 def _numbered(rows: DataFrame, group: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """``rows`` with ``tree`` (0, 1, ... by ``group``, null first), ``idx``
-    (position within it by ``order``) and ``first`` (rows of smaller groups);
-    and the groups (group, tree, first, n)."""
+    (position within it by ``order``), ``first`` (rows of smaller groups) and
+    ``n`` (rows of the group); and the groups (group, tree, first, n)."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     # Written, so a lost executor never deals the rows anew by another sample.
@@ -88,7 +88,7 @@ def _numbered(rows: DataFrame, group: str, order: list[str]) -> tuple[DataFrame,
     earlier = Window.partitionBy(group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (sizes.select("range", group, F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("skip"))
                .join(groups.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g")))
-               .select(F.col("range").alias("_range"), "_g", "skip", "tree", "first"))
+               .select(F.col("range").alias("_range"), "_g", "skip", "tree", "first", "n"))
     within = Window.partitionBy("range", group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     placed = (dealt.withColumn("_k", F.row_number().over(within) - 1)
               .join(offsets, (F.col("range") == F.col("_range")) & F.col(group).eqNullSafe(F.col("_g")))
@@ -187,9 +187,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     if not widest.n:
         return _nothing(spark)
 
-    sizes = sources.select(F.col("tree").alias("_tree"), "n")
-    rows = placed.join(sizes, F.col("tree") == F.col("_tree")).drop("_tree")
-    low, subroots = _built(rows.select("tree", "idx", "hash", "n", F.col("first").alias("start"),
+    low, subroots = _built(placed.select("tree", "idx", "hash", "n", F.col("first").alias("start"),
                                        _key(F.lit(TOP), F.col("tree")).alias("end")), 0, widest.h)
     subroots = saved(subroots, "subroots")
     end = F.lit((TOP + widest.top) << PLACES)

@@ -44,7 +44,7 @@ def test_entry_contract(spark):
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
     llm = {k for k in q if re.match(r"op\d+_|pipeline$", k)}   # tests/llm holds these to brute force
-    assert set(q) - set(sql) - llm == {"synth_source"}
+    assert not set(q) - set(sql) - llm
 
 
 def test_stream_one_file_per_micro_batch(spark):

@@ -18,8 +18,11 @@ The chance to miss a pair is that of fewer than ``MATCHES`` hits in
 Groups of copies of any size stay linear: equal sets are one node; in each
 list a leader is compared with the others and then leaves it, first the
 least node, then the one with most links.  Lists whose nodes are in one
-component by then are done; of the others all cross-component pairs are
-compared, in blocks of ``BLOCK`` nodes.  No step emits the pairs of a group.
+component by then are done.  A node leaves the other lists of more than
+``LONG`` nodes if too few of its shingles are those of another component in
+such lists, as documents do that have but a passage in common; the pairs
+across components that are left are compared, in blocks of ``BLOCK`` nodes.
+No step emits the pairs of a group.
 
 A node is the 64-bit hash of a shingle set.  Null and empty texts have an
 empty set and link with nothing; a text of fewer words than the shingle is
@@ -41,6 +44,8 @@ from rollwise.llm.common import U64, beside, mix64, removed, saved, slices, stre
 COORDS = 32
 MATCHES = 14
 BLOCK = 4096
+#: Lists of more nodes are thinned by full sets before they are compared.
+LONG = 256
 #: Bits of the map of documents whose sets are read again.
 FILTER_BITS = 1 << 23
 
@@ -129,10 +134,18 @@ def _sets(width: int, bits: bytes | None):
 def _core(rows: DataFrame) -> DataFrame:
     """Of rows (node, token) the nodes with ``MATCHES`` tokens or more that
     another node has, too, and these tokens, rare first."""
-    held = F.count("*").over(Window.partitionBy("token"))
-    return (rows.withColumn("m", held).where("m > 1").groupBy("node")
-            .agg(F.sort_array(F.collect_list(F.struct("m", "token"))).alias("shared"))  # COORDS at most
-            .where(F.size("shared") >= MATCHES).select("node", F.col("shared.token").alias("shared")))
+    held = _held(rows)
+    core = saved(rows.join(held, "token").groupBy("node")
+                 .agg(F.sort_array(F.collect_list(F.struct("m", "token"))).alias("shared"))  # COORDS at most
+                 .where(F.size("shared") >= MATCHES).select("node", F.col("shared.token").alias("shared")), "core")
+    removed(held)
+    return core
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """Written (token, m): how many rows have a token that more than one has.
+    Written, so that a join with it can split the rows of a hot token."""
+    return saved(rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "held")
 
 
 def _similar(a: DataFrame, percent: int) -> DataFrame:
@@ -214,9 +227,40 @@ def _merge(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """Lists with nodes of more than one component; the rest needs no look."""
     now = (lists.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    many = (now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"))
-            .where("lo <> hi").select("token", "m"))
-    return now.drop("m").join(many, "token")
+    many = saved(now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"))
+                 .where("lo <> hi").select("token", "m"), "many")
+    still = saved(now.drop("m").join(many, "token"), "lists")
+    removed(many)
+    return still
+
+
+def _thinned(lists: DataFrame, held: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``lists``, written, without the places in long lists of nodes that have no partner there.
+
+    Of a node's set of n, a partner has percent * n / 100 members or more; so
+    many must be held by other components in long lists.  Nodes of which fewer
+    are leave, then those that are left are asked once more.
+    """
+    long = lists.where(F.col("m") > LONG)
+    if long.isEmpty():
+        return lists
+    places = saved(long.select("node", "root").distinct(), "places")
+    sets = _full_sets(texts, held.join(places, "node", "left_semi"), width)
+    live = places.join(sets, "node")
+    able = None
+    for _ in range(2):
+        members = live if able is None else live.join(able.select("node"), "node", "left_semi")
+        posts = members.select("node", "root", F.size("members").alias("n"), F.explode("members").alias("member"))
+        shared = saved(posts.groupBy("member").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                       .where("lo <> hi").select("member"), "shared")
+        last, able = able, saved(posts.select("node", "n", "member").join(shared, "member").groupBy("node")
+                                 .agg(F.first("n").alias("n"), F.count("*").alias("k"))
+                                 .where(100 * F.col("k") >= percent * F.col("n")), "able")
+        removed(shared, *([last] if last is not None else []))
+    kept = lists.where(F.col("m") <= LONG).unionByName(long.join(able.select("node"), "node", "left_semi"))
+    out = saved(kept, "lists")
+    removed(places, sets, able)
+    return out
 
 
 def _leaders(lists: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -320,32 +364,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = saved(sigs.select("doc_id", "text_key", "n", "node"), "rows")
     removed(sigs)
 
-    first = saved(_core(nodes.select("node", F.explode("tokens").alias("token"))), "core")
-    core = saved(_core(first.select("node", F.explode("shared").alias("token"))), "core")
+    first = _core(nodes.select("node", F.explode("tokens").alias("token")))
+    core = _core(first.select("node", F.explode("shared").alias("token")))
     removed(first)
     posted = core.select("node", F.slice("shared", F.lit(1), F.size("shared") - (MATCHES - 1)).alias("prefix"))
     involved = saved(nodes.join(posted, "node"), "involved")
     held = saved(nodes.select("node", "doc_id"), "held")
     removed(core, nodes)
-    lists = (involved.select("node", F.explode("prefix").alias("token"))
-             .withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1"))
-    lists = saved(lists, "lists")
+    posts = involved.select("node", F.explode("prefix").alias("token"))
+    shared = _held(posts)
+    lists = saved(posts.join(shared, "token"), "lists")
+    removed(shared)
 
     roots = links = None
     for _ in range(2):
-        tops = _leaders(lists, links)
+        tops = saved(_leaders(lists, links), "leaders")
         led = saved(lists.join(tops, "token"), "led")
         pairs = (led.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
                  .distinct())
         found = _confirmed(pairs, involved, texts, width, percent)
         links = found if links is None else links.union(found).distinct()
         roots = _merge(roots, found)
-        done, lists = lists, saved(_open_lists(led.where("node <> leader").drop("leader"), roots), "lists")
-        removed(done, led)
-    roots = _merge(roots, _rest(lists, involved, texts, width, percent))
-    removed(lists, involved)
-
-    least = (roots.join(held, "node").groupBy("root").agg(F.min("doc_id").alias("component_id")))
+        done, lists = lists, _open_lists(led.where("node <> leader").drop("leader"), roots)
+        removed(done, led, tops)
+    thin = _thinned(lists, held, texts, width, percent)
+    rest = _open_lists(thin, roots)
+    roots = _merge(roots, _rest(rest, involved, texts, width, percent))
+    removed(lists, thin, rest, involved)
+
+    least = saved(roots.join(held, "node").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     of_node = (held.select("node", F.col("doc_id").alias("own")).join(roots, "node", "left").join(least, "root", "left")
                .select("node", F.coalesce("component_id", "own").alias("component_id")))
     out = rows.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "node").join(of_node, "node", "left")

@@ -86,6 +86,19 @@ def test_lists_of_many_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == label == {i: i - i % 2 for i in range(80)}
 
 
+@pytest.mark.parametrize("long", [4, 256])
+def test_passage_shared_by_many(spark, monkeypatch, long):
+    """Documents with a passage in common, far from each other but for a few of mostly passages."""
+    monkeypatch.setattr(minhash_dedup, "LONG", long)
+    passages = [[f"p{j}_{k}" for k in range(60)] for j in range(3)]
+    rows = [(i, " ".join(passages[0] + [f"w{i}_{k}" for k in range(34)])) for i in range(60)]
+    rows += [(100 + i, " ".join(passages[i % 2] + passages[2] + [f"v{i}_{k}" for k in range(4 + i % 3)])) for i in range(12)]
+    rows += [(200, rows[7][1] + " end"), (201, rows[8][1]), (202, " ".join(passages[0])), (203, " ".join(passages[0][:-3]))]
+    _, label = brute_components(rows, 5)
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()
+    assert {r.doc_id: r.component_id for r in got} == label
+
+
 def test_bpe_equals_the_library(docs):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(vocabulary_path())

@@ -11,7 +11,11 @@ items among paragraphs.  Parts that are furniture by their tag or role
 (menus, headers, footers, sidebars, forms, scripts, styles) are no candidates.
 A class or id made of words that furniture is named by (notices, adverts, reader
 comments) lowers its paths' scores, less inside an article; names of headings,
-paragraphs and articles' ids don't.
+paragraphs and articles' ids don't.  A form is furniture, too, unless it is wrapped
+around the page: it has the best path and more than half of the text.
+
+Paths are numbers of nodes that know their parent, so a page takes memory in
+proportion to its elements, however deep its markup is.
 
 Null and empty pages, and pages without text, give an empty string.  A page
 that ends inside a tag loses that tag only.  No block is cut short.
@@ -21,7 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,7 +42,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    # formulas
                    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup "
                    "msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics".split())
-FURNITURE = frozenset("head nav header footer aside form menu button select option datalist dialog object applet svg canvas "
+FURNITURE = frozenset("head nav header footer aside menu button select option datalist dialog object applet svg canvas "
                       "audio video map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist "
                   "status tooltip".split())
@@ -60,8 +64,9 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
         "tbody": ("tr", "td", "th", "thead", "tbody"), "option": ("option",)}
 LIMITS = frozenset("ul ol dl table article main section div body html td th blockquote".split())
 
-#: Marks of hinted elements in a path.
-OUTSIDE, INSIDE = "\0", "\1"
+#: Marks of hinted elements and of forms in a path.
+OUTSIDE, INSIDE, FORM = 1, 2, 4
+HINTED = OUTSIDE | INSIDE
 
 PIECE = re.compile(r"""<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>"""
                    r"""|<[a-zA-Z/!?][^>]*(?:>|\Z)|([^<]+|<)""", re.S)
@@ -70,10 +75,26 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "dropped", "container", "headings")
+    __slots__ = ("tag", "path", "dropped", "container", "headings", "number")
+
+    def __init__(self, tag: str, path: int, dropped: bool, container: int, headings: bool, number: int):
+        self.tag, self.path, self.dropped, self.container = tag, path, dropped, container
+        self.headings, self.number = headings, number
+
+
+class Paths:
+    """Tag paths as numbers; of each its parent and the marks along it."""
 
-    def __init__(self, tag: str, path: str, dropped: bool, container: int, headings: bool):
-        self.tag, self.path, self.dropped, self.container, self.headings = tag, path, dropped, container, headings
+    def __init__(self):
+        self.up, self.marks, self._known = [-1], [0], {}
+
+    def child(self, path: int, name: str, mark: int) -> int:
+        key = (path, name, mark)
+        if key not in self._known:
+            self._known[key] = len(self.up)
+            self.up.append(path)
+            self.marks.append(self.marks[path] | mark)
+        return self._known[key]
 
 
 def _hinted(tag: str, classes: str, name: str) -> bool:
@@ -101,13 +122,16 @@ def _furniture(tag: str, raw: str) -> tuple[bool, bool, str]:
             ".".join(classes.split()))
 
 
-def blocks(page: str) -> list[tuple[str, str, int, int, int]]:
-    """(path, text, characters of links, container, parent) of each candidate block."""
-    root = _Element("", "", False, 0, False)
-    stack, out, text, links, anchors, number = [root], [], [], 0, 0, 0
-    parents = {id(root): 0}
+def blocks(page: str) -> tuple[list[tuple[int, str, int, int, int]], Paths]:
+    """(path, text, characters of links, container, parent) of each candidate block, and the paths."""
+    stack, out, text, links, anchors, number = [_Element("", 0, False, 0, False, 0)], [], [], 0, 0, 0
+    paths, open_tags = Paths(), Counter()
     skip = 0
 
+    def close(k: int) -> None:
+        open_tags.subtract(e.tag for e in stack[k:])
+        del stack[k:]
+
     def flush() -> None:
         nonlocal links
         if text:
@@ -115,7 +139,7 @@ def blocks(page: str) -> list[tuple[str, str, int, int, int]]:
             joined = " ".join("".join(text).split())
             if joined and not top.dropped:
                 parent = stack[-2] if len(stack) > 1 else top
-                out.append((top.path, joined, links, top.container, parents[id(parent)]))
+                out.append((top.path, joined, links, top.container, parent.number))
             text.clear()
         links = 0
 
@@ -148,37 +172,38 @@ def blocks(page: str) -> list[tuple[str, str, int, int, int]]:
         if tag in VOID or tag in RAW:
             continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    anchors = 0
-                    break
+            if open_tags[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
+                anchors = 0
             continue
         if stack[-1].tag == "p" or stack[-1].tag in HEADINGS and tag in HEADINGS:
-            stack.pop()
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in ENDS.get(tag, ()):
-                del stack[k:]
-                break
-            if stack[k].tag in LIMITS:
-                break
+            close(len(stack) - 1)
+        ended = ENDS.get(tag, ())
+        if any(open_tags[t] for t in ended):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].tag in ended:
+                    close(k)
+                    break
+                if stack[k].tag in LIMITS:
+                    break
         up = stack[-1]
         dropped, hinted, name = _furniture(tag, m[3])
+        mark = FORM if tag == "form" else 0
         if hinted:
-            name = f"{OUTSIDE if not up.container else INSIDE}{name}"
+            mark |= INSIDE if up.container else OUTSIDE
         number += 1
         # The heading of an article may stand in a header of its own.
         spared = tag in HEADINGS and up.headings
-        me = _Element(tag, f"{up.path}/{tag}{'.' + name if name else ''}", (up.dropped and not spared) or dropped,
-                      number if tag in CONTAINERS and not dropped and not hinted and not (up.container and tag == "main") else up.container,
-                      up.headings if up.dropped else dropped and tag == "header" and up.container > 0)
-        parents[id(me)] = number
-        stack.append(me)
+        stack.append(_Element(
+            tag, paths.child(up.path, f"{tag}.{name}" if name else tag, mark), (up.dropped and not spared) or dropped,
+            number if tag in CONTAINERS and not dropped and not hinted and not (up.container and tag == "main") else up.container,
+            up.headings if up.dropped else dropped and tag == "header" and up.container > 0, number))
+        open_tags[tag] += 1
     flush()
-    return out
+    return out, paths
 
 
-def path_scores(page: list[tuple[str, str, int, int, int]]) -> dict[str, float]:
+def path_scores(page: list[tuple[int, str, int, int, int]], marks: list[int]) -> dict[int, float]:
     """Fused, smoothed text and punctuation ratio of each tag path."""
     total: dict = defaultdict(lambda: [0, 0, 0, 0])
     for path, text, links, _, _ in page:
@@ -195,25 +220,32 @@ def path_scores(page: list[tuple[str, str, int, int, int]]) -> dict[str, float]:
     for (path, *_), x in zip(page, smooth):
         out[path] += x / total[path][0]
     # A hinted path takes nothing from the blocks around it.
-    factor = {p: HINTED_OUTSIDE if OUTSIDE in p else HINTED_INSIDE if INSIDE in p else 0.0 for p in out}
+    factor = {p: HINTED_OUTSIDE if marks[p] & OUTSIDE else HINTED_INSIDE if marks[p] & INSIDE else 0.0 for p in out}
     return {p: (min(x, ratio[p]) * factor[p] if factor[p] else x) if ratio[p] else 0.0 for p, x in out.items()}
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    found, paths = blocks(page or "")
+    marks = paths.marks
+    inside = [b for b in found if marks[b[0]] & FORM]
+    if inside:
+        score = path_scores(found, marks)
+        wrapped = marks[max(score, key=score.get)] & FORM and 2 * sum(len(b[1]) for b in inside) > sum(len(b[1]) for b in found)
+        if not wrapped:
+            found = [b for b in found if not marks[b[0]] & FORM]
     if not found:
         return ""
-    score = path_scores(found)
+    score = path_scores(found, marks)
     best = max(score.values())
     content = {p for p, x in score.items() if x >= THRESHOLD * best and x > 0}
-    plain = {p for p in content if OUTSIDE not in p and INSIDE not in p}
+    plain = {p for p in content if not marks[p] & HINTED}
     top = {c for p, _, _, c, _ in found if p in plain and c}
     homes = {h for p, _, _, c, h in found if p in content and not c}
     # Beside content: what is not hinted itself, unless all of its element is.
-    near = lambda p: OUTSIDE not in p and INSIDE not in p or p.rsplit("/", 1)[0] in hosts
-    hosts = {p.rsplit("/", 1)[0] for p in content - plain}
+    hosts = {paths.up[p] for p in content - plain}
     chosen = [t for p, t, links, c, h in found
-              if p in content or near(p) and (c in top or not c and h in homes and links < len(t) / 2)]
+              if p in content or (not marks[p] & HINTED or paths.up[p] in hosts)
+              and (c in top or not c and h in homes and links < len(t) / 2)]
     return "\n".join(chosen)
 
 

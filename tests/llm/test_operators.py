@@ -163,6 +163,33 @@ def test_names_of_article_parts_are_no_furniture():
     assert main_text.main_text(page) == text.strip()
 
 
+def test_a_form_around_the_page_is_no_furniture():
+    text = "A sentence of the article, with some words and more. " * 6
+    body = f'<div class="nav">Menu</div><h1>Head</h1><div class="body"><p>{text}</p><p>{text}</p></div>'
+    want = ["Head", text.strip(), text.strip()]
+    assert main_text.main_text(f"<body><form id=aspnetForm>{body}</form></body>").split("\n") == want
+    form = "<form><p>Sign up, please, now.</p><p>Your mail:</p></form>"
+    assert main_text.main_text(f"<body>{body}{form}</body>").split("\n") == want
+    assert main_text.main_text(f"<body>{form}</body>") == "Sign up, please, now.\nYour mail:"  # nothing but the form
+
+
+def test_deep_unclosed_markup_takes_memory_in_proportion():
+    import tracemalloc
+
+    def peak(page):
+        tracemalloc.start()
+        out = main_text.main_text(page)
+        held = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, held
+
+    text = "One sentence, and another one."
+    for unit in ("<div>", "<div class=a><p>", "<ul><li>x"):
+        (out, small), (again, large) = (peak(unit * k + text) for k in (4000, 16000))
+        assert text in out and text in again and large < 6 * small
+    assert main_text.main_text("<x-y>" * 3000 + "</z>" * 3000 + text) == text
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"<p>page {i % 40} {'text ' * (i % 40)}</p>") for i in range(120)]
     rows += [(200, None, None), (201, "http://a b\n", ""), (None, None, "alone")]

@@ -5,7 +5,7 @@ minima.  A text is posted under its (coordinate, value) tokens; two texts
 that share ``MATCHES`` tokens or more are compared on their full sets.
 
 * *Core*: a text with fewer than ``MATCHES`` tokens that any other text has
-  can have no partner and leaves; so do, once more, those that are left.
+  can have no partner and leaves.
 * *Prefix*: with a text's k remaining shared tokens in one global order (rare
   first), two texts with ``MATCHES`` in common share one of their first
   ``k - MATCHES + 1``, so only these are posted.
@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from rollwise.llm.common import U64, beside, mix64, removed, saved, slices, stream, utf8, word_hashes
 
@@ -134,7 +134,7 @@ def _sets(width: int, bits: bytes | None):
 def _core(rows: DataFrame) -> DataFrame:
     """Of rows (node, token) the nodes with ``MATCHES`` tokens or more that
     another node has, too, and these tokens, rare first."""
-    held = _held(rows)
+    held = _held(rows, F.count("*").alias("m"))
     core = saved(rows.join(held, "token").groupBy("node")
                  .agg(F.sort_array(F.collect_list(F.struct("m", "token"))).alias("shared"))  # COORDS at most
                  .where(F.size("shared") >= MATCHES).select("node", F.col("shared.token").alias("shared")), "core")
@@ -142,10 +142,10 @@ def _core(rows: DataFrame) -> DataFrame:
     return core
 
 
-def _held(rows: DataFrame) -> DataFrame:
-    """Written (token, m): how many rows have a token that more than one has.
-    Written, so that a join with it can split the rows of a hot token."""
-    return saved(rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "held")
+def _held(rows: DataFrame, *of_token) -> DataFrame:
+    """Written aggregates of each token that more than one row has.  Written,
+    so that a join with them can split the rows of a hot token."""
+    return saved(rows.groupBy("token").agg(*of_token).where("m > 1"), "held")
 
 
 def _similar(a: DataFrame, percent: int) -> DataFrame:
@@ -200,9 +200,10 @@ def components(edges: DataFrame) -> DataFrame:
                 .groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
                 .join(labels, "node").select("node", F.least("r", "root").alias("r"), F.col("root").alias("old")))
         up = labels.select(F.col("node").alias("r"), F.col("root").alias("up"))
-        new = saved(step.join(up, "r", "left")
-                    .select("node", F.least("r", F.coalesce("up", "r")).alias("root"), "old"), "labels")
-        moved = new.where(F.col("root") != F.col("old")).limit(1).count()
+        told = Observation()
+        new = saved(step.join(up, "r", "left").select("node", F.least("r", F.coalesce("up", "r")).alias("root"), "old")
+                    .observe(told, F.count(F.when(F.col("root") != F.col("old"), 1)).alias("moved")), "labels")
+        moved = told.get.get("moved")  # none of an empty graph
         removed(last)
         labels, last = new.select("node", "root"), new
         if not moved:
@@ -224,54 +225,48 @@ def _merge(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return saved(old.unionByName(fresh.join(roots.select("node"), "node", "left_anti")), "roots")
 
 
-def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Lists with nodes of more than one component; the rest needs no look."""
-    now = (lists.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    many = saved(now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"))
-                 .where("lo <> hi").select("token", "m"), "many")
-    still = saved(now.drop("m").join(many, "token"), "lists")
+def _open_lists(rows: DataFrame, *of_token) -> DataFrame:
+    """Written lists (token, node, root, m, ...) of rows (token, node, root, ...): those with
+    nodes of more than one component; the rest needs no look."""
+    many = saved(rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"), *of_token)
+                 .where("lo <> hi").drop("lo", "hi"), "many")
+    lists = saved(rows.select("token", "node", "root").join(many, "token"), "lists")
     removed(many)
-    return still
+    return lists
+
+
+def _next_lists(led: DataFrame, roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Open lists after links were found: the leaders leave, the node with most links is next."""
+    degree = (links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
+              .groupBy("node").agg(F.count("*").alias("degree")))
+    now = saved(led.where("node <> leader").select("token", "node").join(roots, "node", "left").join(degree, "node", "left")
+                .select("token", "node", F.coalesce("root", "node").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree")),
+                "now")
+    lists = _open_lists(now, F.max(F.struct("degree", "node")).getField("node").alias("leader"))
+    removed(now, led)
+    return lists
 
 
 def _thinned(lists: DataFrame, held: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """``lists``, written, without the places in long lists of nodes that have no partner there.
 
     Of a node's set of n, a partner has percent * n / 100 members or more; so
-    many must be held by other components in long lists.  Nodes of which fewer
-    are leave, then those that are left are asked once more.
+    many must be held by other components in long lists.
     """
     long = lists.where(F.col("m") > LONG)
     if long.isEmpty():
         return lists
     places = saved(long.select("node", "root").distinct(), "places")
     sets = _full_sets(texts, held.join(places, "node", "left_semi"), width)
-    live = places.join(sets, "node")
-    able = None
-    for _ in range(2):
-        members = live if able is None else live.join(able.select("node"), "node", "left_semi")
-        posts = members.select("node", "root", F.size("members").alias("n"), F.explode("members").alias("member"))
-        shared = saved(posts.groupBy("member").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                       .where("lo <> hi").select("member"), "shared")
-        last, able = able, saved(posts.select("node", "n", "member").join(shared, "member").groupBy("node")
-                                 .agg(F.first("n").alias("n"), F.count("*").alias("k"))
-                                 .where(100 * F.col("k") >= percent * F.col("n")), "able")
-        removed(shared, *([last] if last is not None else []))
+    posts = places.join(sets, "node").select("node", "root", F.size("members").alias("n"), F.explode("members").alias("member"))
+    shared = saved(posts.groupBy("member").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                   .where("lo <> hi").select("member"), "shared")
+    able = saved(posts.select("node", "n", "member").join(shared, "member").groupBy("node")
+                 .agg(F.first("n").alias("n"), F.count("*").alias("k")).where(100 * F.col("k") >= percent * F.col("n")), "able")
     kept = lists.where(F.col("m") <= LONG).unionByName(long.join(able.select("node"), "node", "left_semi"))
-    out = saved(kept, "lists")
-    removed(places, sets, able)
-    return out
-
-
-def _leaders(lists: DataFrame, links: DataFrame | None) -> DataFrame:
-    """(token, leader): the node of a list with most links, or its least node."""
-    if links is None:
-        return lists.groupBy("token").agg(F.min("node").alias("leader"))
-    degree = (links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-              .groupBy("node").agg(F.count("*").alias("degree")))
-    return (lists.join(degree, "node", "left")
-            .groupBy("token").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("top"))
-            .select("token", F.col("top.node").alias("leader")))
+    thin = _open_lists(kept)
+    removed(places, sets, shared, able, lists)
+    return thin
 
 
 def _block_pairs(key: tuple, rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Iterator[tuple[int, int]]]:
@@ -364,33 +359,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = saved(sigs.select("doc_id", "text_key", "n", "node"), "rows")
     removed(sigs)
 
-    first = _core(nodes.select("node", F.explode("tokens").alias("token")))
-    core = _core(first.select("node", F.explode("shared").alias("token")))
-    removed(first)
+    core = _core(nodes.select("node", F.explode("tokens").alias("token")))
     posted = core.select("node", F.slice("shared", F.lit(1), F.size("shared") - (MATCHES - 1)).alias("prefix"))
     involved = saved(nodes.join(posted, "node"), "involved")
     held = saved(nodes.select("node", "doc_id"), "held")
     removed(core, nodes)
     posts = involved.select("node", F.explode("prefix").alias("token"))
-    shared = _held(posts)
-    lists = saved(posts.join(shared, "token"), "lists")
-    removed(shared)
+    leaders = _held(posts, F.count("*").alias("m"), F.min("node").alias("leader"))
+    lists = saved(posts.join(leaders, "token"), "lists")
+    removed(leaders)
 
     roots = links = None
     for _ in range(2):
-        tops = saved(_leaders(lists, links), "leaders")
-        led = saved(lists.join(tops, "token"), "led")
-        pairs = (led.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-                 .distinct())
+        pairs = (lists.where("node <> leader")
+                 .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
         found = _confirmed(pairs, involved, texts, width, percent)
         links = found if links is None else links.union(found).distinct()
         roots = _merge(roots, found)
-        done, lists = lists, _open_lists(led.where("node <> leader").drop("leader"), roots)
-        removed(done, led, tops)
-    thin = _thinned(lists, held, texts, width, percent)
-    rest = _open_lists(thin, roots)
-    roots = _merge(roots, _rest(rest, involved, texts, width, percent))
-    removed(lists, thin, rest, involved)
+        lists = _next_lists(lists, roots, links)
+    lists = _thinned(lists, held, texts, width, percent)
+    roots = _merge(roots, _rest(lists, involved, texts, width, percent))
+    removed(lists, involved)
 
     least = saved(roots.join(held, "node").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     of_node = (held.select("node", F.col("doc_id").alias("own")).join(roots, "node", "left").join(least, "root", "left")

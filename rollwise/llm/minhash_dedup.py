@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rollwise.llm.common import U64, beside, mix64, removed, saved, slices, stream, utf8, word_hashes
 
@@ -200,10 +200,8 @@ def components(edges: DataFrame) -> DataFrame:
                 .groupBy(F.col("a").alias("node")).agg(F.min("r").alias("r"))
                 .join(labels, "node").select("node", F.least("r", "root").alias("r"), F.col("root").alias("old")))
         up = labels.select(F.col("node").alias("r"), F.col("root").alias("up"))
-        told = Observation()
-        new = saved(step.join(up, "r", "left").select("node", F.least("r", F.coalesce("up", "r")).alias("root"), "old")
-                    .observe(told, F.count(F.when(F.col("root") != F.col("old"), 1)).alias("moved")), "labels")
-        moved = told.get.get("moved")  # none of an empty graph
+        new = saved(step.join(up, "r", "left").select("node", F.least("r", F.coalesce("up", "r")).alias("root"), "old"), "labels")
+        moved = not new.where(F.col("root") != F.col("old")).isEmpty()
         removed(last)
         labels, last = new.select("node", "root"), new
         if not moved:

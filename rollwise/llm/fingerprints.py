@@ -13,21 +13,26 @@ empty texts have the fingerprint '' (likeness 1 to each other, 0 to others).
 Equal texts have equal fingerprints; words are compared as they stand.
 
 Documents in order of falling doc_id (equal ones by text, nulls last) are cut
-into ranges at quantiles of doc_id; each range borrows the first document of
-the next, so no step orders all rows in one task.
+into ranges of some ``RANGE_ROWS`` rows, so their number grows with the table:
+coarse ones at quantiles of doc_id, each cut again at its own quantiles, or by
+the hash of the text where it is one doc_id (or null) alone.  Each range
+borrows the first document of the next, so no step orders all rows in one task.
+Only rows alike in doc_id and text can't be told apart and share a range.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rollwise.llm.common import bind, stream, text_or_empty, words_col
+from rollwise.llm.common import bind, saved, stream, text_or_empty, words_col
 
 WIDTH = 5
 BINS = 128
 BITS = 8
 PROBES = 16
-RANGES = 256
+RANGE_ROWS = 1024
+#: Quantiles of the first cut.
+COARSE = 1024
 _BIN_BITS = BINS.bit_length() - 1
 
 
@@ -103,36 +108,74 @@ def likeness(a: Column, b: Column) -> Column:
         F.least(F.greatest(estimate, F.lit(0.0)), F.lit(1.0)))
 
 
+def _rank(bounds: Column, size: int | Column, x: Column) -> Column:
+    """How many of ``bounds``, sorted, are below ``x``, by halving."""
+    steps = F.lit([1 << k for k in reversed(range(max(1, size.bit_length())))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < x, at + step).otherwise(at))
+
+
+def _literal(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")  # folded to one literal
+
+
+def _quantiles(n: int) -> Column:
+    return F.percentile_approx("doc_id", [k / n for k in range(1, n)], 20 * n)
+
+
+def _placed(rows: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """``rows`` (doc_id, key, ...) with coarse and place (greater ones come first),
+    and the coarse ranges held, each with the next one's number."""
+    n = rows.count()
+    cuts = max(2, min(COARSE, -(-n // RANGE_ROWS)))
+    found = rows.select(_quantiles(cuts)).first()[0] or []
+    # A doc_id of several quantiles has a range of its own.
+    bounds = sorted({*found, *(b - 1 for b, after in zip(found, found[1:]) if b == after and b > -2 ** 63)})
+    rank = _rank(_literal(bounds), len(bounds), F.col("doc_id")) if bounds else F.lit(0)
+    rows = rows.withColumn("coarse", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(rank))
+    sizes = (rows.groupBy("coarse").agg(F.count("*").alias("n"), F.min("doc_id").eqNullSafe(F.max("doc_id")).alias("one"))
+             .collect())  # 2 COARSE + 2 rows at most
+    many = {r["coarse"]: -(-r["n"] // RANGE_ROWS) for r in sizes if not r["one"]}
+    parts = {r["coarse"]: -(-r["n"] // RANGE_ROWS) for r in sizes if r["one"]}
+    most = max(2, *many.values()) if many else 2
+    # No doc_id holds more than two coarse ranges' rows here, so one number of cuts fits all.
+    fine = saved(rows.where(F.col("coarse").isin([c for c, k in many.items() if k > 2])).groupBy("coarse")
+                 .agg(_quantiles(most).alias("fine")), "ranges")
+    by_hash = F.col("parts") - 1 - F.least(F.floor((F.col("key") / 2.0 ** 64 + 0.5) * F.col("parts")), F.col("parts") - 1)
+    alone = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]) if parts else F.create_map().cast("map<int,int>")
+    # Written, so that the join broadcasts the cuts by their real size.
+    rows = rows.join(fine, "coarse", "left").withColumn("parts", F.try_element_at(alone, F.col("coarse")).cast("long"))
+    sub = F.when(F.col("parts").isNotNull(), by_hash).when(F.col("fine").isNotNull(), _rank(F.col("fine"), most, F.col("doc_id"))).otherwise(0)
+    rows = rows.withColumn("place", F.shiftleft(F.col("coarse").cast("long"), 32) + sub.cast("long")).drop("fine", "parts")
+    held = sorted((r["coarse"] for r in sizes), reverse=True)
+    return rows, dict(zip(held, [*held[1:], *held[:1]]))
+
+
+def _lent(placed: DataFrame, after: dict[int, int]) -> DataFrame:
+    """The first row of each place (text), under the place that comes before it."""
+    heads = saved(placed.groupBy("coarse", "place").agg(F.max(F.struct("doc_id", F.bitwise_not("key").alias("less"))).alias("head"))
+                  .select("coarse", "place", "head.doc_id", F.bitwise_not("head.less").alias("key")), "heads")
+    ends = {r["coarse"]: r for r in heads.groupBy("coarse").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).collect()}
+    before = F.lead("place").over(Window.partitionBy("coarse").orderBy("place"))
+    wraps = [F.lit(x) for c, nxt in after.items() for x in (ends[nxt]["hi"], ends[c]["lo"])]
+    heads = heads.withColumn("to", F.coalesce(before, F.create_map(*wraps)[F.col("place")] if wraps else F.lit(None).cast("long")))
+    first = placed.alias("p").join(heads.drop("coarse").alias("h"), (F.col("p.place") == F.col("h.place")) & (F.col("p.key") == F.col("h.key"))
+                                   & F.col("p.doc_id").eqNullSafe(F.col("h.doc_id")))
+    return first.groupBy(F.col("h.to").alias("place")).agg(F.min("p.text").alias("text"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, fp and next_text, next_fp: the next row by falling doc_id, after the last the first."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    bounds = rows.select(F.percentile_approx("doc_id", [k / RANGES for k in range(1, RANGES)], 20 * RANGES)).first()[0] or []
-    bounds = sorted(set(bounds))
-    # A null doc_id is in range -1, below all others.
-    place = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0))
-    placed = rows.withColumn("place", place.cast("int"))
-    tops = {r["place"]: r["top"] for r in placed.groupBy("place").agg(F.max("doc_id").alias("top")).collect()}  # RANGES + 1 rows
-    held = sorted(tops)
-    placed = placed.withColumn("fp", fingerprint(shingle_hashes(F.col("text")))).withColumn("own", F.lit(True))
-    for_range = {k: held[i + 1] if i + 1 < len(held) else held[0] for i, k in enumerate(held)}  # who borrows k's first
-    mapping = F.create_map(*[x for k, v in for_range.items() for x in (F.lit(k), F.lit(v))]) if held else None
-    firsts = placed.where(F.col("doc_id").isin([t for t in tops.values() if t is not None]) | F.col("doc_id").isNull())
-    if mapping is not None:
-        ranked = firsts.withColumn("n", F.row_number().over(Window.partitionBy("place").orderBy(*_order())))
-        borrowed = (ranked.where("n = 1").drop("n").withColumn("place", F.get(F.array(mapping), 0)[F.col("place")])
-                    .withColumn("own", F.lit(False)))
-        placed = placed.unionByName(borrowed)
-    w = Window.partitionBy("place").orderBy(F.col("own").desc(), *_order())
-    nxt = F.lead(F.struct("text", "fp")).over(w)
-    return (placed.withColumn("next", nxt).where("own")
+    placed, after = _placed(rows.withColumn("key", F.xxhash64("text")))
+    own = placed.select("place", "doc_id", "key", "text", F.lit(True).alias("own"))
+    lent = _lent(placed, after).select("place", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("key"), "text",
+                                       F.lit(False).alias("own"))
+    both = own.unionByName(lent).withColumn("fp", fingerprint(shingle_hashes(F.col("text"))))
+    w = Window.partitionBy("place").orderBy(F.col("own").desc(), F.col("doc_id").desc_nulls_last(), "key", "text")
+    return (both.withColumn("next", F.lead(F.struct("text", "fp")).over(w)).where("own")
             .select("doc_id", "text", "fp", F.col("next.text").alias("next_text"), F.col("next.fp").alias("next_fp")))
 
 
-def _order() -> list[Column]:
-    return [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next."""

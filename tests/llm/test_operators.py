@@ -1,11 +1,13 @@
 """The training-data operators against brute force, round trips and edge rows."""
 
 import hashlib
+import random
 import re
 import sys
 
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from rollwise.llm import bpe, fingerprints, language_id, main_text, minhash_dedup, mixing, quality, secrets, toxicity, warc
@@ -224,6 +226,29 @@ def test_fingerprints(docs, empty):
     assert fingerprints.fingerprints(empty).count() == 0
 
 
+def signed_hash(text):
+    return int.from_bytes(xxhash.xxh64(text.encode(), seed=42).digest(), "big", signed=True)
+
+
+@pytest.mark.parametrize("rows,coarse", [(1024, 1024), (3, 4)])
+def test_edited_texts_take_the_next_document(spark, monkeypatch, rows, coarse):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", rows)
+    monkeypatch.setattr(fingerprints, "COARSE", coarse)
+    draw = random.Random(3)
+    text = lambda: " ".join(draw.choice("abcdefgh") * draw.randint(1, 5) for _ in range(draw.randint(0, 30)))
+    # A doc_id and null hold a third of the rows each; alike rows; far ids.
+    table = [(5, text()) for _ in range(60)] + [(None, text()) for _ in range(60)] + [(None, None), (5, "same"), (5, "same")]
+    table += [(draw.randint(-10 ** 18, 10 ** 18), text()) for _ in range(60)]
+    order = sorted(table, key=lambda r: (r[0] is None, -(r[0] or 0), signed_hash(r[1] or ""), r[1] or ""))
+    want = []
+    for i, (doc_id, own) in enumerate(order):
+        own, after = own or "", order[(i + 1) % len(order)][1] or ""
+        cut = len(own) // 3
+        want.append((str(doc_id), len(own), hashlib.sha256((own[:len(own) - cut] + after[:cut]).encode()).hexdigest()))
+    got = fingerprints.fingerprints(spark.createDataFrame(table, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == sorted(want)
+
+
 def test_quality_counts(docs, spark, empty):
     labels = spark.createDataFrame([(8, 1, 0), (9, 1, 0), (11, 0, 0)], "doc_id long, quality int, toxic int")
     rows = quality.judge(docs, labels).collect()
